@@ -69,7 +69,9 @@ def code_names(dictionary: DataFrame, code: str, name: str) -> DataFrame:
     return dictionary.select(F.col("dic_code").alias(code), F.col("dic_name").alias(name))
 
 
-def _join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, within: str | None, right_time: str) -> DataFrame:
+def join_within(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, within: str | None, right_time: str,
+) -> DataFrame:
     """Equi-join; with ``within`` also |left.pt - right.<right_time>| <= within."""
     if within is None:
         return left.join(right.drop(right_time), list(on), how)
@@ -160,9 +162,9 @@ def order_wide(
     orders = rows_of(timed, "order_info", ["insert", "update"], database).select(
         F.col("data")["id"].alias("order_id"), *fields(*ORDER_INFO[1:]), "type", "old", F.col("pt").alias("order_pt"))
 
-    wide = _join(details, activities, ["id"], "left", within, "activity_pt")
-    wide = _join(wide, coupons, ["id"], "left", within, "coupon_pt")
-    wide = _join(wide, orders, ["order_id"], "inner", within, "order_pt")
+    wide = join_within(details, activities, ["id"], "left", within, "activity_pt")
+    wide = join_within(wide, coupons, ["id"], "left", within, "coupon_pt")
+    wide = join_within(wide, orders, ["order_id"], "inner", within, "order_pt")
     return wide.select(
         *ORDER_DETAIL[:7], "source_type_id", "source_type_name", *ORDER_DETAIL[8:], *ORDER_INFO[1:],
         "order_detail_activity_id", "activity_id", "activity_rule_id",
@@ -196,7 +198,7 @@ def paid_details(
         .join(code_names(dictionary, "payment_type_code", "payment_type_name"), "payment_type_code")
     )
     right = details.withColumnRenamed("pt", "detail_pt")
-    rows = _join(paid, right, ["order_id"], "inner", within, "detail_pt")
+    rows = join_within(paid, right, ["order_id"], "inner", within, "detail_pt")
     return rows.select(
         F.col("id").alias("order_detail_id"), "order_id", "user_id", "sku_id", "sku_name", "province_id",
         "activity_id", "activity_rule_id", "coupon_id", "payment_type_code", "payment_type_name", "callback_time",
@@ -222,7 +224,7 @@ def refunds(
         F.col("data")["refund_reason_type"].alias("refund_reason_type_code"), "ts", "pt")
     rows = rows.join(code_names(dictionary, "refund_type_code", "refund_type_name"), "refund_type_code")
     rows = rows.join(code_names(dictionary, "refund_reason_type_code", "refund_reason_type_name"), "refund_reason_type_code")
-    rows = _join(rows, _orders_turned(timed, ORDER_REFUNDING, database, "province_id"), ["order_id"], "inner", within, "order_pt")
+    rows = join_within(rows, _orders_turned(timed, ORDER_REFUNDING, database, "province_id"), ["order_id"], "inner", within, "order_pt")
     return rows.select(
         "id", "user_id", "order_id", "sku_id", "province_id", date_text(F.col("create_time")).alias("date_id"),
         "create_time", "refund_type_code", "refund_type_name", "refund_reason_type_code", "refund_reason_type_name",
@@ -240,9 +242,9 @@ def refunds_paid(
     paid = paid.join(code_names(dictionary, "payment_type_code", "payment_type_name"), "payment_type_code")
     requests = rows_of(timed, "order_refund_info", (), database).select(
         *fields("order_id", "sku_id", "refund_num"), F.col("pt").alias("request_pt"))
-    rows = _join(paid, requests, ["order_id", "sku_id"], "inner", within, "request_pt")
+    rows = join_within(paid, requests, ["order_id", "sku_id"], "inner", within, "request_pt")
     turned = _orders_turned(timed, ORDER_REFUNDED, database, "user_id", "province_id")
-    rows = _join(rows, turned, ["order_id"], "inner", within, "order_pt")
+    rows = join_within(rows, turned, ["order_id"], "inner", within, "order_pt")
     return rows.select(
         "id", "user_id", "order_id", "sku_id", "province_id", "payment_type_code", "payment_type_name",
         date_text(F.col("callback_time")).alias("date_id"), "callback_time", "refund_num", "refund_amount", "ts",

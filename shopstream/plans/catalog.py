@@ -13,6 +13,7 @@ from shopstream.plans import reports, views
 from shopstream.plans.warehouse import Warehouse
 from shopstream.session import shared_dir
 from shopstream.sources import sinks, streams
+from shopstream.streaming.live import Live
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,7 +88,10 @@ def _logs(w: Warehouse) -> DataFrame:
 
 
 def log_split(w: Warehouse) -> DataFrame:
-    routed = logs.route(_logs(w))
+    return _topic_counts(logs.route(_logs(w)))
+
+
+def _topic_counts(routed: DataFrame) -> DataFrame:
     return routed.groupBy("topic").agg(F.count("*").alias("n"), F.sum(F.get_json_object("value", "$.ts").cast("long")).alias("ts_sum"))
 
 
@@ -261,8 +265,29 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
 }
 
 
+STREAMS: dict[str, Callable[[Live], DataFrame]] = {
+    "stream_is_new_repair": lambda v: v.repaired().select("event_id", "mid", "ts", "is_new"),
+    "stream_unique_visitor": lambda v: v.visitors().select("event_id", "mid", "ch", "ts"),
+    "stream_bounce": lambda v: v.bounces().select("event_id", "mid", "ch", "ts"),
+    "stream_log_split": lambda v: _topic_counts(v.topics()),
+    "stream_dim_upsert": lambda v: v.dimensions(lambda: config(v.spark)),
+    "stream_traffic_window": lambda v: v.traffic(),
+    "stream_page_view_window": lambda v: v.page_views(),
+    "stream_keyword_window": lambda v: v.keywords(),
+    "stream_login_window": lambda v: v.logins(),
+    "stream_register_window": lambda v: v.registers(),
+    "stream_cart_window": lambda v: v.carts(),
+    "stream_province_window": lambda v: v.provinces(),
+    "stream_interval_join": lambda v: v.order_wide(),
+}
+
+
 def queries() -> dict[str, Query]:
-    def bind(build: Callable[[Warehouse], DataFrame]) -> Query:
+    def table(build: Callable[[Warehouse], DataFrame]) -> Query:
         return lambda spark, sf_dir: build(Warehouse(spark, sf_dir))
 
-    return {name: bind(build) for name, build in OPERATORS.items()}
+    def stream(build: Callable[[Live], DataFrame]) -> Query:
+        return lambda spark, sf_dir: build(Live(spark, sf_dir))
+
+    named = {name: table(build) for name, build in OPERATORS.items()}
+    return named | {name: stream(build) for name, build in STREAMS.items()}

@@ -305,6 +305,27 @@ _IS_START = "(event_type = 'signup' AND value >= 80)"
 
 
 def oracle_sql() -> dict[str, str]:
+    """SQL per query; a stream must give what the same job gives on tables."""
+    sql = _table_sql()
+    same = [
+        "is_new_repair", "unique_visitor", "bounce", "log_split", "traffic_window", "page_view_window", "keyword_window",
+        "login_window", "register_window", "cart_window",
+    ]
+    return sql | {f"stream_{n}": sql[n] for n in same} | {
+        "stream_dim_upsert": _with("""
+SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_brand AS tm_id FROM article_rows""", "article_rows"),
+        "stream_province_window": f"""
+SELECT {_bounds('o_orderdate', '1 day')}, CAST(c_nationkey AS VARCHAR) AS province_id, n_name AS province_name,
+       count(DISTINCT o_orderkey) AS order_count, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS order_amount
+FROM orders LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
+GROUP BY o_orderdate, c_nationkey, n_name""",
+        "stream_interval_join": """
+SELECT l_orderkey, l_linenumber, l_extendedprice, l_shipdate AS pt, o_custkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+WHERE o_orderdate BETWEEN l_shipdate - INTERVAL 30 DAY AND l_shipdate + INTERVAL 30 DAY""",
+    }
+
+
+def _table_sql() -> dict[str, str]:
     return {
         "dedup_first": _with("SELECT * FROM first_lines", "first_lines"),
         "dedup_last": _with("SELECT * FROM last_lines", "last_lines"),
