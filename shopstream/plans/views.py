@@ -8,6 +8,8 @@ table that goes in.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,47 +111,59 @@ def _data(**columns: Column | str | None) -> Column:
     return F.create_map(*pairs)
 
 
-def _change(table_name: str | Column, kind: Column, data: Column, old: Column, time: str) -> list[Column]:
-    table_name = F.lit(table_name) if isinstance(table_name, str) else table_name
-    return [
-        F.lit("shop").alias("database"), table_name.alias("table"), kind.alias("type"), data.alias("data"),
-        old.cast("map<string,string>").alias("old"), text(F.unix_timestamp(time)).alias("ts"),
-    ]
+def _change(rows: DataFrame, table_name: str, kind: Column | str, data: Column, time: str, old: Column | None = None) -> DataFrame:
+    """Change records of one source table.
+
+    The table name is a constant of its branch, so a reader that filters on it
+    drops the other branches of a topic at planning time, and the keys it takes
+    from ``data`` turn back into columns of the scan.
+    """
+    before = F.lit(None) if old is None else old
+    return rows.select(
+        F.lit("shop").alias("database"), F.lit(table_name).alias("table"),
+        (F.lit(kind) if isinstance(kind, str) else kind).alias("type"), data.alias("data"),
+        before.cast("map<string,string>").alias("old"), text(F.unix_timestamp(time)).alias("ts"))
+
+
+def _topic(*branches: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionByName, branches)
 
 
 def shop_changes(events: DataFrame) -> DataFrame:
     """Change records of favourites, carts, coupons, users and comments, mixed as in one topic."""
     rows = events.withColumns({"k": prop_k(), "at": time_text("ts")})
     value, at, k = F.col("value"), F.col("at"), F.col("k")
-    kind = F.col("event_type")
     null = F.lit(None).cast("string")
-
-    tables = {"view": "favor_info", "click": "cart_info", "purchase": "coupon_use", "signup": "user_info", "error": "comment_info"}
     common = {"id": "event_id", "user_id": "user_id", "sku_id": k, "create_time": at}
-    data = (
-        F.when(kind == "view", _data(**common, is_cancel=F.when(value < 70, "0").otherwise("1")))
-        .when(kind == "click", _data(
+
+    def of(kind: str) -> DataFrame:
+        return rows.where(F.col("event_type") == kind)
+
+    def inserted(below: int, otherwise: str = "update") -> Column:
+        return F.when(value < below, "insert").otherwise(otherwise)
+
+    favors = _change(
+        of("view"), "favor_info", inserted(50), _data(**common, is_cancel=F.when(value < 70, "0").otherwise("1")), "ts")
+    carts = _change(
+        of("click"), "cart_info", inserted(30),
+        _data(
             **common, cart_price=amount("value"), sku_num=k, sku_name=F.concat(F.lit("sku-"), k), is_checked=F.lit("1"),
-            operate_time=F.when(value >= 30, at), is_ordered=F.lit("0"), order_time=null, source_type=k % 30, source_id="event_id"))
-        .when(kind == "purchase", _data(
+            operate_time=F.when(value >= 30, at), is_ordered=F.lit("0"), order_time=null, source_type=k % 30, source_id="event_id"),
+        "ts",
+        F.when(value < 30, F.lit(None)).when(value < 80, _data(sku_num=F.lit("50"))).otherwise(_data(is_checked=F.lit("0"))))
+    coupons = _change(
+        of("purchase"), "coupon_use", inserted(20),
+        _data(
             id="event_id", coupon_id=k, user_id="user_id", order_id=F.col("event_id") + 1000, get_time=at,
             using_time=F.when(value >= 20, at), used_time=F.when(value >= 60, at),
-            coupon_status=F.when(value < 20, "1401").otherwise("1402")))
-        .when(kind == "signup", _data(id="user_id", create_time=at))
-        .otherwise(_data(**common, order_id=F.col("event_id") + 1000, appraise=k % 30))
-    )
-    types = (
-        F.when(kind == "view", F.when(value < 50, "insert").otherwise("update"))
-        .when(kind == "click", F.when(value < 30, "insert").otherwise("update"))
-        .when(kind == "purchase", F.when(value < 20, "insert").otherwise("update"))
-        .when(kind == "signup", F.when(value < 80, "insert").otherwise("update"))
-        .otherwise(F.when(value < 80, "insert").otherwise("delete"))
-    )
-    olds = (
-        F.when((kind == "click") & (value >= 30), F.when(value < 80, _data(sku_num=F.lit("50"))).otherwise(_data(is_checked=F.lit("0"))))
-        .when((kind == "purchase") & (value >= 20), _data(coupon_status=F.when(value < 60, "1401").otherwise("1402")))
-    )
-    return rows.select(*_change(_lookup(tables), types, data, olds, "ts"))
+            coupon_status=F.when(value < 20, "1401").otherwise("1402")),
+        "ts",
+        F.when(value >= 20, _data(coupon_status=F.when(value < 60, "1401").otherwise("1402"))))
+    users = _change(of("signup"), "user_info", inserted(80), _data(id="user_id", create_time=at), "ts")
+    comments = _change(
+        of("error"), "comment_info", inserted(80, "delete"),
+        _data(**common, order_id=F.col("event_id") + 1000, appraise=k % 30), "ts")
+    return _topic(favors, carts, coupons, users, comments)
 
 
 def line_id() -> Column:
@@ -160,38 +174,32 @@ def detail_changes(lineitem: DataFrame) -> DataFrame:
     """Change records a line item gives rise to: the detail, its activity, coupon, refund request and refund payment."""
     rows = lineitem.withColumns({"id": line_id(), "at": time_text("l_shipdate")})
     part = {"order_id": "l_orderkey", "sku_id": "l_partkey", "create_time": "at"}
-    detail = _data(
+    returned = rows.where("l_returnflag = 'R'")
+    details = _data(
         id="id", **part, sku_name=F.concat(F.lit("sku-"), text("l_partkey")), order_price=amount("l_extendedprice"),
         sku_num=F.col("l_quantity").cast("int"), source_type=F.col("l_suppkey") % 30, source_id="l_suppkey",
         split_total_amount=amount("l_extendedprice"), split_activity_amount=amount("l_discount"),
         split_coupon_amount=amount("l_tax"))
-    activity = _data(
+    activities = _data(
         id=F.concat(F.lit("a"), "id"), order_detail_id="id", **part,
         activity_id=F.round(F.col("l_discount") * 100).cast("int"), activity_rule_id="l_linenumber")
-    coupon = _data(
+    coupons = _data(
         id=F.concat(F.lit("c"), "id"), order_detail_id="id", **part,
         coupon_id=F.round(F.col("l_tax") * 100).cast("int"), coupon_use_id="l_suppkey")
-    refund = _data(
+    refunds = _data(
         id=F.concat(F.lit("r"), "id"), user_id="l_suppkey", **part, refund_type=F.col("l_suppkey") % 30,
         refund_num=F.col("l_quantity").cast("int"), refund_amount=amount("l_extendedprice"),
         refund_reason_type="l_linenumber", refund_reason_txt="l_linestatus")
-    payment = _data(
+    payments = _data(
         id=F.concat(F.lit("p"), "id"), order_id="l_orderkey", sku_id="l_partkey", payment_type=F.col("l_suppkey") % 30,
         callback_time="at", total_amount=amount("l_extendedprice"))
-
-    def record(name: str, data: Column, when: Column) -> Column:
-        return F.when(when, F.struct(F.lit(name).alias("table"), data.alias("data")))
-
-    returned = F.col("l_returnflag") == "R"
-    records = F.array_compact(F.array(
-        record("order_detail", detail, F.lit(True)),
-        record("order_detail_activity", activity, F.col("l_discount") >= 0.05),
-        record("order_detail_coupon", coupon, F.col("l_tax") >= 0.04),
-        record("order_refund_info", refund, returned),
-        record("refund_payment", payment, returned & (F.col("l_linestatus") == "F")),
-    ))
-    rows = rows.select("l_shipdate", F.inline(records))
-    return rows.select(*_change(F.col("table"), F.lit("insert"), F.col("data"), F.lit(None), "l_shipdate"))
+    return _topic(
+        _change(rows, "order_detail", "insert", details, "l_shipdate"),
+        _change(rows.where("l_discount >= 0.05D"), "order_detail_activity", "insert", activities, "l_shipdate"),
+        _change(rows.where("l_tax >= 0.04D"), "order_detail_coupon", "insert", coupons, "l_shipdate"),
+        _change(returned, "order_refund_info", "insert", refunds, "l_shipdate"),
+        _change(returned.where("l_linestatus = 'F'"), "refund_payment", "insert", payments, "l_shipdate"),
+    )
 
 
 def order_changes(orders: DataFrame) -> DataFrame:
@@ -202,33 +210,30 @@ def order_changes(orders: DataFrame) -> DataFrame:
         "process_status", "tracking_no", "parent_order_id", "activity_reduce_amount", "coupon_reduce_amount",
         "feight_fee", "feight_fee_reduce", "refundable_time"]}
 
-    def order(status: str, operate: Column | None) -> Column:
+    def order(status: str, operate: str | None) -> Column:
         return _data(
             id="o_orderkey", consignee=F.concat(F.lit("Customer "), text("o_custkey")), total_amount=amount("o_totalprice"),
             order_status=F.lit(status), user_id="o_custkey", payment_way="o_orderpriority", create_time="at",
             operate_time=operate, province_id=F.col("o_custkey") % 25, original_total_amount=amount("o_totalprice"), **blank)
 
-    def record(name: str, kind: str, data: Column, old: Column | None = None) -> Column:
-        before = F.lit(None).cast("map<string,string>") if old is None else old
-        return F.struct(F.lit(name).alias("table"), F.lit(kind).alias("type"), data.alias("data"), before.alias("old"))
+    def updated(state: str, status: str, old: Column) -> DataFrame:
+        return _change(rows.where(F.col("o_orderstatus") == state), "order_info", "update", order(status, "later"), "o_orderdate", old)
 
-    def turned(status: str, before: str) -> Column:
-        return record("order_info", "update", order(status, F.col("later")), _data(order_status=F.lit(before)))
+    def turned(state: str, status: str, before: str) -> DataFrame:
+        return updated(state, status, _data(order_status=F.lit(before)))
 
-    opened = record("order_info", "insert", order("1001", None))
-    touched = record("order_info", "update", order("1003", F.col("later")), _data(operate_time="at"))
-    paid = F.col("o_orderstatus") != "P"
-    payment = record("payment_info", "update", _data(
+    payments = _data(
         user_id="o_custkey", order_id="o_orderkey", payment_type=F.col("o_custkey") % 30, callback_time="later",
-        payment_status=F.when(paid, "1602").otherwise("1601")))
-    status = F.col("o_orderstatus")
-    records = (
-        F.when(status == "F", F.array(opened, payment, turned("1005", "1001"), turned("1006", "1005")))
-        .when(status == "P", F.array(opened, payment, turned("1003", "1001")))
-        .otherwise(F.array(opened, payment, turned("1002", "1001"), touched))
+        payment_status=F.when(F.col("o_orderstatus") != "P", "1602").otherwise("1601"))
+    return _topic(
+        _change(rows, "order_info", "insert", order("1001", None), "o_orderdate"),
+        turned("P", "1003", "1001"),
+        turned("F", "1005", "1001"),
+        turned("F", "1006", "1005"),
+        turned("O", "1002", "1001"),
+        updated("O", "1003", _data(operate_time="at")),
+        _change(rows, "payment_info", "update", payments, "o_orderdate"),
     )
-    rows = rows.select("o_orderdate", F.inline(records))
-    return rows.select(*_change(F.col("table"), F.col("type"), F.col("data"), F.col("old"), "o_orderdate"))
 
 
 def dictionary(nation: DataFrame) -> DataFrame:
@@ -242,15 +247,13 @@ def part_changes(part: DataFrame) -> DataFrame:
     }.items() for x in pair])
     data = _data(id="p_partkey", name="p_name", tm_id="p_brand", size="p_size", price=amount("p_retailprice"))
     kind = F.coalesce(F.try_element_at(kinds, F.col("p_type")), F.lit("bootstrap-start"))
-    rows = part.withColumn("at", F.timestamp_seconds(F.col("p_size")))
-    return rows.select(*_change("part", kind, data, F.lit(None), "at"))
+    return _change(part.withColumn("at", F.timestamp_seconds(F.col("p_size"))), "part", kind, data, "at")
 
 
 def customer_changes(customer: DataFrame) -> DataFrame:
     data = _data(id="c_custkey", name="c_name", nation="c_nationkey", segment="c_mktsegment")
     kind = F.when(F.col("c_mktsegment") == "BUILDING", "update").otherwise("insert")
-    rows = customer.withColumn("at", F.timestamp_seconds(F.col("c_nationkey")))
-    return rows.select(*_change("customer", kind, data, F.lit(None), "at"))
+    return _change(customer.withColumn("at", F.timestamp_seconds(F.col("c_nationkey"))), "customer", kind, data, "at")
 
 
 # Dimensions. Articles carry a product, a trademark and a third-level category;

@@ -45,9 +45,3 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
-
-def set_checkpoint_dir(spark: SparkSession) -> None:
-    """Point ``DataFrame.checkpoint`` at the shared folder if it has no target yet."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark, "lineage"))
