@@ -4,9 +4,10 @@ Change records hold their row as a string map. Every fact filters on the
 plain columns (database, table, type) before it touches the map, projects the
 keys it needs, and joins only then.
 
-``within`` bounds the joins of streams: it is an interval such as
-"15 minutes", put on both event times as a watermark and a range condition.
-Without it the joins are plain, which is the form for tables.
+``within`` bounds the joins of streams: an interval such as "15 minutes" that
+the event times of two joined rows may differ by. Without it the joins are
+plain, which is the form for tables. The watermark is set once, on the topic;
+start such jobs under ``streams.one_topic``.
 """
 
 from __future__ import annotations
@@ -60,9 +61,10 @@ def fields(*names: str) -> list[Column]:
     return [F.col("data")[n].alias(n) for n in names]
 
 
-def event_time(changes: DataFrame) -> DataFrame:
-    """Add ``pt`` from the record's ``ts`` (epoch seconds)."""
-    return changes.withColumn("pt", F.timestamp_seconds(F.col("ts").try_cast("long")))
+def event_time(changes: DataFrame, delay: str = "2 seconds") -> DataFrame:
+    """Add ``pt`` from the record's ``ts`` (epoch seconds), with a watermark if a stream."""
+    timed = changes.withColumn("pt", F.timestamp_seconds(F.col("ts").try_cast("long")))
+    return timed.withWatermark("pt", delay) if timed.isStreaming else timed
 
 
 def code_names(dictionary: DataFrame, code: str, name: str) -> DataFrame:
@@ -72,11 +74,14 @@ def code_names(dictionary: DataFrame, code: str, name: str) -> DataFrame:
 def join_within(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str, within: str | None, right_time: str,
 ) -> DataFrame:
-    """Equi-join; with ``within`` also |left.pt - right.<right_time>| <= within."""
+    """Equi-join; with ``within`` also |left.pt - right.<right_time>| <= within.
+
+    On streams both times must carry a watermark.
+    """
     if within is None:
         return left.join(right.drop(right_time), list(on), how)
     kept = [c for c in right.columns if c not in {*on, right_time}]
-    l, r = left.withWatermark("pt", within).alias("l"), right.withWatermark(right_time, within).alias("r")
+    l, r = left.alias("l"), right.alias("r")
     span = F.expr(f"interval {within}")
     lt, rt = F.col("l.pt"), F.col(f"r.{right_time}")
     condition = (rt >= lt - span) & (rt <= lt + span)

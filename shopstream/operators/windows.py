@@ -2,7 +2,8 @@
 
 Each function takes frames with an event time ``rt`` and works on tables and
 on streams; a stream gets the watermark ``delay``. Results carry ``stt`` and
-``edt`` as text.
+``edt`` as text. Inputs that are united each get their own watermark: the one
+that lags behind holds the windows open.
 
 Distinct counts aggregate twice, by (window, keys, id) and then by (window,
 keys). The ids of a hot key are spread over all tasks, no set is ever built,
@@ -66,7 +67,7 @@ def traffic_window(
         measures(bounces, uj=one),
         measures(pages, sv=entry, pv=one, dur=F.col("during_time")),
     ]
-    union = on_time(reduce(DataFrame.unionByName, parts), delay)
+    union = reduce(DataFrame.unionByName, (on_time(p, delay) for p in parts))
     sums = [F.sum(c).alias(c) for c in ["uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct"]]
     return stamped(union.groupBy(_in(size), *keys).agg(*sums))
 
@@ -185,7 +186,7 @@ def order_window_from_firsts(
                           none.cast("boolean").alias("is_first_ever"), F.lit(0).cast("long").alias("_unique"))
     users = firsts.select("rt", *(none.cast(sums.schema[c].dataType).alias(c) for c in sums.columns[1:5]),
                           "is_first_ever", F.lit(1).cast("long").alias("_unique"))
-    union = on_time(sums.unionByName(users), delay)
+    union = on_time(sums, delay).unionByName(on_time(users, delay))
     parts = union.groupBy(_in(size)).agg(
         *_order_amounts(), F.sum("_unique").alias("_unique"),
         F.sum(F.coalesce(F.col("is_first_ever"), F.lit(False)).cast("long")).alias("_new"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +41,24 @@ def kafka_changes(spark: SparkSession, servers: str, topic: str, **options: str)
     return kafka_table(spark, servers, topic, CHANGE, **options)
 
 
+@contextmanager
+def one_topic(spark: SparkSession) -> Iterator[None]:
+    """Start a job whose inputs are all cut from one topic.
+
+    Filters move below the watermark, so each cut tells its own time. The
+    furthest of them is the time of the topic; without this, a quiet source
+    table would hold the whole job back. Jobs over several topics must keep
+    Spark's default, which waits for the slowest.
+    """
+    key = "spark.sql.streaming.multipleWatermarkPolicy"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "max")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def file_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Text files that arrive in a folder, as a stream of lines."""
     reader = spark.readStream.format("text")

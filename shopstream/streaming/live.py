@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shopstream.functions.keywords import words
 from shopstream.functions.times import parse_time
@@ -37,12 +38,16 @@ class Live:
     def stream(self, name: str, time: str, end: object = END) -> DataFrame:
         """A table as a stream that ends with the closing row."""
         schema = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet").schema
-        last = f"{self.base}/end-{name}"
+        rows = streams.file_table(self.spark, self.sf_dir, schema, glob=f"{name}.parquet")
+        return views.instants(rows.unionByName(self.closing(name, schema, time, end)))
+
+    def closing(self, name: str, schema: StructType, time: str, end: object = END) -> DataFrame:
+        """The closing row of a source: the end as its time, else nulls."""
+        path = f"{self.base}/end-{name}"
         self.spark.range(1).select(*(
             F.lit(end if f.name == time else None).cast(f.dataType).alias(f.name) for f in schema
-        )).write.mode("overwrite").parquet(last)
-        rows = streams.file_table(self.spark, self.sf_dir, schema, glob=f"{name}.parquet")
-        return views.instants(rows.unionByName(streams.file_table(self.spark, last, schema)))
+        )).write.mode("overwrite").parquet(path)
+        return streams.file_table(self.spark, path, schema)
 
     def land(self, df: DataFrame, name: str) -> DataFrame:
         """Run a job into a table and return the table."""
@@ -51,8 +56,9 @@ class Live:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def follow(self, name: str, table: DataFrame) -> DataFrame:
-        """A landed table as a stream."""
-        return streams.file_table(self.spark, f"{self.base}/{name}", table.schema)
+        """A landed table as a stream that ends with the closing row."""
+        rows = streams.file_table(self.spark, f"{self.base}/{name}", table.schema)
+        return rows.where(F.col("rt") < END).unionByName(self.closing(name, table.schema, "rt"))
 
     def table(self, name: str) -> DataFrame:
         return views.table(self.spark, self.sf_dir, name)
@@ -147,7 +153,8 @@ class Live:
 
     def order_wide(self) -> DataFrame:
         """Lines meet their order within a range of event time, both as streams."""
-        lines = self.stream("lineitem", "l_shipdate").select("l_orderkey", "l_linenumber", "l_extendedprice", F.col("l_shipdate").alias("pt"))
+        lines = self.stream("lineitem", "l_shipdate").select(
+            "l_orderkey", "l_linenumber", "l_extendedprice", F.col("l_shipdate").alias("pt")).withWatermark("pt", DAY)
         orders = self.stream("orders", "o_orderdate").select(
-            F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.col("o_orderdate").alias("order_pt"))
+            F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.col("o_orderdate").alias("order_pt")).withWatermark("order_pt", DAY)
         return self.land(facts.join_within(lines, orders, ["l_orderkey"], "inner", "30 days", "order_pt"), "order_wide")

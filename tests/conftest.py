@@ -12,7 +12,7 @@ from shopstream.session import get_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = get_session("tests", "local[8]", **{
-        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.shuffle.partitions": "2",
         "spark.ui.enabled": "false",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
     })
