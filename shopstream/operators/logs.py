@@ -26,22 +26,24 @@ def repair_is_new(logs: DataFrame, mid: str = "mid", is_new: str = "is_new", ts:
     The first row of a visitor fixes its date: that row's day if it says '1',
     else the day before. Later rows that say '1' on another date are wrong.
     Of rows in the same millisecond those that say '1' count as first, so the
-    first row is the minimum of one long and needs no sort.
+    first row is the minimum of one long and needs no sort. Only rows that say
+    '1' can change, so only they are shuffled to meet their visitor's first
+    date; Spark splits a visitor with very many of them.
     """
-    claims = F.col(is_new) == "1"
+    claims = F.coalesce(F.col(is_new) == "1", F.lit(False))
     order = F.col(ts) * 2 + F.when(claims, 0).otherwise(1)
     known = (
         logs.groupBy(mid)
-        .agg(F.min(order).alias("_first"), F.max(F.coalesce(claims, F.lit(False))).alias("_claims"))
+        .agg(F.min(order).alias("_first"), F.max(claims).alias("_claims"))
         .where("_claims")
         .select(mid, _first_date(F.col("_first")).alias("_first_date"))
     )
-    wrong = claims & (F.to_date(time_of_ms(F.col(ts))) != F.col("_first_date"))
-    return (
-        logs.join(known, mid, "left")
+    wrong = F.to_date(time_of_ms(F.col(ts))) != F.col("_first_date")
+    repaired = (
+        logs.where(claims).join(known, mid, "left")
         .withColumn(is_new, F.when(wrong, "0").otherwise(F.col(is_new)))
-        .drop("_first_date")
     )
+    return logs.where(~claims).unionByName(repaired.select(*logs.columns))
 
 
 def _first_date(order: Column) -> Column:
@@ -133,18 +135,26 @@ def bounces(
     also shown to the slot before. The result is exact and a visitor with a
     third of all rows is spread over as many tasks as there are slots.
     """
-    width = within_ms * slots
-    slot = F.floor(F.col(ts) / width)
-    near_start = F.col(ts) - slot * width < within_ms
-    seen_by = F.when(near_start, F.array(slot, slot - 1)).otherwise(F.array(slot))
-    spread = pages.withColumn("_slot", F.explode(seen_by))
-
+    spread, own = in_slots(pages, ts, within_ms, slots)
     ordered = Window.partitionBy(key, "_slot").orderBy(ts, tie)
     entry = F.col("last_page_id").isNull()
     gap = F.lead(ts).over(ordered) - F.col(ts)
     visit_goes_on = (gap < within_ms) & ~F.lead(entry).over(ordered)
     return (
         spread.withColumn("_goes_on", F.coalesce(visit_goes_on, F.lit(False)))
-        .where(entry & ~F.col("_goes_on") & (F.col("_slot") == slot))
+        .where(entry & ~F.col("_goes_on") & own)
         .drop("_slot", "_goes_on")
     )
+
+
+def in_slots(pages: DataFrame, ts: str, within_ms: int, slots: int) -> tuple[DataFrame, Column]:
+    """Rows with the time ``_slot`` that must see them, and the test for a row's own slot.
+
+    A slot is ``slots`` limits wide. A row in the first limit of a slot is
+    also shown to the slot before, whose last rows it may follow.
+    """
+    width = within_ms * slots
+    slot = F.floor(F.col(ts) / width)
+    near_start = F.col(ts) - slot * width < within_ms
+    seen_by = F.when(near_start, F.array(slot, slot - 1)).otherwise(F.array(slot))
+    return pages.withColumn("_slot", F.explode(seen_by)), F.col("_slot") == slot

@@ -278,6 +278,8 @@ STREAMS: dict[str, Callable[[Live], DataFrame]] = {
     "stream_register_window": lambda v: v.registers(),
     "stream_cart_window": lambda v: v.carts(),
     "stream_province_window": lambda v: v.provinces(),
+    "stream_refund_window": lambda v: v.refunds(),
+    "stream_payment_window": lambda v: v.payments(),
     "stream_interval_join": lambda v: v.order_wide(),
 }
 

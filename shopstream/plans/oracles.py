@@ -309,7 +309,7 @@ def oracle_sql() -> dict[str, str]:
     sql = _table_sql()
     same = [
         "is_new_repair", "unique_visitor", "bounce", "log_split", "traffic_window", "page_view_window", "keyword_window",
-        "login_window", "register_window", "cart_window",
+        "login_window", "register_window", "cart_window", "refund_window", "payment_window",
     ]
     return sql | {f"stream_{n}": sql[n] for n in same} | {
         "stream_dim_upsert": _with("""

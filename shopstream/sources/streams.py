@@ -81,9 +81,12 @@ def file_table(
 
 def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
     # A bad line gives a struct of nulls, or a null for '', so the line itself
-    # is kept in an extra field to tell it apart.
+    # is kept in an extra field to tell it apart. The explode keeps the filters
+    # that follow from being pushed into the projection, which would parse the
+    # line again for each of them.
     marked = T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
-    return lines.select("value", F.from_json("value", marked, {"columnNameOfCorruptRecord": BAD}).alias("row"))
+    row = F.from_json("value", marked, {"columnNameOfCorruptRecord": BAD})
+    return lines.select("value", F.explode(F.array(row)).alias("row"))
 
 
 _IS_BAD = f"row is null or row.{BAD} is not null"

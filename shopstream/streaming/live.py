@@ -18,7 +18,7 @@ from shopstream.functions.keywords import words
 from shopstream.functions.times import parse_time
 from shopstream.operators import dims, facts, logs, windows
 from shopstream.plans import views
-from shopstream.plans.warehouse import BACK_DAYS, BOUNCE_MS, DAY, HOUR
+from shopstream.plans.warehouse import BACK_DAYS, BOUNCE_MS, BOUNCE_SLOTS, DAY, HOUR
 from shopstream.session import shared_dir
 from shopstream.sources import sinks, streams
 from shopstream.streaming import state
@@ -101,7 +101,7 @@ class Live:
         return sinks.read_upserts(self.spark, path, ["id"], ["ts"]).drop("ts")
 
     def bounces(self) -> DataFrame:
-        return self.land(state.bounces(self.pages(), "event_id", BOUNCE_MS), "bounces")
+        return self.land(state.bounces(self.pages(), "event_id", BOUNCE_MS, slots=BOUNCE_SLOTS), "bounces")
 
     # Summary tables
 
@@ -151,6 +151,32 @@ class Live:
         result = windows.province_window(rows, DAY)
         return self.land(dims.enrich(result, views.dim_province(self.table("nation")), "province_id", {"province_name": "name"}), "provinces")
 
+    def refunds(self) -> DataFrame:
+        """Returned lines with their order's user, counted by trademark and category; names come last."""
+        orders, part, region = self.table("orders"), self.table("part"), self.table("region")
+        rows = self.stream("lineitem", "l_shipdate").where("l_returnflag = 'R' or l_returnflag is null")
+        rows = rows.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left").select(
+            F.col("l_orderkey").alias("order_id"), views.text("l_partkey").alias("sku_id"), views.text("o_custkey").alias("user_id"),
+            F.col("l_shipdate").alias("rt"))
+        rows = dims.enrich(rows, views.dim_sku(part), "sku_id", {"trademark_id": "tm_id", "category3_id": "category3_id"})
+        result = windows.refund_window(rows, DAY)
+        result = dims.enrich(result, views.dim_trademark(part), "trademark_id", {"trademark_name": "tm_name"})
+        return self.land(dims.with_categories(result, dims.category_chain(
+            views.dim_category3(self.table("nation")), views.dim_category2(region), views.dim_category1(region))), "refunds")
+
+    def payments(self) -> DataFrame:
+        """Paying users from the newest version of each paid detail, kept by state per detail and per user."""
+        orders = self.table("orders").where("o_orderstatus <> 'P'").select("o_orderkey", "o_custkey", "o_orderdate")
+        versions = self.stream("lineitem", "l_shipdate").select(
+            "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("row_op_ts"))
+        newest = state.last_versions(versions, ["l_orderkey", "l_linenumber"], "row_op_ts", hold="4000 days")
+        landed = self.land(newest, "newest")
+        paid = self.spark.readStream.schema(landed.schema).parquet(f"{self.base}/newest")
+        paid = paid.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            views.text("o_custkey").alias("user_id"), (F.col("o_orderdate") + F.expr("interval 10 minutes")).alias("rt"))
+        end = self.closing("paid", paid.schema, "rt")
+        return self.land(windows.payment_window(state.first_rows(paid.unionByName(end), "user_id", ["rt"]), DAY), "payments")
+
     def order_wide(self) -> DataFrame:
         """Lines meet their order within a range of event time, both as streams."""
         lines = self.stream("lineitem", "l_shipdate").select(

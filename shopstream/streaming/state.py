@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from shopstream.operators.logs import in_slots
+
 # Workers get these functions by value: they need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -131,15 +133,19 @@ def repair_is_new(df: DataFrame, key: str = "mid", is_new: str = "is_new", time:
 
 
 def bounces(
-    df: DataFrame, tie: str, within_ms: int = 10_000, delay: str = "2 seconds", key: str = "mid", ts: str = "ts", time: str = "rt",
+    df: DataFrame, tie: str, within_ms: int = 10_000, delay: str = "2 seconds", key: str = "mid", ts: str = "ts",
+    time: str = "rt", slots: int = 360,
 ) -> DataFrame:
     """Entry pages not followed within the limit by a page of the same visit.
 
     Rows wait in state until the watermark is past their limit; by then every
-    row that could follow has been seen, in whatever order it came.
+    row that could follow has been seen, in whatever order it came. As in the
+    batch form a visitor is cut into time slots, so a catch-up over a long
+    time spreads a busy visitor over many tasks.
     """
-    schema = df.schema
-    names = schema.names
+    spread, own = in_slots(df.withWatermark(time, delay), ts, within_ms, slots)
+    spread = spread.withColumn("_own", own)
+    names = df.schema.names
 
     def update(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         waiting = [read_rows(state.get[0])] if state.exists else []
@@ -153,10 +159,10 @@ def bounces(
             state.setTimeoutTimestamp(int(left[ts].min()) + within_ms)
         elif state.exists:
             state.remove()
-        yield rows[settled & entry & ~follows][names]
+        yield rows[settled & entry & ~follows & rows["_own"].astype(bool)][names]
 
     return _with_state(
-        df.withWatermark(time, delay), [key], time, update, schema, "rows binary", GroupStateTimeout.EventTimeTimeout)
+        spread, [key, "_slot"], time, update, df.schema, "rows binary", GroupStateTimeout.EventTimeTimeout)
 
 
 def write_rows(rows: pd.DataFrame) -> bytes:

@@ -225,3 +225,36 @@ def test_each_batch_reads_the_config_anew(spark):
     sinks.for_each_batch(feed.stream(), each, f"{feed.base}/checkpoint").awaitTermination()
     assert seen == [0, 1]
     assert rows(sinks.read_upserts(spark, path, ["id"], ["ts"]), "id", "name") == [("1", "b"), ("2", "c")]
+
+
+def test_payment_and_refund_joins_of_streams(spark):
+    dic = spark.createDataFrame([("1", "one"), ("2", "two"), ("3", "three")], "dic_code string, dic_name string")
+    start = int(START.timestamp())
+
+    def record(seconds, table, kind, old=None, **data):
+        return change(table, kind, data, old, ts=str(start + seconds))
+
+    batches = [
+        [record(0, "order_detail", "insert", id=1, order_id=10, sku_id=7, source_type=1),
+         record(1, "order_info", "insert", id=10, user_id=5, province_id=3, order_status=1001)],
+        [record(30, "payment_info", "update", order_id=10, payment_type=3, payment_status=1602, callback_time=T),
+         record(31, "payment_info", "update", order_id=10, payment_type=99, payment_status=1602, callback_time=T)],
+        [record(60, "order_refund_info", "insert", id=70, order_id=10, sku_id=7, refund_type=1, refund_reason_type=2, refund_num=1, create_time=T),
+         record(61, "order_info", "update", {"order_status": "1002"}, id=10, user_id=5, province_id=3, order_status=1005)],
+        [record(90, "order_info", "update", {"order_status": "1005"}, id=10, user_id=5, province_id=3, order_status=1006),
+         record(91, "refund_payment", "insert", id=80, order_id=10, sku_id=7, payment_type=3, callback_time=T, total_amount="5.00")],
+        [record(10 ** 9, "order_info", "insert", id=-1)],
+    ]
+    feed = Feed(spark, CHANGE).put(*batches)
+    table = spark.createDataFrame([r for b in batches for r in b], CHANGE)
+
+    def jobs(changes, within=None):
+        details = facts.order_details(facts.order_wide(changes, dic, within=within))
+        yield "paid", facts.paid_details(changes, details, dic, within=within), ["order_detail_id", "payment_type_name"]
+        yield "refunds", facts.refunds(changes, dic, within=within), ["id", "province_id", "refund_type_name"]
+        yield "refunds_paid", facts.refunds_paid(changes, dic, within=within), ["id", "user_id", "refund_num"]
+
+    with streams.one_topic(spark):
+        for (name, stream, columns), (_, want, _) in zip(jobs(feed.stream(), "15 minutes"), jobs(table)):
+            got = rows(feed.run(stream, name), *columns)
+            assert got == rows(want, *columns) and len(got) == 1, name
