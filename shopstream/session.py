@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -45,3 +47,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Change a session setting for the jobs started inside."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

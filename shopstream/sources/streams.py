@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopstream.schemas import CHANGE, DICTIONARY, LOG
+from shopstream.session import setting
 
 BAD = "_corrupt_record"
 
@@ -41,8 +41,7 @@ def kafka_changes(spark: SparkSession, servers: str, topic: str, **options: str)
     return kafka_table(spark, servers, topic, CHANGE, **options)
 
 
-@contextmanager
-def one_topic(spark: SparkSession) -> Iterator[None]:
+def one_topic(spark: SparkSession) -> AbstractContextManager[None]:
     """Start a job whose inputs are all cut from one topic.
 
     Filters move below the watermark, so each cut tells its own time. The
@@ -50,13 +49,7 @@ def one_topic(spark: SparkSession) -> Iterator[None]:
     table would hold the whole job back. Jobs over several topics must keep
     Spark's default, which waits for the slowest.
     """
-    key = "spark.sql.streaming.multipleWatermarkPolicy"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "max")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    return setting(spark, "spark.sql.streaming.multipleWatermarkPolicy", "max")
 
 
 def file_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:

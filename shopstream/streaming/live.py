@@ -19,7 +19,7 @@ from shopstream.functions.times import parse_time
 from shopstream.operators import dims, facts, logs, windows
 from shopstream.plans import views
 from shopstream.plans.warehouse import BACK_DAYS, BOUNCE_MS, BOUNCE_SLOTS, DAY, HOUR
-from shopstream.session import shared_dir
+from shopstream.session import setting, shared_dir
 from shopstream.sources import sinks, streams
 from shopstream.streaming import state
 
@@ -29,8 +29,12 @@ END = "2200-01-01 00:00:00"
 
 
 class Live:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """``partitions`` is the number of parts the state of a job is cut into for
+    the life of its checkpoint; by default one per core of the cluster."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, partitions: int | None = None):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        self.partitions = partitions or spark.sparkContext.defaultParallelism
         self.spark = spark
         self.sf_dir = sf_dir
         self.base = shared_dir(spark, "live")
@@ -52,7 +56,8 @@ class Live:
     def land(self, df: DataFrame, name: str) -> DataFrame:
         """Run a job into a table and return the table."""
         path = f"{self.base}/{name}"
-        sinks.to_table(df, path, f"{self.base}/checkpoint-{name}").awaitTermination()
+        with setting(self.spark, "spark.sql.shuffle.partitions", str(self.partitions)):
+            sinks.to_table(df, path, f"{self.base}/checkpoint-{name}").awaitTermination()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def follow(self, name: str, table: DataFrame) -> DataFrame:
@@ -101,7 +106,7 @@ class Live:
         return sinks.read_upserts(self.spark, path, ["id"], ["ts"]).drop("ts")
 
     def bounces(self) -> DataFrame:
-        return self.land(state.bounces(self.pages(), "event_id", BOUNCE_MS, slots=BOUNCE_SLOTS), "bounces")
+        return self.land(state.bounces(self.pages(), "event_id", BOUNCE_MS, slots=10 * BOUNCE_SLOTS), "bounces")
 
     # Summary tables
 

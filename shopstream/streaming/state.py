@@ -13,6 +13,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -74,11 +75,12 @@ def first_rows(
     """
     schema = T.StructType(df.schema.fields + [
         T.StructField("is_first_ever", T.BooleanType()), T.StructField("is_back", T.BooleanType())])
-    names, by = schema.names, list(order)
+    names, by, pause = schema.names, list(order), np.timedelta64(back_days, "D")
 
     def firsts(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(by, kind="stable")
-        return rows[~rows[time].dt.date.duplicated()]
+        if len(rows) > 1:
+            rows = rows.sort_values(by, kind="stable")
+        return rows.iloc[np.unique(days_of(rows[time]), return_index=True)[1]]
 
     def update(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -87,27 +89,30 @@ def first_rows(
         best: pd.DataFrame | None = None
         for chunk in chunks:
             best = firsts(chunk if best is None else pd.concat([best, chunk]))
-        last, before = (date_or_none(d) for d in state.get) if state.exists else (None, None)
+        last, before = state.get if state.exists else (None, None)
         keep, ever, back = [], [], []
-        for day in best[time].dt.date:
-            known = day in (last, before) or (before is not None and day < before)
-            keep.append(not known)
-            ever.append(last is None)
-            back.append(last is not None and (day - last).days >= back_days)
-            if not known:
+        # days as text compare like days
+        for day in days_of(best[time]).astype(str).tolist():
+            if day not in (last, before) and (before is None or day > before):
+                ever.append(last is None)
+                back.append(last is not None and bool(np.datetime64(day) - np.datetime64(last) >= pause))
                 last, before = (day, last) if last is None or day > last else (last, day)
-        state.update((str(last), str(before) if before else None))
+                keep.append(True)
+            else:
+                keep.append(False)
+        state.update((last, before))
         if idle_days is not None:
             state.setTimeoutTimestamp(max(int(best["_ms"].max()), state.getCurrentWatermarkMs()) + idle_days * DAY_MS)
-        yield best.assign(is_first_ever=ever, is_back=back)[keep][names]
+        if ever:
+            yield best[keep].assign(is_first_ever=ever, is_back=back)[names]
 
     keys = [key] if isinstance(key, str) else list(key)
     timeout = GroupStateTimeout.NoTimeout if idle_days is None else GroupStateTimeout.EventTimeTimeout
     return _with_state(df, keys, time, update, schema, "last string, before string", timeout)
 
 
-def date_or_none(text: str | None):
-    return None if text is None else pd.Timestamp(text).date()
+def days_of(times: pd.Series) -> np.ndarray:
+    return times.to_numpy().astype("datetime64[D]")
 
 
 def repair_is_new(df: DataFrame, key: str = "mid", is_new: str = "is_new", time: str = "rt") -> DataFrame:
@@ -119,15 +124,15 @@ def repair_is_new(df: DataFrame, key: str = "mid", is_new: str = "is_new", time:
     names = df.schema.names
 
     def update(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        first = date_or_none(state.get[0]) if state.exists else None
+        first = np.datetime64(state.get[0]) if state.exists else None
         for chunk in chunks:
-            day = chunk[time].dt.date
-            claims = chunk[is_new] == "1"
+            days = days_of(chunk[time])
+            claims = (chunk[is_new] == "1").to_numpy()
             if first is None:
-                start = chunk.assign(_claims=~claims, _day=day).sort_values([time, "_claims"]).iloc[0]
-                first = start["_day"] - pd.Timedelta(days=int(start["_claims"]))
+                at = np.lexsort((~claims, chunk["_ms"].to_numpy()))[0]
+                first = days[at] - int(not claims[at])
                 state.update((str(first),))
-            yield chunk.assign(**{is_new: chunk[is_new].mask(claims & (day != first), "0")})[names]
+            yield chunk.assign(**{is_new: chunk[is_new].mask(claims & (days != first), "0")})[names]
 
     return _with_state(df, [key], time, update, df.schema, "first string", GroupStateTimeout.NoTimeout)
 
@@ -149,17 +154,20 @@ def bounces(
 
     def update(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         waiting = [read_rows(state.get[0])] if state.exists else []
-        rows = pd.concat([*waiting, *chunks]).sort_values([ts, tie]).reset_index(drop=True)
-        entry = rows["last_page_id"].isna()
-        follows = (rows[ts].shift(-1) - rows[ts] < within_ms) & (entry.shift(-1) == False)  # noqa: E712
-        settled = rows[ts] + within_ms <= state.getCurrentWatermarkMs()
-        left = rows[~settled]
-        if len(left):
-            state.update((write_rows(left),))
-            state.setTimeoutTimestamp(int(left[ts].min()) + within_ms)
-        elif state.exists:
+        rows = pd.concat([*waiting, *chunks])
+        if len(rows) > 1:
+            rows = rows.sort_values([ts, tie])
+        times, entry = rows[ts].to_numpy(), rows["last_page_id"].isna().to_numpy()
+        follows = np.append((np.diff(times) < within_ms) & ~entry[1:], False)
+        settled = times + within_ms <= state.getCurrentWatermarkMs()
+        if settled.all():
             state.remove()
-        yield rows[settled & entry & ~follows & rows["_own"].astype(bool)][names]
+        else:
+            state.update((write_rows(rows[~settled]),))
+            state.setTimeoutTimestamp(int(times[~settled][0]) + within_ms)
+        found = settled & entry & ~follows & rows["_own"].to_numpy(dtype=bool)
+        if found.any():
+            yield rows.loc[found, names]
 
     return _with_state(
         spread, [key, "_slot"], time, update, df.schema, "rows binary", GroupStateTimeout.EventTimeTimeout)
