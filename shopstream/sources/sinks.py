@@ -62,6 +62,11 @@ def summary_rows(dws: DataFrame, columns: Sequence[str]) -> DataFrame:
     return dws.select("stt", "edt", *columns, now_ms().alias("ts"), F.col("stt").cast("date").alias("dt"))
 
 
+def create_table(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Start a keyed table without rows, unless it is there."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/{BATCH}=-1")
+
+
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     """Write one batch of a keyed table, replacing an earlier try."""
     rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")

@@ -71,6 +71,16 @@ def test_keyed_table_survives_a_repeated_batch(spark):
     assert rows(sinks.read_upserts(spark, target, ["id"], ["ts"]), "id", "name") == [("1", "z"), *want[1:]]
 
 
+def test_table_from_a_rule_starts_empty(spark):
+    path = shared_dir(spark, "new")
+    schema = dims.sink_schema(RULE)
+    sinks.create_table(spark, path, schema)
+    assert rows(sinks.read_upserts(spark, path, ["id"], [])) == []
+    sinks.upsert_batches(path, ["id"], ["name"])(spark.createDataFrame([("1", "a")], schema), 0)
+    sinks.create_table(spark, path, schema)
+    assert rows(sinks.read_upserts(spark, path, ["id"], [])) == [("1", "a")]
+
+
 def test_summary_rows(spark):
     df = spark.createDataFrame([("2024-01-01 00:00:00", "2024-01-01 00:00:10", 1, "helper")], "stt string, edt string, n long, ids string")
     got = sinks.summary_rows(df, ["n"])
