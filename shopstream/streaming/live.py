@@ -18,7 +18,7 @@ from shopstream.functions.keywords import words
 from shopstream.functions.times import parse_time
 from shopstream.operators import dims, facts, logs, windows
 from shopstream.plans import views
-from shopstream.plans.warehouse import BACK_DAYS, BOUNCE_MS, BOUNCE_SLOTS, DAY, HOUR
+from shopstream.plans.warehouse import BACK_DAYS, BOUNCE_MS, DAY, HOUR
 from shopstream.session import setting, shared_dir
 from shopstream.sources import sinks, streams
 from shopstream.streaming import state
@@ -27,6 +27,10 @@ from shopstream.streaming import state
 # row of this time, which closes all windows before it; its own stays open.
 END = "2200-01-01 00:00:00"
 
+# State is called per visitor and slot; a visitor of these tables has few rows a
+# day, so a stream takes wider slots than a table (BOUNCE_SLOTS).
+STREAM_SLOTS = 400
+
 
 class Live:
     """``partitions`` is the number of parts the state of a job is cut into for
@@ -107,7 +111,7 @@ class Live:
         return sinks.read_upserts(self.spark, path, ["id"], ["ts"]).drop("ts")
 
     def bounces(self) -> DataFrame:
-        return self.land(state.bounces(self.pages(), "event_id", BOUNCE_MS, slots=10 * BOUNCE_SLOTS), "bounces")
+        return self.land(state.bounces(self.pages(), "event_id", BOUNCE_MS, slots=STREAM_SLOTS), "bounces")
 
     # Summary tables
 
