@@ -132,30 +132,28 @@ def segments(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.ascontiguousarray(rows.T), lengths, owner
 
 
-def train(texts: list[bytes], langs: list[str], units: int = 6, epochs: int = 8, rows: int = 256, seed: int = 7) -> Network:
+def train(texts: list[bytes], langs: list[str], units: int = 6, steps: int = 320, rows: int = 256, seed: int = 7) -> Network:
     """A network fitted to segments by Adam; the same input gives the same network."""
     net = Network(sorted(set(langs)), units, seed)
     bytes_, lengths, owner = segments(texts)
     lang = np.array([net.langs.index(x) for x in langs])[owner]
     weight = (np.arange(SEGMENT)[:, None] < lengths).astype(np.float32)
-    rng, step = np.random.default_rng(seed), 0
+    rng, order = np.random.default_rng(seed), np.zeros(0, np.int64)
     mean, square = ([np.zeros_like(p) for p in net.parameters()] for _ in range(2))
-    total = epochs * -(-len(owner) // rows)
-    for _ in range(epochs):
-        order = rng.permutation(len(owner))
-        for at in range(0, len(order), rows):
-            some = order[at:at + rows]
-            step += 1
-            rate = 0.03 * (1 - step / (total + 1)) * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step)
-            grads = net.gradients(np.ascontiguousarray(bytes_[:, some]), lang[some], weight[:, some])
-            for p, g, m, s in zip(net.parameters(), grads, mean, square, strict=True):
-                m += 0.1 * (g - m)
-                s += 0.001 * (g * g - s)
-                p -= rate * m / (np.sqrt(s) + 1e-8)
+    for step in range(1, steps + 1):
+        if not len(order):
+            order = rng.permutation(len(owner))
+        some, order = order[:rows], order[rows:]
+        rate = 0.03 * (1 - step / (steps + 1)) * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step)
+        grads = net.gradients(np.ascontiguousarray(bytes_[:, some]), lang[some], weight[:, some])
+        for p, g, m, s in zip(net.parameters(), grads, mean, square, strict=True):
+            m += 0.1 * (g - m)
+            s += 0.001 * (g * g - s)
+            p -= rate * m / (np.sqrt(s) + 1e-8)
     return net
 
 
-def fit(labelled: DataFrame, per_lang: int = 1200, cuts: int = 2, **settings) -> Network | None:
+def fit(labelled: DataFrame, per_lang: int = 1200, cuts: int = 4, **settings) -> Network | None:
     """A network from (text, lang): at most about ``per_lang`` texts of a language, ``cuts`` segments of each.
 
     Texts are chosen, and cut, by a digest of their content, so any order and
