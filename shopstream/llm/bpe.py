@@ -20,10 +20,11 @@ from struct import pack
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-# Fixed value: how byte-level vocabularies of this kind cut text into words
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Fixed value, the branch for words put first: how byte-level vocabularies of this kind cut text into words
+WORDS = r" ?\p{L}+| ?\p{N}+|'(?:[stmd]|re|ve|ll)| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SHORT = 64
 NEVER = 1 << 30
 ROWS = 4096  # words in a matrix
@@ -186,16 +187,11 @@ class Encoder:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-_loaded: dict[str, Encoder] = {}
-
-
-def _encoder(data: bytes) -> Encoder:
-    """One encoder per worker process and vocabulary."""
-    name = hashlib.md5(data).hexdigest()
-    if name not in _loaded:
-        _loaded.clear()
-        _loaded[name] = Encoder(data)
-    return _loaded[name]
+def _encoder(held: Broadcast) -> Encoder:
+    """One encoder per worker process: it stays with the process's copy of the vocabulary."""
+    if not hasattr(held, "encoder"):
+        held.encoder = Encoder(held.value)
+    return held.encoder
 
 
 def encode(docs: DataFrame, path: str, *, ids: bool = True) -> DataFrame:
@@ -210,7 +206,7 @@ def encode(docs: DataFrame, path: str, *, ids: bool = True) -> DataFrame:
         held = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary, bounded by its file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(held.value)
+        encoder = _encoder(held)
         for b in batches:
             found = encoder.encode([t or "" for t in b["text"].to_pylist()])
             back = [encoder.decode(x) for x in found]
@@ -234,7 +230,7 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
         held = tokens.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(held.value)
+        encoder = _encoder(held)
         for b in batches:
             texts = [encoder.decode(np.array(x or [], "<u4").tobytes()) for x in b["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(texts, pa.string())], ["doc_id", "text"])

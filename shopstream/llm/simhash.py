@@ -248,8 +248,8 @@ def near_duplicates(docs: DataFrame, width: int = 4, near: int = 4, blocks: int
     return _groups(docs, (width,), near, blocks).select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, similarity: float = 0.8, width: int = 5, *, widths: tuple[int, ...] = (1, 2), near: int = 7,
-               blocks: int = 4) -> DataFrame:
+def keep_first(docs: DataFrame, similarity: float = 0.8, width: int = 5, *, widths: tuple[int, ...] = (1,), near: int = 5,
+               blocks: int = 3) -> DataFrame:
     """``docs`` with one row of every group of near duplicates: that of the smallest doc_id.
 
     Candidates have fingerprints of ``widths`` at most ``near`` bits apart;

@@ -114,11 +114,12 @@ def repeats(docs: DataFrame, min_words: int = 16) -> DataFrame:
 
     start and end are characters (code points), end exclusive. A passage is a
     run of chunks that each occur in another document too, ``min_words`` words
-    or more in all. first_doc is the latest of its chunks' first documents, and
-    kept marks passages that are first here. Documents are told apart by
-    doc_id and text, so a repeated row is no repeat of itself; null ids count
-    as documents but are never first. Null, empty and shared-nothing texts have
-    no rows; other columns are left out.
+    or more in all. It comes in parts where its chunks turn from being first
+    here (kept) to being first elsewhere; first_doc is the latest of a part's
+    first documents. Documents are told apart by doc_id and text, so a repeated
+    row is no repeat of itself; null ids count as documents but are never
+    first. Null, empty and shared-nothing texts have no rows; other columns are
+    left out.
     """
     every = chunks(docs)
     shared = (every.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("_last"),
@@ -131,12 +132,15 @@ def repeats(docs: DataFrame, min_words: int = 16) -> DataFrame:
     rows = rows.withColumn("end", F.col("start") + F.col("_size")).distinct()
     along = Window.partitionBy("doc_id", "_text").orderBy("start")
     opens = F.when(F.lag("end").over(along) == F.col("start"), 0).otherwise(1)
-    rows = rows.withColumn("_opens", opens).withColumn("_run", F.sum("_opens").over(along))
-    return (rows.groupBy("doc_id", "_text", "_run")
+    rows = (rows.withColumn("kept", F.coalesce(F.col("first_doc") == F.col("doc_id"), F.lit(False)))
+            .withColumn("_opens", opens)
+            .withColumn("_turns", F.when((F.col("_opens") == 1) | (F.lag("kept").over(along) != F.col("kept")), 1).otherwise(0))
+            .withColumn("_run", F.sum("_opens").over(along)).withColumn("_part", F.sum("_turns").over(along)))
+    whole = Window.partitionBy("doc_id", "_text", "_run")  # a text's chunks at most
+    return (rows.withColumn("_all", F.sum("_words").over(whole)).where(F.col("_all") >= min_words)
+            .groupBy("doc_id", "_text", "_part", "kept")
             .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("_words").alias("n_words"),
                  F.max("first_doc").alias("first_doc"))
-            .where(F.col("n_words") >= min_words)
-            .withColumn("kept", F.coalesce(F.col("first_doc") == F.col("doc_id"), F.lit(False)))
             .select("doc_id", "_text", "start", "end", "n_words", "first_doc", "kept"))
 
 
