@@ -38,16 +38,15 @@ def flag_rows(df: DataFrame, key: str, time: str, tie: str) -> DataFrame:
     """Every input row with ``is_daily_first`` (first of its key's day) and
     ``is_first_ever`` (first of its key). ``(time, tie)`` must be unique within a key.
 
-    The first rows are found by a map-side combined aggregate and joined back
-    on (key, time, tie). That join key is unique per row, so the rows of a hot
-    key spread over all tasks.
+    The earliest times, and the smallest tie at each, are found by map-side
+    combined aggregates over plain values and joined back on (key, time, tie).
+    That join key is unique per row, so the rows of a hot key spread over all
+    tasks.
     """
-    firsts = (
-        df.groupBy(key, F.to_date(time).alias("dt"))
-        .agg(F.min(F.struct(time, tie)).alias("first"))
-    )
-    firsts = with_first_ever(firsts, key).select(
-        key, f"first.{time}", f"first.{tie}", F.lit(True).alias("is_daily_first"), "is_first_ever")
+    times = with_first_ever(daily_first(df, [key], time), key).drop("dt")
+    ties = df.groupBy(key, time).agg(F.min(tie).alias(tie))
+    firsts = ties.join(times, [key, time]).select(
+        key, time, tie, F.lit(True).alias("is_daily_first"), "is_first_ever")
     no = F.lit(False)
     return df.join(firsts, [key, time, tie], "left").withColumns({
         "is_daily_first": F.coalesce("is_daily_first", no), "is_first_ever": F.coalesce("is_first_ever", no),

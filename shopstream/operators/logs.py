@@ -30,14 +30,23 @@ def repair_is_new(logs: DataFrame, mid: str = "mid", is_new: str = "is_new", ts:
     '1' can change, so only they are shuffled to meet their visitor's first
     date; Spark splits a visitor with very many of them.
     """
+    return repair_with(logs, first_seen(logs, mid, is_new, ts), mid, is_new, ts)
+
+
+def first_seen(logs: DataFrame, mid: str = "mid", is_new: str = "is_new", ts: str = "ts") -> DataFrame:
+    """(mid, first_order): each visitor's first row as one long, twice its time and odd if it claims nothing.
+
+    The smaller of two such numbers is that of both sets of rows together.
+    """
     claims = F.coalesce(F.col(is_new) == "1", F.lit(False))
     order = F.col(ts) * 2 + F.when(claims, 0).otherwise(1)
-    known = (
-        logs.groupBy(mid)
-        .agg(F.min(order).alias("_first"), F.max(claims).alias("_claims"))
-        .where("_claims")
-        .select(mid, _first_date(F.col("_first")).alias("_first_date"))
-    )
+    return logs.groupBy(mid).agg(F.min(order).alias("first_order"))
+
+
+def repair_with(logs: DataFrame, firsts: DataFrame, mid: str = "mid", is_new: str = "is_new", ts: str = "ts") -> DataFrame:
+    """:func:`repair_is_new` where the visitors' first rows are known."""
+    claims = F.coalesce(F.col(is_new) == "1", F.lit(False))
+    known = firsts.select(mid, _first_date(F.col("first_order")).alias("_first_date"))
     wrong = F.to_date(time_of_ms(F.col(ts))) != F.col("_first_date")
     repaired = (
         logs.where(claims).join(known, mid, "left")

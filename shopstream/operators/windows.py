@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shopstream.functions.money import minor, total
+from shopstream.functions.money import major, minor, total
 from shopstream.functions.times import TIME_FORMAT
 from shopstream.operators.flags import daily_first, with_first_ever, with_returning
 
@@ -192,7 +192,7 @@ def order_window_from_firsts(
         F.sum(F.coalesce(F.col("is_first_ever"), F.lit(False)).cast("long")).alias("_new"))
 
     def units(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0).cast("long")) / F.lit(100.0)
+        return major(F.coalesce(F.col(name), F.lit(0).cast("long")))
 
     return stamped(parts.select(
         "window",

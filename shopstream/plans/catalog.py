@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shopstream.functions import keywords, times
 from shopstream.operators import dims, facts, flags, logs, windows
 from shopstream.plans import reports, views
-from shopstream.plans.warehouse import Warehouse
+from shopstream.plans.warehouse import Stored, Warehouse
 from shopstream.session import shared_dir
 from shopstream.sources import sinks, streams
 from shopstream.streaming.live import Live
@@ -74,8 +74,7 @@ def summary_table(w: Warehouse) -> DataFrame:
     """Traffic rows written to a table partitioned by day and read back without the write time."""
     path = shared_dir(w.spark, "dws_traffic")
     columns = ["vc", "ch", "ar", "is_new", "uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct"]
-    rows = sinks.summary_rows(w.traffic(), columns)
-    rows.write.partitionBy("dt").parquet(path)
+    sinks.write_summary(sinks.summary_rows(w.traffic(), columns), path)
     return w.spark.read.parquet(path).drop("ts")
 
 
@@ -134,8 +133,7 @@ def keyword_dictionary(w: Warehouse) -> DataFrame:
 
 def keyword_udtf(w: Warehouse) -> DataFrame:
     keywords.register(w.spark)
-    w.searches().createOrReplaceTempView("searches")
-    return w.spark.sql("select word, count(*) as n from searches, lateral split_words(item) group by word")
+    return w.spark.sql("select word, count(*) as n from {searches}, lateral split_words(item) group by word", searches=w.searches())
 
 
 def time_functions(w: Warehouse) -> DataFrame:
@@ -149,10 +147,6 @@ def time_functions(w: Warehouse) -> DataFrame:
         times.compare_times(late, later).alias("order_no"), times.on_day(F.col("o_orderdate"), "1998-10-03").alias("that_day"))
 
 
-def keyword_score(w: Warehouse) -> DataFrame:
-    return reports.keyword_scores(w.keywords())
-
-
 def returning_user(w: Warehouse) -> DataFrame:
     firsts = windows.login_firsts(windows.login_rows(w.pages()), 2)
     return firsts.select("uid", "dt", "is_back")
@@ -236,34 +230,46 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "sum_window": lambda w: windows.sum_window(w.pages(), ["mid"], "during_time", "1 hour"),
     "summary_table": summary_table,
     "time_functions": time_functions,
-    # Reports
-    "report_activity": lambda w: reports.activity_stats(w.orders()),
-    "report_coupon": lambda w: reports.coupon_stats(w.orders()),
-    "report_trademark": lambda w: reports.trademark_stats(w.user_spu(), w.refunds()),
-    "report_trademark_amount": lambda w: reports.trademark_amounts(w.user_spu()),
-    "report_category": lambda w: reports.category_stats(w.user_spu(), w.refunds()),
-    "report_spu": lambda w: reports.spu_stats(w.user_spu()),
-    "report_top_trademark": lambda w: reports.top_trademarks(w.user_spu()),
-    "report_total_amount": lambda w: reports.total_amount(w.provinces()),
-    "report_trade": lambda w: reports.trade_stats(w.user_spu(), w.refunds()),
-    "report_province_orders": lambda w: reports.province_orders(w.provinces()),
-    "report_province_amount": lambda w: reports.province_amounts(w.provinces()),
-    "report_channel_uv": lambda w: reports.channel_visitors(w.traffic()),
-    "report_channel_sessions": lambda w: reports.channel_sessions(w.traffic()),
-    "report_channel_pages": lambda w: reports.channel_pages_per_session(w.traffic()),
-    "report_channel_time": lambda w: reports.channel_time_per_session(w.traffic()),
-    "report_channel_bounce": lambda w: reports.channel_bounce_rate(w.traffic()),
-    "report_channel_uv_uj": lambda w: reports.channel_visitors_and_bounces(w.traffic()),
-    "report_keyword": keyword_score,
-    "report_visitor_type": lambda w: reports.visitor_types(w.traffic()),
-    "report_visitor_table": lambda w: reports.visitor_type_table(w.traffic()),
-    "report_hourly": lambda w: reports.hourly_visitors(w.traffic()),
-    "report_hourly_filled": lambda w: reports.hourly_visitors_filled(w.traffic()),
-    "report_funnel": lambda w: reports.funnel(w.page_views(), w.carts(), w.orders(), w.payments()),
-    "report_user_change": lambda w: reports.user_changes(w.logins(), w.registers()),
-    "report_new_trade_users": lambda w: reports.new_trade_users(w.orders(), w.payments()),
 }
 
+# Each takes the summary tables and a day, or None for all days
+REPORTS: dict[str, Callable[[Warehouse, reports.Day], DataFrame]] = {
+    "report_activity": lambda w, day: reports.activity_stats(w.orders(), day),
+    "report_coupon": lambda w, day: reports.coupon_stats(w.orders(), day),
+    "report_trademark": lambda w, day: reports.trademark_stats(w.user_spu(), w.refunds(), day),
+    "report_trademark_amount": lambda w, day: reports.trademark_amounts(w.user_spu(), day),
+    "report_category": lambda w, day: reports.category_stats(w.user_spu(), w.refunds(), day),
+    "report_spu": lambda w, day: reports.spu_stats(w.user_spu(), day),
+    "report_top_trademark": lambda w, day: reports.top_trademarks(w.user_spu(), day),
+    "report_total_amount": lambda w, day: reports.total_amount(w.provinces(), day),
+    "report_trade": lambda w, day: reports.trade_stats(w.user_spu(), w.refunds(), day),
+    "report_province_orders": lambda w, day: reports.province_orders(w.provinces(), day),
+    "report_province_amount": lambda w, day: reports.province_amounts(w.provinces(), day),
+    "report_channel_uv": lambda w, day: reports.channel_visitors(w.traffic(), day),
+    "report_channel_sessions": lambda w, day: reports.channel_sessions(w.traffic(), day),
+    "report_channel_pages": lambda w, day: reports.channel_pages_per_session(w.traffic(), day),
+    "report_channel_time": lambda w, day: reports.channel_time_per_session(w.traffic(), day),
+    "report_channel_bounce": lambda w, day: reports.channel_bounce_rate(w.traffic(), day),
+    "report_channel_uv_uj": lambda w, day: reports.channel_visitors_and_bounces(w.traffic(), day),
+    "report_keyword": lambda w, day: reports.keyword_scores(w.keywords(), day),
+    "report_visitor_type": lambda w, day: reports.visitor_types(w.traffic(), day),
+    "report_visitor_table": lambda w, day: reports.visitor_type_table(w.traffic(), day),
+    "report_hourly": lambda w, day: reports.hourly_visitors(w.traffic(), day),
+    "report_hourly_filled": lambda w, day: reports.hourly_visitors_filled(w.traffic(), day),
+    "report_funnel": lambda w, day: reports.funnel(w.page_views(), w.carts(), w.orders(), w.payments(), day),
+    "report_user_change": lambda w, day: reports.user_changes(w.logins(), w.registers(), day),
+    "report_new_trade_users": lambda w, day: reports.new_trade_users(w.orders(), w.payments(), day),
+}
+
+# The one day of a report: one that the tables hold, by what it reads.
+EVENT_DAY, ORDER_DAY, SEARCH_DAY = "2024-01-15", "1995-06-17", "1970-01-01"
+REPORT_DAYS = {name: ORDER_DAY for name in REPORTS} | {"report_keyword": SEARCH_DAY, "report_user_change": EVENT_DAY} | {
+    name: EVENT_DAY for name in REPORTS if name.startswith(("report_channel", "report_visitor", "report_hourly"))}
+
+OPERATORS |= {name: lambda w, build=build: build(w, None) for name, build in REPORTS.items()}
+OPERATORS |= {f"{name}_day": lambda w, build=build, day=REPORT_DAYS[name]: build(Stored(w.spark, w.sf_dir), day)
+              for name, build in REPORTS.items()}
+
 
 STREAMS: dict[str, Callable[[Live], DataFrame]] = {
     "stream_is_new_repair": lambda v: v.repaired().select("event_id", "mid", "ts", "is_new"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from shopstream.plans.catalog import REPORT_DAYS
+
 
 def _case(column: str, names: dict[str, str]) -> str:
     whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in names.items())
@@ -307,6 +309,7 @@ _IS_START = "(event_type = 'signup' AND value >= 80)"
 def oracle_sql() -> dict[str, str]:
     """SQL per query; a stream must give what the same job gives on tables."""
     sql = _table_sql()
+    sql |= {f"{name}_day": f"SELECT * FROM ({sql[name]}) AS every WHERE dt = DATE '{day}'" for name, day in REPORT_DAYS.items()}
     same = [
         "is_new_repair", "unique_visitor", "bounce", "log_split", "traffic_window", "page_view_window", "keyword_window",
         "login_window", "register_window", "cart_window", "refund_window", "payment_window",

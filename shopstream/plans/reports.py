@@ -1,9 +1,10 @@
 """Daily reports over the windowed aggregates.
 
 Every report takes ``day``: a date for one day, :data:`TODAY`, or None for all
-days at once. Rows carry the day as ``dt``. The filter is a range on the
-window start, or on the partition column ``dt`` where the table has one, so
-it reaches the scan.
+days at once. Rows carry the day as ``dt``. A stored summary table is
+partitioned by ``dt``, and a report of one day reads that partition only. Over
+windows that are worked out on the fly the day is a range on the window start,
+after the aggregate.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shopstream.functions.money import ratio
+from shopstream.functions.money import minor, ratio, total
 
 TODAY = "today"
 Day = date | str | None
@@ -44,13 +45,13 @@ def _sum(name: str, alias: str | None = None) -> Column:
     return F.sum(name).alias(alias or name)
 
 
-def _cents(name: str) -> Column:
-    """Sum of window amounts, exact: amounts hold two decimals."""
-    return (F.sum(F.round(F.col(name) * 100).cast("long")) / F.lit(100.0)).alias(name)
+def _amount(name: str) -> Column:
+    """Sum of window amounts, exact to a millionth."""
+    return total(minor(F.col(name))).alias(name)
 
 
 def _subsidy(orders: DataFrame, day: Day, reduce: str, alias: str, rate: str) -> DataFrame:
-    sums = _daily(orders, day).groupBy("dt").agg(_cents(reduce), _cents("order_origin_total_amount"))
+    sums = _daily(orders, day).groupBy("dt").agg(_amount(reduce), _amount("order_origin_total_amount"))
     share = F.round(ratio(F.round(reduce, 5), F.round("order_origin_total_amount", 5)), 20)
     return sums.select(
         "dt", F.col(reduce).alias(alias), F.col("order_origin_total_amount").alias("origin_total_amount"), share.alias(rate))
@@ -70,7 +71,7 @@ def _goods(orders: DataFrame, refunds: DataFrame, day: Day, ids: list[str], name
     """Order and refund measures side by side; a side without rows counts as 0."""
     keys = ["dt", *ids]
     bought = _daily(orders, day).groupBy(*keys, *names).agg(
-        _sum("order_count"), F.count_distinct("user_id").alias("uu_count"), _cents("order_amount"))
+        _sum("order_count"), F.count_distinct("user_id").alias("uu_count"), _amount("order_amount"))
     returned = _daily(refunds, day).groupBy(*keys, *names).agg(
         _sum("refund_count"), F.count_distinct("user_id").alias("refund_uu_count"))
     o, r = bought.alias("o"), returned.alias("r")
@@ -93,24 +94,24 @@ def category_stats(orders: DataFrame, refunds: DataFrame, day: Day = None) -> Da
 
 def trademark_amounts(orders: DataFrame, day: Day = None) -> DataFrame:
     """Amount per trademark (pie chart)."""
-    return _daily(orders, day).groupBy("dt", "trademark_id", "trademark_name").agg(_cents("order_amount")).drop("trademark_id")
+    return _daily(orders, day).groupBy("dt", "trademark_id", "trademark_name").agg(_amount("order_amount")).drop("trademark_id")
 
 
 def spu_stats(orders: DataFrame, day: Day = None) -> DataFrame:
     return _daily(orders, day).groupBy("dt", "spu_id", "spu_name").agg(
-        _sum("order_count"), F.count_distinct("user_id").alias("uu_count"), _cents("order_amount")).drop("spu_id")
+        _sum("order_count"), F.count_distinct("user_id").alias("uu_count"), _amount("order_amount")).drop("spu_id")
 
 
 def top_trademarks(orders: DataFrame, day: Day = None, limit: int = 5) -> DataFrame:
     """The ``limit`` trademarks with the highest amount of a day; ties by name."""
-    amounts = _daily(orders, day).groupBy("dt", "trademark_name").agg(_cents("order_amount"))
+    amounts = _daily(orders, day).groupBy("dt", "trademark_name").agg(_amount("order_amount"))
     best = Window.partitionBy("dt").orderBy(F.desc("order_amount"), "trademark_name")
     return amounts.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= limit).drop("_rank")
 
 
 def total_amount(provinces: DataFrame, day: Day = None) -> DataFrame:
     """Order amount of the day."""
-    return _daily(provinces, day).groupBy("dt").agg(_cents("order_amount")).withColumnRenamed("order_amount", "order_total_amount")
+    return _daily(provinces, day).groupBy("dt").agg(_amount("order_amount")).withColumnRenamed("order_amount", "order_total_amount")
 
 
 def _unpivot(df: DataFrame, label: str, value: str, rows: dict[str, str]) -> DataFrame:
@@ -134,7 +135,7 @@ def province_orders(provinces: DataFrame, day: Day = None) -> DataFrame:
 def province_amounts(provinces: DataFrame, day: Day = None) -> DataFrame:
     """Amount per province that has a name."""
     named = _daily(provinces, day).where("province_name is not null and province_name <> ''")
-    return named.groupBy("dt", "province_id", "province_name").agg(_cents("order_amount")).drop("province_id")
+    return named.groupBy("dt", "province_id", "province_name").agg(_amount("order_amount")).drop("province_id")
 
 
 def _channel(traffic: DataFrame, day: Day, value: Column, name: str) -> DataFrame:

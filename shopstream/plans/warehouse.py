@@ -9,6 +9,8 @@ from shopstream.functions.keywords import words
 from shopstream.functions.times import parse_time
 from shopstream.operators import dims, facts, flags, logs, windows
 from shopstream.plans import views
+from shopstream.session import shared_dir
+from shopstream.sources import sinks
 
 HOUR = "1 hour"
 DAY = "1 day"
@@ -126,3 +128,51 @@ class Warehouse:
 
     def keywords(self, size: str = windows.SIZE) -> DataFrame:
         return windows.keyword_window(self.searches(), words(F.col("item")), size=size)
+
+
+class Stored(Warehouse):
+    """The same summary tables as they lie in store: partitioned by day, written once per session."""
+
+    _written: dict[tuple[str, str, str], str] = {}
+
+    def _stored(self, name: str) -> DataFrame:
+        place = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if place not in self._written:
+            rows = getattr(Warehouse(self.spark, self.sf_dir), name)()
+            path = shared_dir(self.spark, f"dws-{name}")
+            sinks.write_summary(sinks.summary_rows(rows, [c for c in rows.columns if c not in ("stt", "edt")]), path)
+            self._written[place] = path
+        return self.spark.read.parquet(self._written[place]).drop("ts")
+
+    def traffic(self, size: str = HOUR) -> DataFrame:
+        return self._stored("traffic")
+
+    def page_views(self, size: str = HOUR) -> DataFrame:
+        return self._stored("page_views")
+
+    def logins(self, size: str = HOUR) -> DataFrame:
+        return self._stored("logins")
+
+    def registers(self, size: str = HOUR) -> DataFrame:
+        return self._stored("registers")
+
+    def carts(self, size: str = HOUR) -> DataFrame:
+        return self._stored("carts")
+
+    def orders(self, size: str = DAY) -> DataFrame:
+        return self._stored("orders")
+
+    def payments(self, size: str = DAY) -> DataFrame:
+        return self._stored("payments")
+
+    def provinces(self, size: str = DAY) -> DataFrame:
+        return self._stored("provinces")
+
+    def user_spu(self, size: str = DAY) -> DataFrame:
+        return self._stored("user_spu")
+
+    def refunds(self, size: str = DAY) -> DataFrame:
+        return self._stored("refunds")
+
+    def keywords(self, size: str = windows.SIZE) -> DataFrame:
+        return self._stored("keywords")

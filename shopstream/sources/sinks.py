@@ -62,6 +62,11 @@ def summary_rows(dws: DataFrame, columns: Sequence[str]) -> DataFrame:
     return dws.select("stt", "edt", *columns, now_ms().alias("ts"), F.col("stt").cast("date").alias("dt"))
 
 
+def write_summary(rows: DataFrame, path: str) -> None:
+    """Write rows of :func:`summary_rows` by day. Spark gathers small days and splits large ones by their measured size."""
+    rows.hint("rebalance", F.col("dt")).write.mode("append").partitionBy("dt").parquet(path)
+
+
 def create_table(spark: SparkSession, path: str, schema: StructType) -> None:
     """Start a keyed table without rows, unless it is there."""
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/{BATCH}=-1")
@@ -96,7 +101,11 @@ def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], or
 
 
 def to_jdbc(url: str, table: str, batch_rows: int = 10_000, **options: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function that appends to a database table. Needs the database's driver."""
+    """``foreachBatch`` function that appends to a database table. Needs the database's driver.
+
+    At least once: a batch that is tried again appends its rows again, so the
+    table's readers must take one row per key.
+    """
     def write(rows: DataFrame, batch_id: int) -> None:
         rows.write.format("jdbc").mode("append").options(
             url=url, dbtable=table, batchsize=str(batch_rows), **options).save()

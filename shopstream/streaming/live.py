@@ -12,7 +12,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from shopstream.functions.keywords import words
 from shopstream.functions.times import parse_time
@@ -23,13 +22,19 @@ from shopstream.session import setting, shared_dir
 from shopstream.sources import sinks, streams
 from shopstream.streaming import state
 
-# A window closes when the watermark passes it. A finished source ends with one
-# row of this time, which closes all windows before it; its own stays open.
+# A window closes when the watermark passes it. So that a finished source gives
+# all its windows, its facts are followed by one row of this time and nulls; the
+# row's own window stays open. No fact is ever made from it.
 END = "2200-01-01 00:00:00"
 
-# State is called per visitor and slot; a visitor of these tables has few rows a
-# day, so a stream takes wider slots than a table (BOUNCE_SLOTS).
-STREAM_SLOTS = 400
+# State is called per visitor and slot of 10 days; only rows whose limit has not
+# passed stay in it.
+STREAM_SLOTS = 40
+
+
+# A table is replayed in this many micro-batches, in order of its time.
+BATCHES = 4
+TIMES = {"events": "ts", "lineitem": "l_shipdate", "orders": "o_orderdate", "documents": "doc_id"}
 
 
 class Live:
@@ -42,61 +47,105 @@ class Live:
         self.spark = spark
         self.sf_dir = sf_dir
         self.base = shared_dir(spark, "live")
-
-    def stream(self, name: str, time: str, end: object = END) -> DataFrame:
-        """A table as a stream that ends with the closing row."""
-        schema = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet").schema
-        rows = streams.file_table(self.spark, self.sf_dir, schema, glob=f"{name}.parquet")
-        return views.instants(rows.unionByName(self.closing(name, schema, time, end)))
-
-    def closing(self, name: str, schema: StructType, time: str, end: object = END) -> DataFrame:
-        """The closing row of a source: the end as its time, else nulls."""
+        self.dealt: set[str] = set()
+        self.closing: list[tuple[DataFrame, str]] = []
+
+    def stream(self, name: str) -> DataFrame:
+        """A table as a stream. A table with a time is dealt into files by it, one to a micro-batch."""
+        table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in TIMES:
+            rows = streams.file_table(self.spark, self.sf_dir, table.schema, glob=f"{name}.parquet")
+        else:
+            rows = streams.file_table(self.spark, self.deal(name, table), table.schema, files_per_batch=1)
+        return views.instants(rows)
+
+    def deal(self, name: str, table: DataFrame) -> str:
+        """Write a table in order of time as BATCHES files; null times come with the first."""
+        path = f"{self.base}/dealt-{name}"
+        if path not in self.dealt:
+            time = F.col(TIMES[name])
+            stamp = time if name == "documents" else F.unix_micros(time.cast("timestamp"))
+            cuts = table.agg(F.percentile_approx(stamp, [k / BATCHES for k in range(1, BATCHES)])).first()[0] or []
+            part = sum((F.coalesce(stamp > c, F.lit(False)).cast("int") for c in cuts), F.lit(0))
+            for k in range(BATCHES):
+                table.where(part == k).coalesce(1).write.mode("append").parquet(path)
+            self.dealt.add(path)
+        return path
+
+    def ended(self, df: DataFrame, name: str, time: str = "rt", ms: str | None = None) -> DataFrame:
+        """Facts followed by their closing row, which :meth:`land` sends after everything else.
+
+        ``ms`` names a column that holds the time in milliseconds as well.
+        """
         path = f"{self.base}/end-{name}"
-        self.spark.range(1).select(*(
-            F.lit(end if f.name == time else None).cast(f.dataType).alias(f.name) for f in schema
-        )).write.mode("overwrite").parquet(path)
-        return streams.file_table(self.spark, path, schema)
+        end = F.lit(END).cast("timestamp")
+        values = {time: end} | ({ms: F.unix_millis(end)} if ms else {})
+        row = self.spark.range(1).select(*(
+            values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema))
+        row.limit(0).write.parquet(path)
+        self.closing.append((row, path))
+        return df.unionByName(streams.file_table(self.spark, path, df.schema))
 
     def land(self, df: DataFrame, name: str) -> DataFrame:
-        """Run a job into a table and return the table."""
-        path = f"{self.base}/{name}"
+        """Run a job into a table, end its sources, let it run on, and return the table."""
+        path, checkpoint = f"{self.base}/{name}", f"{self.base}/checkpoint-{name}"
+        closing, self.closing = self.closing, []
         with setting(self.spark, "spark.sql.shuffle.partitions", str(self.partitions)):
-            sinks.to_table(df, path, f"{self.base}/checkpoint-{name}").awaitTermination()
+            sinks.to_table(df, path, checkpoint).awaitTermination()
+            for row, end in closing:
+                row.write.mode("append").parquet(end)
+            if closing:
+                sinks.to_table(df, path, checkpoint).awaitTermination()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def follow(self, name: str, table: DataFrame) -> DataFrame:
-        """A landed table as a stream that ends with the closing row."""
-        rows = streams.file_table(self.spark, f"{self.base}/{name}", table.schema)
-        return rows.where(F.col("rt") < END).unionByName(self.closing(name, table.schema, "rt"))
+        """A landed table as a stream."""
+        return streams.file_table(self.spark, f"{self.base}/{name}", table.schema)
 
     def table(self, name: str) -> DataFrame:
         return views.table(self.spark, self.sf_dir, name)
 
     def pages(self) -> DataFrame:
-        return views.page_log(self.stream("events", "ts"))
+        return views.page_log(self.stream("events"))
 
     def shop_changes(self) -> DataFrame:
-        return views.shop_changes(self.stream("events", "ts"))
+        return views.shop_changes(self.stream("events"))
 
     # Facts
 
     def repaired(self) -> DataFrame:
-        return self.land(state.repair_is_new(self.pages()), "pages").where(F.col("rt") < END)
+        """Visitor flags put right batch by batch.
+
+        The first row of each visitor is kept in a keyed table, a batch of it
+        per batch of rows. A batch is compared with the firsts of all batches
+        up to its own, so running it again gives the same rows.
+        """
+        pages, path, firsts = self.pages(), f"{self.base}/pages", f"{self.base}/first_seen"
+
+        def write(rows: DataFrame, batch_id: int) -> None:
+            sinks.write_batch(logs.first_seen(rows), firsts, batch_id)
+            known = self.spark.read.parquet(firsts).where(F.col(sinks.BATCH) <= batch_id)
+            known = known.groupBy("mid").agg(F.min("first_order").alias("first_order"))
+            sinks.write_batch(logs.repair_with(rows, known), path, batch_id)
+
+        with setting(self.spark, "spark.sql.shuffle.partitions", str(self.partitions)):
+            sinks.for_each_batch(pages, write, f"{self.base}/checkpoint-pages").awaitTermination()
+        return self.spark.read.parquet(path).drop(sinks.BATCH)
 
     def visitors(self) -> DataFrame:
         entries = self.pages().where("last_page_id is null")
-        return self.land(state.first_rows(entries, "mid", ["rt", "event_id"]), "visitors").where(F.col("rt") < END)
+        return self.land(state.first_rows(entries, "mid", ["rt", "event_id"]), "visitors")
 
     def topics(self) -> DataFrame:
         """Log lines to the five outputs in one pass; the sink routes by topic."""
-        logged = streams.logs(views.log_lines(self.stream("events", "ts")))
+        logged = streams.logs(views.log_lines(self.stream("events")))
         path, checkpoint = f"{self.base}/topics", f"{self.base}/checkpoint-topics"
         sinks.to_table(logs.route(logged.where("common.mid is not null")), path, checkpoint, ["topic"]).awaitTermination()
         return self.spark.read.parquet(path)
 
     def dimensions(self, config: Callable[[], DataFrame]) -> DataFrame:
         """Article changes into a keyed dimension. ``config`` is read again for every batch."""
-        changes = dims.upserts(views.part_changes(self.stream("part", "p_partkey", -1)))
+        changes = dims.upserts(views.part_changes(self.stream("part")))
         path = f"{self.base}/dim_sku_info"
         write = sinks.upsert_batches(path, ["id"], ["ts"])
 
@@ -111,7 +160,8 @@ class Live:
         return sinks.read_upserts(self.spark, path, ["id"], ["ts"]).drop("ts")
 
     def bounces(self) -> DataFrame:
-        return self.land(state.bounces(self.pages(), "event_id", BOUNCE_MS, slots=STREAM_SLOTS), "bounces")
+        pages = self.ended(self.pages(), "pages", ms="ts")
+        return self.land(state.bounces(pages, "event_id", BOUNCE_MS, slots=STREAM_SLOTS), "bounces")
 
     # Summary tables
 
@@ -119,78 +169,77 @@ class Live:
         """Visitors and bounces land first; pages and both tables meet in one window."""
         visitors, jumps = self.visitors(), self.bounces()
         return self.land(windows.traffic_window(
-            self.pages(), self.follow("visitors", visitors), self.follow("bounces", jumps), HOUR), "traffic")
+            self.ended(self.pages(), "all_pages"), self.ended(self.follow("visitors", visitors), "visitors"),
+            self.ended(self.follow("bounces", jumps), "bounces"), HOUR), "traffic")
 
     def page_views(self) -> DataFrame:
-        watched = self.pages().where("page_id in ('home', 'good_detail') or mid is null")
+        watched = self.pages().where("page_id in ('home', 'good_detail')")
         firsts = state.first_rows(watched, ["mid", "page_id"], ["rt", "event_id"])
-        return self.land(windows.page_view_window(firsts, HOUR), "page_views")
+        return self.land(windows.page_view_window(self.ended(firsts, "views"), HOUR), "page_views")
 
     def logins(self) -> DataFrame:
-        rows = self.pages().where("last_page_id = 'login' or last_page_id is null")
-        return self.land(windows.login_window(state.first_rows(rows, "uid", ["rt"], back_days=BACK_DAYS), HOUR), "logins")
+        firsts = state.first_rows(windows.login_rows(self.pages()), "uid", ["rt"], back_days=BACK_DAYS)
+        return self.land(windows.login_window(self.ended(firsts, "logins"), HOUR), "logins")
 
     def registers(self) -> DataFrame:
-        # The closing row is no registration; it passes as one only to close the windows.
-        events = self.stream("events", "ts").withColumn("event_type", F.coalesce("event_type", F.lit("signup"))).fillna(0.0, "value")
-        rows = facts.registrations(views.shop_changes(events))
-        return self.land(windows.register_window(rows.withColumn("rt", parse_time(F.col("create_time"))), HOUR), "registers")
+        rows = facts.registrations(self.shop_changes()).withColumn("rt", parse_time(F.col("create_time")))
+        return self.land(windows.register_window(self.ended(rows, "registers"), HOUR), "registers")
 
     def carts(self) -> DataFrame:
-        events = self.stream("events", "ts")
-        ends = F.col("event_type").isNull()
-        events = events.withColumns({
-            "event_type": F.coalesce("event_type", F.lit("click")), "value": F.coalesce("value", F.lit(0.0)),
-            "props": F.when(ends, '{"k": 0}').otherwise(F.col("props"))})
-        rows = facts.cart_adds(views.shop_changes(events), views.dictionary(self.table("nation")))
+        rows = facts.cart_adds(self.shop_changes(), views.dictionary(self.table("nation")))
         rows = rows.withColumn("rt", parse_time(F.coalesce("operate_time", "create_time"))).select("user_id", "rt", "id")
-        return self.land(windows.cart_window(state.first_rows(rows, "user_id", ["rt"]), HOUR), "carts")
+        firsts = state.first_rows(rows, "user_id", ["rt"])
+        return self.land(windows.cart_window(self.ended(firsts, "carts"), HOUR), "carts")
 
     def keywords(self) -> DataFrame:
-        documents = self.stream("documents", "doc_id", 10 ** 10)
-        rows = documents.select(
-            F.coalesce("text", F.lit("end")).alias("item"), F.timestamp_seconds("doc_id").alias("rt"))
-        return self.land(windows.keyword_window(rows, words(F.col("item"))), "keywords")
+        rows = self.stream("documents").select(F.col("text").alias("item"), F.timestamp_seconds("doc_id").alias("rt"))
+        return self.land(windows.keyword_window(self.ended(rows, "searches"), words(F.col("item"))), "keywords")
 
     def provinces(self) -> DataFrame:
         """Order stream by customer's province; orders count and amount per day."""
         homes = self.table("customer").select(F.col("c_custkey").alias("o_custkey"), views.text("c_nationkey").alias("province_id"))
-        rows = self.stream("orders", "o_orderdate").select(
+        rows = self.stream("orders").select(
             "o_custkey", F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("split_total_amount"),
             F.col("o_orderdate").alias("rt")).join(homes, "o_custkey", "left")
-        result = windows.province_window(rows, DAY)
+        result = windows.province_window(self.ended(rows, "orders"), DAY)
         return self.land(dims.enrich(result, views.dim_province(self.table("nation")), "province_id", {"province_name": "name"}), "provinces")
 
     def refunds(self) -> DataFrame:
         """Returned lines with their order's user, counted by trademark and category; names come last."""
         orders, part, region = self.table("orders"), self.table("part"), self.table("region")
-        rows = self.stream("lineitem", "l_shipdate").where("l_returnflag = 'R' or l_returnflag is null")
+        rows = self.stream("lineitem").where("l_returnflag = 'R'")
         rows = rows.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left").select(
             F.col("l_orderkey").alias("order_id"), views.text("l_partkey").alias("sku_id"), views.text("o_custkey").alias("user_id"),
             F.col("l_shipdate").alias("rt"))
         rows = dims.enrich(rows, views.dim_sku(part), "sku_id", {"trademark_id": "tm_id", "category3_id": "category3_id"})
-        result = windows.refund_window(rows, DAY)
+        result = windows.refund_window(self.ended(rows, "refunds"), DAY)
         result = dims.enrich(result, views.dim_trademark(part), "trademark_id", {"trademark_name": "tm_name"})
         return self.land(dims.with_categories(result, dims.category_chain(
             views.dim_category3(self.table("nation")), views.dim_category2(region), views.dim_category1(region))), "refunds")
 
     def payments(self) -> DataFrame:
-        """Paying users from the newest version of each paid detail, kept by state per detail and per user."""
+        """Paying users from the newest version of each paid detail.
+
+        A detail whose versions lie further apart than the hold comes out once
+        per group of versions; per user and day only the first row counts, so
+        that changes nothing here.
+        """
         orders = self.table("orders").where("o_orderstatus <> 'P'").select("o_orderkey", "o_custkey", "o_orderdate")
-        versions = self.stream("lineitem", "l_shipdate").select(
+        versions = self.stream("lineitem").select(
             "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("row_op_ts"))
-        newest = state.last_versions(versions, ["l_orderkey", "l_linenumber"], "row_op_ts", hold="4000 days")
+        newest = state.last_versions(
+            self.ended(versions, "versions", "row_op_ts"), ["l_orderkey", "l_linenumber"], "row_op_ts")
         landed = self.land(newest, "newest")
-        paid = self.spark.readStream.schema(landed.schema).parquet(f"{self.base}/newest")
+        paid = self.follow("newest", landed)
         paid = paid.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
             views.text("o_custkey").alias("user_id"), (F.col("o_orderdate") + F.expr("interval 10 minutes")).alias("rt"))
-        end = self.closing("paid", paid.schema, "rt")
-        return self.land(windows.payment_window(state.first_rows(paid.unionByName(end), "user_id", ["rt"]), DAY), "payments")
+        firsts = state.first_rows(paid, "user_id", ["rt"])
+        return self.land(windows.payment_window(self.ended(firsts, "payments"), DAY), "payments")
 
     def order_wide(self) -> DataFrame:
         """Lines meet their order within a range of event time, both as streams."""
-        lines = self.stream("lineitem", "l_shipdate").select(
+        lines = self.stream("lineitem").select(
             "l_orderkey", "l_linenumber", "l_extendedprice", F.col("l_shipdate").alias("pt")).withWatermark("pt", DAY)
-        orders = self.stream("orders", "o_orderdate").select(
+        orders = self.stream("orders").select(
             F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.col("o_orderdate").alias("order_pt")).withWatermark("order_pt", DAY)
         return self.land(facts.join_within(lines, orders, ["l_orderkey"], "inner", "30 days", "order_pt"), "order_wide")

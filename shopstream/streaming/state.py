@@ -5,12 +5,14 @@ newest version per id stay on the JVM. Flags that compare with a key's earlier
 days, and bounces, need their own state; they run as
 ``applyInPandasWithState`` over Arrow batches, one call per key and
 micro-batch. A call holds at most one row per day (flags) or the rows of one
-micro-batch (bounces), so the source's rate limit bounds it.
+micro-batch (bounces), so the source's rate limit bounds it. Nothing depends
+on how a micro-batch is cut into Arrow batches.
 """
 
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -67,15 +69,16 @@ def first_rows(
 ) -> DataFrame:
     """First row per key and day, with ``is_first_ever`` and ``is_back``.
 
-    Rows are put in ``order`` within a micro-batch. The two latest days of a
-    key are kept, so a row that crosses midnight late does not count twice.
+    Rows are put in ``order`` within a micro-batch. State holds the days a key
+    was seen on, so a day counts once however late its rows come; a late day
+    is compared with the days before it, and is never first ever.
     With ``idle_days`` the state of a key is dropped after so many days
     without rows; then ``df`` must carry a watermark on ``time``, and
     ``is_first_ever`` means first since the drop.
     """
     schema = T.StructType(df.schema.fields + [
         T.StructField("is_first_ever", T.BooleanType()), T.StructField("is_back", T.BooleanType())])
-    names, by, pause = schema.names, list(order), np.timedelta64(back_days, "D")
+    names, by = schema.names, list(order)
 
     def firsts(rows: pd.DataFrame) -> pd.DataFrame:
         if len(rows) > 1:
@@ -89,18 +92,16 @@ def first_rows(
         best: pd.DataFrame | None = None
         for chunk in chunks:
             best = firsts(chunk if best is None else pd.concat([best, chunk]))
-        last, before = state.get if state.exists else (None, None)
+        seen = [int(d) for d in state.get[0].split(",")] if state.exists else []
         keep, ever, back = [], [], []
-        # days as text compare like days
-        for day in days_of(best[time]).astype(str).tolist():
-            if day not in (last, before) and (before is None or day > before):
-                ever.append(last is None)
-                back.append(last is not None and bool(np.datetime64(day) - np.datetime64(last) >= pause))
-                last, before = (day, last) if last is None or day > last else (last, day)
-                keep.append(True)
-            else:
-                keep.append(False)
-        state.update((last, before))
+        for day in days_of(best[time]).astype(np.int64).tolist():
+            at = bisect_left(seen, day)
+            keep.append(at == len(seen) or seen[at] != day)
+            if keep[-1]:
+                ever.append(not seen)
+                back.append(at > 0 and day - seen[at - 1] >= back_days)
+                seen.insert(at, day)
+        state.update((",".join(map(str, seen)),))
         if idle_days is not None:
             state.setTimeoutTimestamp(max(int(best["_ms"].max()), state.getCurrentWatermarkMs()) + idle_days * DAY_MS)
         if ever:
@@ -108,35 +109,13 @@ def first_rows(
 
     keys = [key] if isinstance(key, str) else list(key)
     timeout = GroupStateTimeout.NoTimeout if idle_days is None else GroupStateTimeout.EventTimeTimeout
-    return _with_state(df, keys, time, update, schema, "last string, before string", timeout)
+    return _with_state(df, keys, time, update, schema, "days string", timeout)
 
 
 def days_of(times: pd.Series) -> np.ndarray:
     return times.to_numpy().astype("datetime64[D]")
 
 
-def repair_is_new(df: DataFrame, key: str = "mid", is_new: str = "is_new", time: str = "rt") -> DataFrame:
-    """Set ``is_new`` to '0' on days after a key's first; see the batch form.
-
-    The first date of a key is fixed by the earliest row of its first Arrow
-    batch and kept for good.
-    """
-    names = df.schema.names
-
-    def update(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        first = np.datetime64(state.get[0]) if state.exists else None
-        for chunk in chunks:
-            days = days_of(chunk[time])
-            claims = (chunk[is_new] == "1").to_numpy()
-            if first is None:
-                at = np.lexsort((~claims, chunk["_ms"].to_numpy()))[0]
-                first = days[at] - int(not claims[at])
-                state.update((str(first),))
-            yield chunk.assign(**{is_new: chunk[is_new].mask(claims & (days != first), "0")})[names]
-
-    return _with_state(df, [key], time, update, df.schema, "first string", GroupStateTimeout.NoTimeout)
-
-
 def bounces(
     df: DataFrame, tie: str, within_ms: int = 10_000, delay: str = "2 seconds", key: str = "mid", ts: str = "ts",
     time: str = "rt", slots: int = 360,

@@ -10,7 +10,7 @@ from shopstream.plans import catalog
 from shopstream.plans.warehouse import Warehouse
 
 SF = "/root/testdata/sf0.001"
-WRITES = {"dim_upsert", "pay_upsert", "summary_table"}
+WRITES = {"dim_upsert", "pay_upsert", "summary_table"} | {f"{n}_day" for n in catalog.REPORTS}
 
 
 def plan(df):
@@ -33,8 +33,7 @@ def test_no_query_forces_a_broadcast_or_a_cross_join(large, name):
     text = plan(catalog.OPERATORS[name](large))
     for bad in ["BroadcastExchange", "BroadcastNestedLoopJoin", "CartesianProduct", "SinglePartition, ENSURE"]:
         assert bad not in text, bad
-    if name != "keyword_udtf":
-        assert "Python" not in text and "Pandas" not in text
+    assert "Python" not in text and "Pandas" not in text
 
 
 @pytest.mark.parametrize("name", ["dedup_first", "dedup_last", "unique_visitor", "order_window", "province_window"])
@@ -43,7 +42,7 @@ def test_one_row_per_key_is_taken_before_the_shuffle(large, name):
     assert re.search(r"WindowGroupLimit [^\n]*Final.*?Exchange hashpartitioning.*?WindowGroupLimit [^\n]*Partial", text, re.S)
 
 
-@pytest.mark.parametrize("name", ["daily_unique_user", "page_view_window", "login_window", "is_new_repair", "keyword_window"])
+@pytest.mark.parametrize("name", ["daily_unique_user", "page_view_window", "login_window", "is_new_repair", "keyword_window", "order_flags"])
 def test_aggregates_combine_before_the_shuffle(large, name):
     text = plan(catalog.OPERATORS[name](large))
     assert "partial_" in text and "SortAggregate" not in text
@@ -65,3 +64,10 @@ def test_only_needed_columns_are_read(large):
 def test_traffic_shuffles_each_input_once(large):
     text = plan(large.traffic())
     assert text.count("Exchange hashpartitioning") == 3
+
+
+@pytest.mark.parametrize("name", list(catalog.REPORTS))
+def test_a_report_of_one_day_reads_that_partition(spark, name):
+    text = plan(catalog.OPERATORS[f"{name}_day"](Warehouse(spark, SF)))
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", text)
+    assert filters and all("isnotnull(dt" in f and "(dt#" in f for f in filters)

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from shopstream.functions.times import time_of_ms
 from shopstream.operators import facts, flags, logs, windows
+from shopstream.plans import views
+from shopstream.plans.warehouse import Warehouse
 from shopstream.schemas import CHANGE
 from shopstream.session import shared_dir
 from shopstream.sources import sinks, streams
 from shopstream.streaming import state
+from shopstream.streaming.live import Live
 from tests.conftest import at, rows
 from tests.test_facts import T, change
 
@@ -78,13 +81,6 @@ def page_feed(spark):
     return data, Feed(spark, PAGES).put(*cut(data, 3), [END_ROW]), timed(spark.createDataFrame(data, PAGES))
 
 
-def test_repair_is_new(page_feed):
-    data, feed, table = page_feed
-    got = live(feed.run(state.repair_is_new(timed(feed.stream()))))
-    assert got.count() == len(data)
-    assert rows(got, "n", "is_new") == rows(logs.repair_is_new(table), "n", "is_new")
-
-
 def test_first_rows_and_their_windows(page_feed):
     _, feed, table = page_feed
     firsts = state.first_rows(timed(feed.stream()), "mid", ["rt", "n"])
@@ -95,6 +91,48 @@ def test_first_rows_and_their_windows(page_feed):
     assert rows(feed.run(counts, "windows")) == rows(windows.payment_window(want))
 
 
+@pytest.mark.parametrize("limit", ["1", "7", "10000"])
+def test_flags_do_not_depend_on_arrow_batches_or_the_order_of_days(spark, limit):
+    day, base = 24 * 3600 * 1000, int(START.timestamp() * 1000)
+    data = [("hot", "0", None, base + d * day + i, 100 * d + i) for d in (3, 5, 1, 9) for i in range(12)]
+    shuffled = data[:]
+    random.Random(int(limit)).shuffle(shuffled)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", limit)
+    try:
+        for n, batches in enumerate(([shuffled], [data[i:i + 12] for i in range(0, 48, 12)])):
+            got = Feed(spark, PAGES).put(*batches)
+            got = got.run(state.first_rows(timed(got.stream()), "mid", ["rt", "n"], back_days=4), f"o{n}")
+            assert sorted(r.n for r in got.collect()) == [100, 300, 500, 900]
+            # in one batch days are in order; else the first to arrive is first, and a late day has none before it
+            assert rows(got, "n", "is_first_ever", "is_back") == [
+                (100, n == 0, False), (300, n == 1, False), (500, False, False), (900, False, True)]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+
+
+def test_repair_of_flags_batch_by_batch(spark, page_feed, tmp_path):
+    data, feed, table = page_feed
+    v = Live(spark, str(tmp_path))
+    v.pages = lambda: timed(feed.stream()).where("n >= 0")
+    got = v.repaired()
+    assert got.count() == len(data)
+    assert rows(got, "n", "is_new") == rows(logs.repair_is_new(table), "n", "is_new")
+
+
+def test_no_fact_is_made_of_nulls(spark, tmp_path):
+    """Events without a type or a user are no registration, cart or login."""
+    real = spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(40)
+    odd = real.withColumn("event_type", F.lit(None).cast("string")).unionByName(
+        real.withColumns({"event_type": F.lit("signup"), "user_id": F.lit(None).cast("long")}))
+    odd.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/nation.parquet").write.parquet(f"{tmp_path}/nation.parquet")
+    v, w = Live(spark, str(tmp_path)), Warehouse(spark, str(tmp_path))
+    v.stream = lambda name: views.instants(streams.file_table(spark, f"{tmp_path}/{name}.parquet", real.schema))
+    assert rows(v.carts()) == rows(w.carts()) == []
+    assert rows(v.logins()) == rows(w.logins())
+    assert rows(v.registers()) == rows(w.registers())
+
+
 def test_idle_state_is_dropped(spark):
     day, base = 24 * 3600 * 1000, int(START.timestamp() * 1000)
 

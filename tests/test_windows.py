@@ -137,3 +137,12 @@ def test_sum_window(spark):
     df = spark.createDataFrame([("s1", 2, START), ("s1", 3, START + timedelta(seconds=4)), ("s1", 5, START + timedelta(seconds=5))],
                                "id string, vc long, rt timestamp")
     assert rows(windows.sum_window(df, ["id"], "vc"), "stt", "vc") == [("2024-01-01 23:59:30", 5), ("2024-01-01 23:59:35", 5)]
+
+
+def test_amounts_of_any_decimals_add_up(spark):
+    data = [(f"u{i % 7}", START, f"o{i}", 1, 1.004, 0.004, 0.00025, "p") for i in range(1000)]
+    df = spark.createDataFrame(data, COLUMNS)
+    row = windows.order_window(df, "1 day").first()
+    assert (row.order_activity_reduce_amount, row.order_coupon_reduce_amount, row.order_origin_total_amount) == (4.0, 0.25, 1004.0)
+    amounts = df.withColumn("split_total_amount", F.col("order_price") * (1 - F.lit(0.07)))
+    assert windows.province_window(amounts, "1 day").first().order_amount == 933.72
