@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,25 +48,35 @@ def dim_route_project(w: Warehouse) -> DataFrame:
 
 
 def dim_upsert(w: Warehouse) -> DataFrame:
-    """Route article changes into a keyed table in two batches and read it back.
+    """Change records into every configured keyed table, in two batches, and the tables read back.
 
-    The second batch repeats the large articles under new names.
+    The second batch repeats the large articles under new names, and knows a
+    rule more: only from then on are customers written.
     """
-    path = shared_dir(w.spark, "dim_sku_info")
-    rule = {"sink_table": "dim_sku_info", "sink_columns": "id,name,tm_id", "sink_pk": "id"}
-    write = sinks.upsert_batches(path, ["id"], ["ts"])
-    rows = dims.columns_of(_routed(w), rule).select("id", "name", "tm_id", "ts")
-    write(rows, 0)
-    large = rows.where(F.col("ts").cast("long") > 25)
-    write(large.withColumn("name", F.upper("name")), 1)
-    return sinks.read_upserts(w.spark, path, ["id"], ["ts"]).drop("ts")
+    base = shared_dir(w.spark, "dims")
+    rules = config(w.spark)
+    changes = views.part_changes(w.table("part")).unionByName(views.customer_changes(w.table("customer")))
+    sinks.write_dimensions(changes, rules.where("source_table = 'part'"), base, 0)
+    large = changes.where("table = 'customer' or cast(ts as long) > 25")
+    data = F.transform_values("data", lambda k, v: F.when((k == "name") & (F.col("table") == "part"), F.upper(v)).otherwise(v))
+    sinks.write_dimensions(large.withColumn("data", data), rules, base, 1)
+    return dimension_rows(sinks.read_dimensions(w.spark, rules, base))
+
+
+def dimension_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """All dimensions in one frame; columns a table does not have are null."""
+    named = [t.select(F.lit(name).alias("sink_table"), "*") for name, t in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
 
 
 def pay_upsert(w: Warehouse) -> DataFrame:
-    """Paid details as a keyed table: one row per detail."""
+    """Paid details as a keyed table: a second batch replays the payments of every other order with another type."""
     path = shared_dir(w.spark, "dwd_trade_pay_detail_suc")
     rows = facts.paid_details(w.trade_changes(), facts.order_details(w.wide()), w.dictionary()).drop("row_op_ts")
-    sinks.upsert_batches(path, ["order_detail_id"], ["callback_time", "payment_type_code"])(rows, 0)
+    write = sinks.upsert_batches(path, ["order_detail_id"], ["callback_time", "payment_type_code"])
+    write(rows, 0)
+    again = rows.where(F.col("order_id").cast("long") % 2 == 0)
+    write(again.withColumn("payment_type_code", F.concat(F.lit("again "), "payment_type_code")), 1)
     return sinks.read_upserts(w.spark, path, ["order_detail_id"], ["callback_time", "payment_type_code"]).select(
         "order_detail_id", "order_id", "callback_time", "payment_type_code")
 
@@ -276,7 +287,7 @@ STREAMS: dict[str, Callable[[Live], DataFrame]] = {
     "stream_unique_visitor": lambda v: v.visitors().select("event_id", "mid", "ch", "ts"),
     "stream_bounce": lambda v: v.bounces().select("event_id", "mid", "ch", "ts"),
     "stream_log_split": lambda v: _topic_counts(v.topics()),
-    "stream_dim_upsert": lambda v: v.dimensions(lambda: config(v.spark)),
+    "stream_dim_upsert": lambda v: dimension_rows(v.dimensions(lambda: config(v.spark))),
     "stream_traffic_window": lambda v: v.traffic(),
     "stream_page_view_window": lambda v: v.page_views(),
     "stream_keyword_window": lambda v: v.keywords(),

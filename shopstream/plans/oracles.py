@@ -306,6 +306,14 @@ def _json_pages() -> str:
 _IS_START = "(event_type = 'signup' AND value >= 80)"
 
 
+def _dimensions(name: str) -> str:
+    """Both configured dimensions in one table."""
+    return _with(f"""
+SELECT 'dim_sku_info' AS sink_table, CAST(p_partkey AS VARCHAR) AS id, {name} AS name, p_brand AS tm_id, CAST(NULL AS VARCHAR) AS segment
+FROM article_rows
+UNION ALL SELECT 'dim_customer', CAST(c_custkey AS VARCHAR), NULL, NULL, c_mktsegment FROM customer""", "article_rows")
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL per query; a stream must give what the same job gives on tables."""
     sql = _table_sql()
@@ -315,8 +323,7 @@ def oracle_sql() -> dict[str, str]:
         "login_window", "register_window", "cart_window", "refund_window", "payment_window",
     ]
     return sql | {f"stream_{n}": sql[n] for n in same} | {
-        "stream_dim_upsert": _with("""
-SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_brand AS tm_id FROM article_rows""", "article_rows"),
+        "stream_dim_upsert": _dimensions("p_name"),
         "stream_province_window": f"""
 SELECT {_bounds('o_orderdate', '1 day')}, CAST(c_nationkey AS VARCHAR) AS province_id, n_name AS province_name,
        count(DISTINCT o_orderkey) AS order_count, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS order_amount
@@ -404,7 +411,8 @@ SELECT {_FACT.replace('create_time', 'operate_time AS cancel_time')} FROM wide
 WHERE type = 'update' AND old_status IS NOT NULL AND order_status = '1003'""", "wide"),
         "pay_detail": _with("SELECT * FROM pay_details", "pay_details"),
         "pay_upsert": _with(
-            "SELECT DISTINCT order_detail_id, order_id, callback_time, payment_type_code FROM pay_details", "pay_details"),
+            "SELECT order_detail_id, order_id, callback_time, max(CASE WHEN CAST(order_id AS BIGINT) % 2 = 0 THEN 'again ' ELSE '' END"
+            " || payment_type_code) AS payment_type_code FROM pay_details GROUP BY ALL", "pay_details"),
         "order_refund": _with(f"""
 SELECT 'r' || id AS id, CAST(l_suppkey AS VARCHAR) AS user_id, CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS sku_id,
        CAST(o_custkey % 25 AS VARCHAR) AS province_id, substr(made, 1, 10) AS date_id, made AS create_time,
@@ -429,9 +437,7 @@ SELECT 'dim_sku_info' AS sink_table, 'id' AS sink_pk,
 FROM article_rows
 UNION ALL SELECT 'dim_customer', 'id', CASE c_mktsegment WHEN 'BUILDING' THEN 'update' ELSE 'insert' END,
        CAST(c_custkey AS VARCHAR), NULL, NULL, c_mktsegment, NULL FROM customer""", "article_rows"),
-        "dim_upsert": _with("""
-SELECT CAST(p_partkey AS VARCHAR) AS id, CASE WHEN p_size > 25 THEN upper(p_name) ELSE p_name END AS name, p_brand AS tm_id
-FROM article_rows""", "article_rows"),
+        "dim_upsert": _dimensions("CASE WHEN p_size > 25 THEN upper(p_name) ELSE p_name END"),
         "dim_enrich": _with("""
 SELECT trademark_id, category1_name, category2_name, category3_name, count(*) AS n
 FROM lineitem LEFT JOIN sku ON p_partkey = l_partkey LEFT JOIN chain ON chain.category3_id = sku.category3_id

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from shopstream.functions.times import now_ms
+from shopstream.operators import dims
 from shopstream.operators.dims import latest
 
 BATCH = "batch_id"
@@ -92,6 +93,27 @@ def read_upserts(
     return latest(reader.parquet(path), keys, [BATCH, *order]).drop(BATCH)
 
 
+def write_dimensions(changes: DataFrame, config: DataFrame, base: str, batch_id: int) -> None:
+    """Write a batch of change records into every configured table below ``base``.
+
+    A table that is not there yet is created. The rules, one per table, are
+    read again for every batch, so a new one takes effect with the next.
+    """
+    routed = dims.route(dims.upserts(changes), config)
+    for rule in config.collect():
+        names = dims.sink_schema(rule.asDict()).names
+        path, key = f"{base}/{rule['sink_table']}", rule["sink_pk"] or dims.DEFAULT_KEY
+        rows = dims.columns_of(routed, rule.asDict()).select(*names, "ts")
+        create_table(changes.sparkSession, path, rows.schema)
+        write_batch(latest(rows, [key], ["ts"]), path, batch_id)
+
+
+def read_dimensions(spark: SparkSession, config: DataFrame, base: str) -> dict[str, DataFrame]:
+    """Current rows of every configured table, by name."""
+    return {r["sink_table"]: read_upserts(spark, f"{base}/{r['sink_table']}", [r["sink_pk"] or dims.DEFAULT_KEY], ["ts"]).drop("ts")
+            for r in config.collect()}
+
+
 def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], order: Sequence[str]) -> None:
     """Write the current rows as the one batch (number -1) of a new folder.
 

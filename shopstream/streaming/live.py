@@ -143,21 +143,17 @@ class Live:
         sinks.to_table(logs.route(logged.where("common.mid is not null")), path, checkpoint, ["topic"]).awaitTermination()
         return self.spark.read.parquet(path)
 
-    def dimensions(self, config: Callable[[], DataFrame]) -> DataFrame:
-        """Article changes into a keyed dimension. ``config`` is read again for every batch."""
-        changes = dims.upserts(views.part_changes(self.stream("part")))
-        path = f"{self.base}/dim_sku_info"
-        write = sinks.upsert_batches(path, ["id"], ["ts"])
-
-        def route(batch: DataFrame, batch_id: int) -> None:
-            rules = config()
-            rule = rules.where("sink_table = 'dim_sku_info'").first().asDict()
-            rows = dims.columns_of(dims.route(batch, rules), rule)
-            write(rows.select(*dims.sink_schema(rule).names, "ts"), batch_id)
+    def dimensions(self, config: Callable[[], DataFrame]) -> dict[str, DataFrame]:
+        """Changes into every configured keyed table. ``config`` is read again for every batch."""
+        changes = views.part_changes(self.stream("part")).unionByName(views.customer_changes(self.stream("customer")))
+        base = f"{self.base}/dims"
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            sinks.write_dimensions(batch, config(), base, batch_id)
 
         with setting(self.spark, "spark.sql.shuffle.partitions", str(self.partitions)):
-            sinks.for_each_batch(changes, route, f"{self.base}/checkpoint-dim_sku_info").awaitTermination()
-        return sinks.read_upserts(self.spark, path, ["id"], ["ts"]).drop("ts")
+            sinks.for_each_batch(changes, write, f"{self.base}/checkpoint-dims").awaitTermination()
+        return sinks.read_dimensions(self.spark, config(), base)
 
     def bounces(self) -> DataFrame:
         pages = self.ended(self.pages(), "pages", ms="ts")
