@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream.functions import keywords, times
@@ -98,11 +98,20 @@ def _logs(w: Warehouse) -> DataFrame:
 
 
 def log_split(w: Warehouse) -> DataFrame:
-    return _topic_counts(logs.route(_logs(w)))
+    return _topic_rows(logs.route(_logs(w)))
 
 
-def _topic_counts(routed: DataFrame) -> DataFrame:
-    return routed.groupBy("topic").agg(F.count("*").alias("n"), F.sum(F.get_json_object("value", "$.ts").cast("long")).alias("ts_sum"))
+def _topic_rows(routed: DataFrame) -> DataFrame:
+    """What the JSON of each topic holds: visitor, page, time, and the part the topic is about."""
+    def at(path: str) -> Column:
+        return F.get_json_object("value", path)
+
+    topic = {kind: F.col("topic") == name for kind, name in logs.TOPICS.items()}
+    part = (F.when(topic["display"], at("$.display.item")).when(topic["action"], at("$.action.action_id"))
+            .when(topic["start"], at("$.start")).otherwise(at("$.err")))
+    page = F.when(topic["page"], at("$.page.page_id")).otherwise(at("$.page_id"))
+    return routed.select("topic", at("$.common.mid").alias("mid"), page.alias("page_id"), at("$.ts").cast("long").alias("ts"),
+                         part.alias("part"))
 
 
 def log_dirty(w: Warehouse) -> DataFrame:
@@ -286,7 +295,7 @@ STREAMS: dict[str, Callable[[Live], DataFrame]] = {
     "stream_is_new_repair": lambda v: v.repaired().select("event_id", "mid", "ts", "is_new"),
     "stream_unique_visitor": lambda v: v.visitors().select("event_id", "mid", "ch", "ts"),
     "stream_bounce": lambda v: v.bounces().select("event_id", "mid", "ch", "ts"),
-    "stream_log_split": lambda v: _topic_counts(v.topics()),
+    "stream_log_split": lambda v: _topic_rows(v.topics()),
     "stream_dim_upsert": lambda v: dimension_rows(v.dimensions(lambda: config(v.spark))),
     "stream_traffic_window": lambda v: v.traffic(),
     "stream_page_view_window": lambda v: v.page_views(),

@@ -356,15 +356,15 @@ FROM (SELECT *, first_value(CASE WHEN is_new = '1' THEN CAST(rt AS DATE) ELSE CA
              OVER (PARTITION BY mid ORDER BY ts, is_new DESC) AS first_date FROM pages) AS q""", "pages"),
         "bounce": _with("SELECT event_id, mid, ch, ts FROM bounces", "bounces"),
         "log_split": _with(f"""
-SELECT topic, count(*) AS n, CAST(sum(ts) AS BIGINT) AS ts_sum FROM (
-  SELECT 'dwd_traffic_error_log' AS topic, ts FROM {_json_pages()} WHERE event_type = 'error'
-  UNION ALL SELECT 'dwd_traffic_start_log', ts FROM {_json_pages()} WHERE {_IS_START}
-  UNION ALL SELECT 'dwd_traffic_page_log', ts FROM {_json_pages()} WHERE NOT {_IS_START}
-  UNION ALL SELECT 'dwd_traffic_display_log', ts FROM
-    (SELECT ts, unnest(range(k % 4)) FROM {_json_pages()} WHERE NOT {_IS_START}) AS d
-  UNION ALL SELECT 'dwd_traffic_action_log', NULL FROM
-    (SELECT ts, unnest(range(k % 3)) FROM {_json_pages()} WHERE NOT {_IS_START}) AS a
-) AS t GROUP BY topic""", "pages"),
+SELECT 'dwd_traffic_error_log' AS topic, mid, CAST(NULL AS VARCHAR) AS page_id, ts, '{{"error_code":' || k || '}}' AS part
+FROM {_json_pages()} WHERE event_type = 'error'
+UNION ALL SELECT 'dwd_traffic_start_log', mid, NULL, ts, '{{"entry":"icon"}}' FROM {_json_pages()} WHERE {_IS_START}
+UNION ALL SELECT 'dwd_traffic_page_log', mid, page_id, ts, CASE WHEN event_type = 'error' THEN '{{"error_code":' || k || '}}' END
+FROM {_json_pages()} WHERE NOT {_IS_START}
+UNION ALL SELECT 'dwd_traffic_display_log', mid, page_id, ts, 'i' || i
+FROM (SELECT *, unnest(range(1, 1 + k % 4)) AS i FROM {_json_pages()} WHERE NOT {_IS_START}) AS d
+UNION ALL SELECT 'dwd_traffic_action_log', mid, page_id, NULL, 'a' || i
+FROM (SELECT *, unnest(range(1, 1 + k % 3)) AS i FROM {_json_pages()} WHERE NOT {_IS_START}) AS a""", "pages"),
         "log_dirty": _with("""
 SELECT substr('{"common":{"mid":"' || mid || '","uid":"' || mid || '","', 1, 20) AS value, count(*) AS n
 FROM pages WHERE event_type = 'error' AND value < 10 GROUP BY ALL""", "pages"),
