@@ -89,10 +89,12 @@ def drop_lines(docs: DataFrame, **rules) -> DataFrame:
     keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     drops = (templates(docs.select("doc_id", "text"), **rules).where(~F.col("first"))
              .groupBy(F.col("doc_id").alias("_id"), F.col("_text").alias("_of")).agg(F.collect_set("at").alias("_drop")))
-    rows = docs.select(*keep).withColumn("_text", F.xxhash64("text"))
-    rows = rows.join(drops, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_of")), "left")
-    left = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("_drop", i)), "\n")
-    rows = (rows.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))))
-            .withColumn("n_dropped", F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")))
-            .withColumn("text", F.when(F.col("_drop").isNull(), F.col("text")).otherwise(left)))
-    return rows.select(*keep, "n_lines", "n_dropped")
+    rows = docs.select(F.struct(*keep).alias("_row"), F.xxhash64("text").alias("_text"))  # whatever the columns are called
+    rows = rows.join(drops, F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_of")), "left")
+    before, dropped = F.split("_row.text", "\n"), F.col("_drop").isNotNull()
+    left = F.array_join(F.filter(before, lambda _, i: ~F.array_contains("_drop", i)), "\n")
+    text = F.when(dropped, left).otherwise(F.col("_row.text")).alias("text")
+    return rows.select(
+        *(text if c == "text" else F.col("_row")[c].alias(c) for c in keep),
+        F.when(F.col("_row.text").isNull(), 0).otherwise(F.size(before)).alias("n_lines"),
+        F.when(dropped, F.size("_drop")).otherwise(0).alias("n_dropped"))

@@ -69,8 +69,9 @@ def mix(docs: DataFrame, shares: dict[str, int], block: int = 16, *, id_col: str
     mix_class = F.when(source.isin(named), source).otherwise(F.lit(REST)) if named else F.lit(REST)
     new = ["mix_class", "block", "slot", "position", "in_mix"]
     keep = [c for c in docs.columns if c not in new]
-    rows = docs.select(*keep).withColumn("mix_class", mix_class).withColumn("_key", digest(id_col))
-    rows = numbered(rows, ["mix_class"], "_key", [id_col], "_index")
+    rows = docs.select(F.struct(*keep).alias("_row"), F.col(id_col).alias("_id"), mix_class.alias("mix_class"),
+                       digest(id_col).alias("_key"))  # whatever the columns are called
+    rows = numbered(rows, ["mix_class"], "_key", ["_id"], "_index")
 
     blocks = rows.withColumn("block", F.floor(F.col("_index") / block))
     shares_of = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])
@@ -81,7 +82,8 @@ def mix(docs: DataFrame, shares: dict[str, int], block: int = 16, *, id_col: str
     placed = (blocks.join(turns, (F.col("mix_class") == F.col("_class")) & (F.col("_nth") == F.col("_turn_nth")))
               .withColumn("slot", slot)
               .withColumn("position", F.col("slot") * block + F.pmod("_index", F.lit(block))))
-    return placed.withColumn("in_mix", F.col("slot") < _first_gap(docs, plan, shares, block, mix_class)).select(*keep, *new)
+    placed = placed.withColumn("in_mix", F.col("slot") < _first_gap(docs, plan, shares, block, mix_class))
+    return placed.select(*(F.col("_row")[c].alias(c) for c in keep), *new)
 
 
 def _first_gap(docs: DataFrame, plan: DataFrame, shares: dict[str, int], block: int, mix_class: Column) -> Column:

@@ -58,16 +58,16 @@ def assign(docs: DataFrame, shards: int = 40, points: int = 64, load: float = 1.
     places = ring(shards, points)
     heads = F.array(*[F.lit(h) for h, _ in places])
     keep = [c for c in docs.columns if c not in ("shard", "slot")]
-    rows = docs.select(*keep).withColumn("_key", digest(id_col))
+    rows = docs.select(F.struct(*keep).alias("_row"), F.col(id_col).alias("_id"), digest(id_col).alias("_key"))
     # binary search by halving steps; past the end, get() is null and the step is not taken
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(places).bit_length()))])
     below = F.aggregate(steps, F.lit(0), lambda low, step: F.when(
         F.get(heads, low + step - 1) < F.col("_key"), low + step).otherwise(low))
     rows = rows.withColumn("_arc", F.pmod(below, F.lit(len(places))))
     # a second digest, of id and ties, deals the rows of one arc into pieces
-    spread = F.md5(F.concat_ws("/", F.col("_key"), *[F.col(c).cast("string") for c in ties]).cast("binary"))
-    rows = numbered(rows.withColumn("_key", spread), ["_arc"], "_key", [id_col, *ties], "_rank")
+    spread = F.md5(F.concat_ws("/", F.col("_key"), *[F.col("_row")[c].cast("string") for c in ties]).cast("binary"))
     counts = {r["_arc"]: r["count"] for r in rows.groupBy("_arc").count().collect()}  # one row per place
+    rows = numbered(rows.withColumn("_key", spread), ["_arc"], "_key", ["_id", *(f"_row.{c}" for c in ties)], "_rank")
     total = sum(counts.values())
     room = [total // shards + (s < total % shards) for s in range(shards)] if load == 1 else [
         ceil(load * total / shards)] * shards
@@ -76,4 +76,5 @@ def assign(docs: DataFrame, shards: int = 40, points: int = 64, load: float = 1.
     # places + shards rows at most, so small enough for every executor
     inside = (F.col("_arc") == F.col("_part")) & (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_end"))
     return (rows.join(F.broadcast(plan), inside)
-            .withColumn("slot", F.col("_slot") + F.col("_rank") - F.col("_first")).select(*keep, "shard", "slot"))
+            .select(*(F.col("_row")[c].alias(c) for c in keep), "shard",
+                    (F.col("_slot") + F.col("_rank") - F.col("_first")).alias("slot")))

@@ -261,6 +261,7 @@ def keep_first(docs: DataFrame, similarity: float = 0.8, width: int = 5, *, widt
     best = (_groups(docs, widths, near, blocks, similarity, width).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
             .groupBy("component").agg(F.first("component_id").alias("_id"), F.min("_text").alias("_best"))
             .select("_id", "_best").distinct())
-    keyed = docs.withColumn("_text", F.xxhash64("text"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_best"))
-    return keyed.join(best, same, "left_semi").dropDuplicates(["doc_id", "_text"]).drop("_text")
+    keyed = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_text"))
+    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_best"))
+    kept = keyed.join(best, same, "left_semi").dropDuplicates(["_doc", "_text"])
+    return kept.select(*(F.col("_row")[c].alias(c) for c in docs.columns))

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 REACH = 24
@@ -149,12 +149,15 @@ def drop_repeats(docs: DataFrame, min_words: int = 16) -> DataFrame:
     cuts = (repeats(docs.select("doc_id", "text"), min_words).where("not kept")
             .groupBy(F.col("doc_id").alias("_id"), F.col("_text").alias("_of"))
             .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cuts")))
-    rows = docs.withColumn("_text", F.xxhash64("text"))
-    rows = rows.join(cuts, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_of")), "left")
-    left = F.transform("_cuts", lambda c, i: F.substring(
-        "text", (F.coalesce(F.get("_cuts", i - 1).end, F.lit(0)) + 1).cast("int"),
-        (c.start - F.coalesce(F.get("_cuts", i - 1).end, F.lit(0))).cast("int")))
-    tail = F.substring("text", (F.element_at("_cuts", -1).end + 1).cast("int"), F.length("text"))
-    rest = F.concat(F.array_join(left, ""), tail)
-    return (rows.withColumn("text", F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(rest))
-            .select(*docs.columns))
+    rows = docs.select(F.struct("*").alias("_row"), F.xxhash64("text").alias("_text"))
+    rows = rows.join(cuts, F.col("_row.doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_of")), "left")
+    whole = F.col("_row.text")
+
+    def before(i: Column) -> Column:
+        """Where the text left of cut i begins."""
+        return F.coalesce(F.get("_cuts", i - 1).end, F.lit(0))
+
+    left = F.transform("_cuts", lambda c, i: F.substring(whole, (before(i) + 1).cast("int"), (c.start - before(i)).cast("int")))
+    tail = F.substring(whole, (F.element_at("_cuts", -1).end + 1).cast("int"), F.length(whole))
+    text = F.when(F.col("_cuts").isNull(), whole).otherwise(F.concat(F.array_join(left, ""), tail)).alias("text")
+    return rows.select(*(text if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns))

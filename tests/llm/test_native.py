@@ -61,7 +61,7 @@ def test_mix_is_the_same_however_rows_are_dealt(spark):
 
 def test_mix_of_nothing_and_wrong_shares(spark):
     assert mixing.mix(docs(spark, []), {"a": 1}, 4).count() == 0
-    extra = docs(spark, ODD).withColumn("slot", F.lit("own")).withColumn("mix_class", F.lit("own"))
+    extra = docs(spark, ODD).withColumns({c: F.lit("own") for c in ("slot", "mix_class", "_index", "_key", "_piece", "turn", "_id", "_text", "_share")})
     assert mixing.mix(extra, {"a": 1}, 4).where("cast(slot as string) = 'own'").count() == 0
     for bad in ({}, {"a": 0}, {"a": 0.5}):
         with pytest.raises(ValueError):
@@ -155,6 +155,9 @@ def test_lines_of_nothing(spark):
     assert line_dedup.drop_lines(docs(spark, [])).count() == 0
     extra = docs(spark, ODD).withColumn("n_lines", F.lit("own")).withColumn("line", F.lit("own"))
     assert line_dedup.drop_lines(extra).columns == [*extra.columns[:5], "line", "n_lines", "n_dropped"]
+    clash = docs(spark, ODD).withColumns({c: F.lit("own") for c in ("_text", "_id", "_drop", "_leaf", "at", "template")})
+    assert sorted(map(str, line_dedup.drop_lines(clash).drop("n_lines", "n_dropped").collect())) == sorted(map(str, clash.collect()))
+    assert sharding.assign(clash.withColumn("_arc", F.lit("own")), 2, 2).where("_arc = 'own' and _text = 'own'").count() == len(ODD)
 
 
 # Host rules

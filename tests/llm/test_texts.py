@@ -114,8 +114,8 @@ def test_near_duplicates_and_what_stays(spark):
             least[group[f]] = min(i, least.get(group[f], i))
     assert all(r.component_id == least.get(group[int(r.fingerprint, 16)]) for r in got)
 
-    kept = simhash.keep_first(docs(spark, rows).withColumn("fp", F.lit("own")).withColumn("node", F.lit(1)))
-    assert kept.columns == ["doc_id", "text", "fp", "node"]
+    kept = simhash.keep_first(docs(spark, rows).withColumn("fp", F.lit("own")).withColumn("_text", F.lit(1)))
+    assert kept.columns == ["doc_id", "text", "fp", "_text"]
     ids = sorted((r.doc_id for r in kept.collect()), key=lambda x: (x is None, x))
     assert ids[:6] == [10 * i for i in range(6)]  # copies with 1 % of the words changed go, clean texts stay
     assert [i for i in ids[6:] if i is not None and i < 1000] == []
@@ -154,7 +154,8 @@ def test_repeated_passages_are_found_and_clean_texts_left(spark):
     for r in found:
         most[r.doc_id, r.kept] += r.n_words
     assert all(most[i, i < 8] >= 16 and most[i, i < 8] > 3 * most[i, i >= 8] for i, _ in rows)
-    cut = {r.doc_id: r.text for r in substring_dedup.drop_repeats(docs(spark, rows + clean + ODD)).collect()}
+    named = docs(spark, rows + clean + ODD).withColumns({c: F.lit("own") for c in ("_text", "_cuts", "start", "_id")})
+    cut = {r.doc_id: r.text for r in substring_dedup.drop_repeats(named).where("_text = 'own' and _cuts = 'own'").collect()}
     for i, t in rows:
         mine = sorted((r.start, r.end) for r in found if r.doc_id == i and not r.kept)
         want, at = "", 0
