@@ -203,35 +203,42 @@ def detail_changes(lineitem: DataFrame) -> DataFrame:
 
 
 def order_changes(orders: DataFrame) -> DataFrame:
-    """Change records of an order: insert, status updates by its final state, and its payment."""
+    """Change records of an order: insert, status updates by its final state, and its payment.
+
+    One scan gives all records of an order; only source tables are branches.
+    """
     rows = orders.withColumns({"at": time_text("o_orderdate"), "later": time_text(F.col("o_orderdate") + F.expr("interval 10 minutes"))})
     blank = {n: None for n in [
         "consignee_tel", "delivery_address", "order_comment", "out_trade_no", "trade_body", "expire_time",
         "process_status", "tracking_no", "parent_order_id", "activity_reduce_amount", "coupon_reduce_amount",
         "feight_fee", "feight_fee_reduce", "refundable_time"]}
 
-    def order(status: str, operate: str | None) -> Column:
-        return _data(
-            id="o_orderkey", consignee=F.concat(F.lit("Customer "), text("o_custkey")), total_amount=amount("o_totalprice"),
-            order_status=F.lit(status), user_id="o_custkey", payment_way="o_orderpriority", create_time="at",
-            operate_time=operate, province_id=F.col("o_custkey") % 25, original_total_amount=amount("o_totalprice"), **blank)
-
-    def updated(state: str, status: str, old: Column) -> DataFrame:
-        return _change(rows.where(F.col("o_orderstatus") == state), "order_info", "update", order(status, "later"), "o_orderdate", old)
-
-    def turned(state: str, status: str, before: str) -> DataFrame:
-        return updated(state, status, _data(order_status=F.lit(before)))
-
+    # the records an order's state implies: type, status, whether it was touched later, and what it was before
+    def record(kind: str, status: str, before: Column | None) -> Column:
+        old = F.lit(None) if before is None else before
+        return F.struct(F.lit(kind).alias("kind"), F.lit(status).alias("status"), old.cast("map<string,string>").alias("old"))
+
+    def turned(status: str, before: str) -> Column:
+        return record("update", status, _data(order_status=F.lit(before)))
+
+    records = F.concat(
+        F.array(record("insert", "1001", None)),
+        F.when(F.col("o_orderstatus") == "P", F.array(turned("1003", "1001")))
+        .when(F.col("o_orderstatus") == "F", F.array(turned("1005", "1001"), turned("1006", "1005")))
+        .when(F.col("o_orderstatus") == "O", F.array(turned("1002", "1001"), record("update", "1003", _data(operate_time="at"))))
+        .otherwise(F.slice(F.array(turned("1002", "1001")), 1, 0)))  # no other records
+    each = rows.withColumn("_record", F.explode(records))
+    kind = F.col("_record.kind")
+    order = _data(
+        id="o_orderkey", consignee=F.concat(F.lit("Customer "), text("o_custkey")), total_amount=amount("o_totalprice"),
+        order_status=F.col("_record.status"), user_id="o_custkey", payment_way="o_orderpriority", create_time="at",
+        operate_time=F.when(kind == "update", F.col("later")), province_id=F.col("o_custkey") % 25,
+        original_total_amount=amount("o_totalprice"), **blank)
     payments = _data(
         user_id="o_custkey", order_id="o_orderkey", payment_type=F.col("o_custkey") % 30, callback_time="later",
         payment_status=F.when(F.col("o_orderstatus") != "P", "1602").otherwise("1601"))
     return _topic(
-        _change(rows, "order_info", "insert", order("1001", None), "o_orderdate"),
-        turned("P", "1003", "1001"),
-        turned("F", "1005", "1001"),
-        turned("F", "1006", "1005"),
-        turned("O", "1002", "1001"),
-        updated("O", "1003", _data(operate_time="at")),
+        _change(each, "order_info", kind, order, "o_orderdate", F.col("_record.old")),
         _change(rows, "payment_info", "update", payments, "o_orderdate"),
     )
 
