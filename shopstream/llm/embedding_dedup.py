@@ -66,7 +66,7 @@ def index(vectors: DataFrame, models: dict, bits: int, tables: int) -> DataFrame
                 t = b.filter(pa.array(sizes == n))
                 n = int(n)
                 data = t["vector"].flatten().to_numpy().reshape(-1, n)
-                if n not in models:  # a size the sample didn't hold: any rotation finds the same links, by luck of its own
+                if n not in models:  # a size the sample didn't hold: a random rotation serves
                     turn = np.linalg.qr(np.random.default_rng(n).normal(size=(n, n)))[0][:, :min(bits, n)]
                     models[n] = (np.zeros(n), turn)
                 code = _codes(data / np.linalg.norm(data, axis=1, keepdims=True), models[n])
