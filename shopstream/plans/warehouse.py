@@ -9,7 +9,7 @@ from shopstream.functions.keywords import words
 from shopstream.functions.times import parse_time
 from shopstream.operators import dims, facts, flags, logs, windows
 from shopstream.plans import views
-from shopstream.session import shared_dir
+from shopstream.session import setting, shared_dir
 from shopstream.sources import sinks
 
 HOUR = "1 hour"
@@ -133,16 +133,19 @@ class Warehouse:
 class Stored(Warehouse):
     """The same summary tables as they lie in store: partitioned by day, written once per session."""
 
-    _written: dict[tuple[str, str, str], str] = {}
+    _tables: dict[tuple[str, str, str], DataFrame] = {}
 
     def _stored(self, name: str) -> DataFrame:
         place = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if place not in self._written:
+        if place not in self._tables:
             rows = getattr(Warehouse(self.spark, self.sf_dir), name)()
             path = shared_dir(self.spark, f"dws-{name}")
             sinks.write_summary(sinks.summary_rows(rows, [c for c in rows.columns if c not in ("stt", "edt")]), path)
-            self._written[place] = path
-        return self.spark.read.parquet(self._written[place]).drop("ts")
+            # days are listed once, by as many tasks as there are cores and not one a folder
+            with setting(self.spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism",
+                         str(self.spark.sparkContext.defaultParallelism)):
+                self._tables[place] = self.spark.read.parquet(path).drop("ts")
+        return self._tables[place]
 
     def traffic(self, size: str = HOUR) -> DataFrame:
         return self._stored("traffic")
