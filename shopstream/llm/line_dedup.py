@@ -40,8 +40,9 @@ def templates(docs: DataFrame, min_docs: int = 5, depth: int = 3, similar: float
     ``first`` marks the template's first line (smallest doc_id, text digest, line).
     """
     every = lines(docs, depth, min_tokens)
-    leaves = (every.select("_leaf", "_text").distinct().groupBy("_leaf").agg(F.count(F.lit(1)).alias("_n"))
-              .where(F.col("_n") >= min_docs).select("_leaf"))
+    # stored, so that the join deals both sides itself and Spark can split a leaf with very many lines
+    leaves = stored(every.select("_leaf", "_text").distinct().groupBy("_leaf").agg(F.count(F.lit(1)).alias("_n"))
+                    .where(F.col("_n") >= min_docs).select("_leaf"), "leaves")
     found = stored(every.join(leaves, "_leaf", "left_semi").withColumn("_mask", F.concat_ws(" ", _masked(_tokens("line"))))
                    .drop("line"), "lines")
 
@@ -71,7 +72,8 @@ def templates(docs: DataFrame, min_docs: int = 5, depth: int = 3, similar: float
             .agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= min_docs))
     first = (tagged.groupBy("_leaf", "_group", "doc_id", "_text").agg(F.min("at").alias("_at"))
              .groupBy("_leaf", "_group").agg(F.min(F.struct("doc_id", "_text", "_at")).alias("_first")))
-    return (tagged.join(size.join(first, ["_leaf", "_group"]), ["_leaf", "_group"])
+    recurring = stored(size.join(first, ["_leaf", "_group"]), "recurring")
+    return (tagged.join(recurring, ["_leaf", "_group"])
             .select("doc_id", "_text", "at", "template", "n_docs",
                     F.struct("doc_id", "_text", F.col("at").alias("_at")).eqNullSafe(F.col("_first")).alias("first")))
 
