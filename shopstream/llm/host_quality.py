@@ -59,8 +59,9 @@ def hosts(checked: DataFrame, host_col: str, max_rate: float = 0.5) -> DataFrame
     The prior has the mean of all rows and the spread of the hosts' rates;
     hosts that do not differ give the strongest prior allowed, 1000 documents.
     """
-    per = (checked.where(F.col(host_col).isNotNull()).groupBy(host_col)
-           .agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed")))
+    # stored: a row per host, whose size decides how it is joined, with a host of very many rows split if need be
+    per = stored(checked.where(F.col(host_col).isNotNull()).groupBy(host_col)
+                 .agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed")), "hosts")
     rate = F.col("n_failed") / F.col("n_docs")
     total = per.agg(F.sum("n_failed") / F.sum("n_docs"), F.var_pop(rate)).first()  # one row
     mean, spread = total[0] or 0.0, total[1] or 0.0
