@@ -97,7 +97,9 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternating stars: each round hangs the larger neighbours of a node on its
     smallest neighbour, then the smaller ones. Every round is written to the
-    shared folder; the end is two rounds with the same links.
+    shared folder; the end is two rounds with the same links. The smallest
+    neighbours are written too: a join with a stored table deals both sides
+    itself, so Spark can split a node with very many links.
     """
     low, high = F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")
     now = stored(links.where("a <> b").select(high, low).distinct(), "links")
@@ -109,10 +111,10 @@ def components(links: DataFrame) -> DataFrame:
                 now.select(F.col("b"), F.col("b")).distinct())
         mark = state
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select("b", "a"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b")
-        large = large.distinct()
-        floor = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = stored(large.distinct(), "large-star")
+        floor = stored(large.groupBy("a").agg(F.min("b").alias("m")), "floor")
         small = large.join(floor, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = stored(floor.select("a", F.col("m").alias("b")).union(small).distinct(), "links")
 
