@@ -10,8 +10,12 @@ are compared with all that came. No link is lost.
 
 Shingles of five words differ much between near copies, so 64 bits of them
 would need a reach no code covers cheaply. To find pairs by the similarity of
-long shingles, fingerprints of short ones (``widths``) lead to the candidates,
-and a sketch of SKETCH bits of the long ones, carried along, decides.
+sets of long shingles (``keep_first``), candidates share a digest of one of
+PARTS small parts of their sets, each of PART shingles drawn alike from any
+set (those whose hash, multiplied by one of PART constants, is smallest). Two
+sets of similarity s share none with a chance of (1 - s^PART)^PARTS, 3 in a
+million at 0.8, wherever the copy was changed. Sizes and SimHash sketches of
+SKETCH bits of the sets decide.
 """
 
 from __future__ import annotations
@@ -33,6 +37,9 @@ CELL = 2048
 PAIRS = 1 << 20
 SKETCH = 256
 KEYS = ["part", "anchor", "cell"]
+PARTS, PART = 24, 4
+SMALL = 50
+TURNS = np.random.RandomState(42).randint(0, 1 << 63, PARTS * PART, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _hashes(words: list[bytes], width: int) -> np.ndarray:
@@ -56,7 +63,7 @@ def _majority(hashes: np.ndarray) -> np.ndarray:
 
 def _again(hashes: np.ndarray, k: int) -> np.ndarray:
     """Other 64 bits of each hash, by multiplying and folding."""
-    x = hashes + np.uint64(k) * np.uint64(0x9E3779B97F4A7C15)
+    x = hashes + np.uint64(k * 0x9E3779B97F4A7C15 % 2 ** 64)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
@@ -70,30 +77,45 @@ def fingerprint(text: str | None, widths: tuple[int, ...]) -> int:
     return int(_majority(np.concatenate([_hashes(words, w) for w in widths])).view("<i8")[0])
 
 
-def sketch(text: str | None, width: int) -> bytes:
-    """SimHash of SKETCH bits of the shingles of ``width`` words."""
+def shingles(text: str | None, width: int) -> np.ndarray:
+    """Hashes of the different shingles of ``width`` lower-cased (A-Z) words, in order; of all words if there are fewer."""
     words = (text or "").encode().lower().split()
-    if not words:
-        return bytes(SKETCH // 8)
-    hashes = _hashes(words, width)
-    return b"".join(_majority(_again(hashes, k)).tobytes() for k in range(1, SKETCH // BITS + 1))
+    return np.unique(_hashes(words, width)) if words else np.zeros(0, "<u8")
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """SimHash of SKETCH bits of a set of hashes, as signed 64-bit numbers."""
+    return np.concatenate([_majority(_again(hashes, k)) for k in range(1, SKETCH // BITS + 1)]).view("<i8")
+
+
+def part_keys(hashes: np.ndarray) -> np.ndarray:
+    """A digest of each of the PARTS parts of a set of hashes, as signed 64-bit numbers; none of an empty set."""
+    if not len(hashes):
+        return np.zeros(0, "<i8")
+    least = np.full(len(TURNS), ~np.uint64(0))
+    for at in range(0, len(hashes), 1 << 10):
+        np.minimum(least, (hashes[at:at + (1 << 10), None] * TURNS).min(axis=0), out=least)
+    key = np.arange(PARTS, dtype=np.uint64)
+    for column in least.reshape(PARTS, PART).T:
+        key = _again(key ^ column, 1)
+    return key.view("<i8")
 
 
 def sketch_limit(similarity: float) -> int:
-    """Differing bits at which two sketches still count as this similar; holds for 19 of 20 pairs at the limit."""
+    """Differing bits above which two sketches can't be this similar: five standard deviations, 1 in 3 million pairs at the limit."""
     apart = acos(2 * similarity / (1 + similarity)) / pi  # shingle sets of a size: Jaccard to cosine to bits
-    return int(SKETCH * apart + 1.6 * sqrt(SKETCH * apart * (1 - apart)))
+    return int(SKETCH * apart + 5 * sqrt(SKETCH * apart * (1 - apart)))
 
 
-def fingerprints(docs: DataFrame, widths: tuple[int, ...], sketch_width: int = 0) -> DataFrame:
-    """(doc_id, _text, fp, sketch): one row per row of ``docs``; ``_text`` is a digest of the text."""
+def fingerprints(docs: DataFrame, widths: tuple[int, ...]) -> DataFrame:
+    """(doc_id, _text, fp, sketch): one row per row of ``docs``; ``_text`` is a digest of the text, ``sketch`` is empty."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_text"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b["text"].to_pylist()
             fps = pa.array([fingerprint(t, widths) for t in texts], pa.int64())
-            held = pa.array([sketch(t, sketch_width) if sketch_width else b"" for t in texts], pa.binary())
+            held = pa.array([b""] * len(texts), pa.binary())
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["_text"], fps, held], ["doc_id", "_text", "fp", "sketch"])
 
     return rows.mapInArrow(run, "doc_id long, _text long, fp long, sketch binary")
@@ -221,19 +243,94 @@ def links(uniq: DataFrame, near: int, blocks: int, limit: int = 0, cell: int = C
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _groups(docs: DataFrame, widths: tuple[int, ...], near: int, blocks: int, similarity: float = 0.0,
-            sketch_width: int = 0) -> DataFrame:
-    """(doc_id, _text, fp, component, component_id); component is the smallest node of the group."""
-    limit = sketch_limit(similarity) if sketch_width else 0
-    fps = fingerprints(docs, widths, sketch_width)
-    fps = stored(fps.withColumn("node", F.xxhash64("fp", "sketch") if sketch_width else F.col("fp")), "fingerprints")
-    uniq = fps.groupBy("node", "fp", "sketch").agg(F.min("doc_id").alias("least"))
-    uniq = stored(uniq, "distinct")
-    group = components(links(uniq, near, blocks, limit)).withColumnRenamed("node", "_node")
+def _named(rows: DataFrame, uniq: DataFrame, linked: DataFrame) -> DataFrame:
+    """``rows`` with the component of their node, its smallest node, and component_id, its smallest doc_id."""
+    group = components(linked).withColumnRenamed("node", "_node")
     named = uniq.join(group, F.col("node") == F.col("_node"), "left").select(
         "node", "least", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    return fps.join(named.join(least, "component").select("node", "component", "component_id"), "node")
+    return rows.join(named.join(least, "component").select("node", "component", "component_id"), "node")
+
+
+def sets(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, _text, node, n, sketch, keys): the shingle set of each row; ``node`` is a digest of it, ``n`` its size."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_text"), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            held = [shingles(t, width) for t in b["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b["doc_id"], b["_text"],
+                 pa.array(np.array([xxhash.xxh64_intdigest(h.tobytes(), 42) for h in held], np.uint64).view(np.int64)),
+                 pa.array([len(h) for h in held], pa.int32()), pa.array([sketch(h).tobytes() for h in held], pa.binary()),
+                 pa.array([part_keys(h) for h in held], pa.list_(pa.int64()))],
+                ["doc_id", "_text", "node", "n", "sketch", "keys"])
+
+    return rows.mapInArrow(run, "doc_id long, _text long, node long, n int, sketch binary, keys array<long>")
+
+
+def _met(rows: DataFrame, key: str, cell: int) -> DataFrame:
+    """Rows dealt by (``key``, cell), sorted; a key of more than ``cell`` rows is cut, and every two pieces meet in a cell."""
+    rows = cut_cells(rows, [key], "node", cell).withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    low, high = F.least("_i", "_k"), F.greatest("_i", "_k")
+    rows = rows.withColumn("cell", low * F.col("_n") + high).withColumnRenamed("_i", "piece").drop("_n", "_k")
+    return rows.repartition(key, "cell").sortWithinPartitions(key, "cell")
+
+
+def _maybe(t: pa.Table, key: str, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, differing bits) of the row pairs of a cell whose sizes and sketches allow the similarity; an i's pairs come together.
+
+    Rows of one piece are left to the cell that holds only that piece.
+    """
+    change = np.zeros(len(t), bool)
+    for k in (key, "cell"):
+        c = t[k].to_numpy()
+        change[1:] |= c[1:] != c[:-1]
+    starts = np.concatenate([[0], np.flatnonzero(change)])
+    lengths = np.diff(np.append(starts, len(t)))
+    piece, n = t["piece"].to_numpy(), t["n"].to_numpy().astype(np.int64)
+    single = np.repeat(np.minimum.reduceat(piece, starts) == np.maximum.reduceat(piece, starts), lengths)
+    held = np.frombuffer(b"".join(t["sketch"].to_pylist()), "<u8").reshape(len(t), -1)
+    rest = np.repeat(starts + lengths, lengths) - np.arange(len(t)) - 1  # rows after this one in its cell
+    limit, before = sketch_limit(similarity), np.concatenate([[0], np.cumsum(rest)])
+    at = 0
+    while at < len(t):
+        end = max(at + 1, int(np.searchsorted(before, before[at] + PAIRS, "right")) - 1)
+        count = rest[at:end]
+        a = np.repeat(np.arange(at, end), count)
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
+        at = end
+        ok = (single[a] | (piece[a] != piece[b])) & (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9)
+        a, b = a[ok], b[ok]
+        bits = np.bitwise_count(held[a] ^ held[b]).sum(axis=1, dtype=np.int32)
+        ok = (bits <= limit) | (np.minimum(n[a], n[b]) < SMALL)
+        if ok.any():
+            yield a[ok], b[ok], bits[ok]
+
+
+def candidates(uniq: DataFrame, similarity: float, cell: int = CELL) -> DataFrame:
+    """(a, b): links that span the groups of (node, n, sketch, keys) that share a key and whose sizes and sketches allow the similarity."""
+    keys = uniq.select("node", F.explode("keys").alias("key"))
+    often = stored(keys.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1").select("key"), "keys")
+    rows = stored(keys.join(often, "key", "left_semi"), "shared").join(uniq.select("node", "n", "sketch"), "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in complete_groups(batches, ["key", "cell"]):
+            node = t["node"].to_numpy()
+            found = [forest(node[a], node[b]) for a, b, _ in _maybe(t, "key", similarity)]
+            if found:
+                a, b = forest(*map(np.concatenate, zip(*found, strict=True)))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return _met(rows, "key", cell).mapInArrow(run, "a long, b long")
+
+
+def _similar(docs: DataFrame, similarity: float, width: int) -> DataFrame:
+    """(doc_id, _text, component, component_id): groups by sketches of shingle sets; equal sets are compared once."""
+    rows = stored(sets(docs, width), "sets")
+    uniq = stored(rows.groupBy("node", "n", "sketch", "keys").agg(
+        F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "_text")).alias("held")), "distinct")
+    return _named(rows.select("doc_id", "_text", "node"), uniq, candidates(uniq, similarity))
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, near: int = 4, blocks: int = 3) -> DataFrame:
@@ -245,20 +342,21 @@ def near_duplicates(docs: DataFrame, width: int = 4, near: int = 4, blocks: int
     Equal fingerprints are compared once. Other columns of ``docs`` are left out.
     """
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    return _groups(docs, (width,), near, blocks).select("doc_id", digits.alias("fingerprint"), "component_id")
+    fps = stored(fingerprints(docs, (width,)).withColumn("node", F.col("fp")), "fingerprints")
+    uniq = stored(fps.groupBy("node", "fp", "sketch").agg(F.min("doc_id").alias("least")), "distinct")
+    return _named(fps, uniq, links(uniq, near, blocks)).select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, similarity: float = 0.8, width: int = 5, *, widths: tuple[int, ...] = (1,), near: int = 5,
-               blocks: int = 3) -> DataFrame:
+def keep_first(docs: DataFrame, similarity: float = 0.8, width: int = 5) -> DataFrame:
     """``docs`` with one row of every group of near duplicates: that of the smallest doc_id.
 
-    Candidates have fingerprints of ``widths`` at most ``near`` bits apart;
-    they link if their sketches of ``width``-word shingles say ``similarity``
-    or more. Where rows share the smallest id, the smallest text digest
-    decides; a group whose ids are all null keeps one row by the same digest.
-    All texts without words are one group. Other columns are kept.
+    Two texts link if sketches of their sets of ``width``-word shingles allow a
+    Jaccard similarity of ``similarity`` or more. Where rows share the smallest id, the
+    smallest text digest decides; a group whose ids are all null keeps one row
+    by the same digest. All texts without words are one group. Other columns
+    are kept.
     """
-    best = (_groups(docs, widths, near, blocks, similarity, width).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    best = (_similar(docs, similarity, width).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
             .groupBy("component").agg(F.first("component_id").alias("_id"), F.min("_text").alias("_best"))
             .select("_id", "_best").distinct())
     keyed = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_text"))

@@ -5,6 +5,7 @@ import json
 import random
 import re
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -122,6 +123,45 @@ def test_near_duplicates_and_what_stays(spark):
     assert simhash.keep_first(docs(spark, [])).count() == 0 and simhash.near_duplicates(docs(spark, [])).count() == 0
 
 
+@lru_cache(None)
+def fives(text):
+    words = text.split()
+    return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+
+
+def similar(a, b):
+    a, b = fives(a), fives(b)
+    return len(a & b) / len(a | b)
+
+
+def copies(rnd, kind, text):
+    """A copy with a passage appended, its end cut off, or words changed, by a random amount."""
+    words, share = text.split(), rnd.uniform(0.02, 0.3)
+    if kind == "append":
+        return " ".join(words + prose(rnd, int(len(words) * share)).split())
+    if kind == "cut":
+        return " ".join(words[:int(len(words) * (1 - share))])
+    for i in rnd.sample(range(len(words)), max(1, int(len(words) * share / 10))):
+        words[i] = "changed" + str(i)
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("kind", ["append", "cut", "edit"])
+def test_copies_of_any_kind_become_candidates(kind):
+    rnd = random.Random(kind)
+    close = 0
+    for _ in range(150):
+        text = prose(rnd, rnd.randint(20, 400))
+        other = copies(rnd, kind, text)
+        if similar(text, other) >= 0.8:
+            close += 1
+            a, b = simhash.shingles(text, 5), simhash.shingles(other, 5)
+            assert set(simhash.part_keys(a).tolist()) & set(simhash.part_keys(b).tolist())
+            bits = np.bitwise_count((simhash.sketch(a) ^ simhash.sketch(b)).view("<u8")).sum()
+            assert bits <= simhash.sketch_limit(0.8) or min(len(a), len(b)) < simhash.SMALL
+    assert close > 60
+
+
 # Substring dedup
 
 def test_chunks_cover_texts_and_ignore_shifts():
