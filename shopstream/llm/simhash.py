@@ -15,7 +15,8 @@ PARTS small parts of their sets, each of PART shingles drawn alike from any
 set (those whose hash, multiplied by one of PART constants, is smallest). Two
 sets of similarity s share none with a chance of (1 - s^PART)^PARTS, 3 in a
 million at 0.8, wherever the copy was changed. Sizes and SimHash sketches of
-SKETCH bits of the sets decide.
+SKETCH bits of the sets leave out most other candidates; the similarity of
+the sets themselves decides.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ CELL = 2048
 PAIRS = 1 << 20
 SKETCH = 256
 KEYS = ["part", "anchor", "cell"]
+WHOLE = 256
 PARTS, PART = 24, 4
 SMALL = 50
 TURNS = np.random.RandomState(42).randint(0, 1 << 63, PARTS * PART, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -101,6 +103,12 @@ def part_keys(hashes: np.ndarray) -> np.ndarray:
     return key.view("<i8")
 
 
+def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sets of hashes (distinct, not both empty) have a Jaccard similarity of ``similarity`` or more."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= similarity * (len(a) + len(b) - both) - 1e-9
+
+
 def sketch_limit(similarity: float) -> int:
     """Differing bits above which two sketches can't be this similar: five standard deviations, 1 in 3 million pairs at the limit."""
     apart = acos(2 * similarity / (1 + similarity)) / pi  # shingle sets of a size: Jaccard to cosine to bits
@@ -325,12 +333,45 @@ def candidates(uniq: DataFrame, similarity: float, cell: int = CELL) -> DataFram
     return _met(rows, "key", cell).mapInArrow(run, "a long, b long")
 
 
+def confirmed(members: DataFrame, similarity: float, width: int, cell: int = WHOLE) -> DataFrame:
+    """(a, b): links that span what is linked by the exact similarity of shingle sets, within each ``component``.
+
+    ``members`` has component, node, n, sketch and text. Two rows that other
+    links of their cell already join are not compared.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in complete_groups(batches, ["component", "cell"]):
+            node, held = t["node"].to_numpy(), [shingles(x, width) for x in t["text"].to_pylist()]
+            root, links = np.arange(len(t)), []
+            for left, right, bits in _maybe(t, "component", similarity):
+                firsts, at = np.unique(left, return_index=True)
+                for i, js, far in zip(firsts.tolist(), np.split(right, at[1:]), np.split(bits, at[1:]), strict=True):
+                    js = js[np.argsort(far, kind="stable")]
+                    for k in range(0, len(js), 16):
+                        some = js[k:k + 16]
+                        for j in some[root[some] != root[i]].tolist():
+                            if root[i] != root[j] and alike(held[i], held[j], similarity):
+                                links.append((i, j))
+                                root[root == root[j]] = root[i]
+            if links:
+                a, b = np.array(links).T
+                yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], ["a", "b"])
+
+    return _met(members, "component", cell).mapInArrow(run, "a long, b long")
+
+
 def _similar(docs: DataFrame, similarity: float, width: int) -> DataFrame:
-    """(doc_id, _text, component, component_id): groups by sketches of shingle sets; equal sets are compared once."""
+    """(doc_id, _text, component, component_id): groups by exact similarity of shingle sets; equal sets are compared once."""
     rows = stored(sets(docs, width), "sets")
     uniq = stored(rows.groupBy("node", "n", "sketch", "keys").agg(
         F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "_text")).alias("held")), "distinct")
-    return _named(rows.select("doc_id", "_text", "node"), uniq, candidates(uniq, similarity))
+    loose = components(candidates(uniq, similarity)).withColumnRenamed("node", "_node")
+    members = stored(uniq.join(loose, F.col("node") == F.col("_node")).select(
+        "component", "node", "n", "sketch", F.col("held.doc_id").alias("_id"), F.col("held._text").alias("_of")), "members")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_text"), "text")
+    texts = keyed.join(members, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_of")))
+    texts = stored(texts.select("component", "node", "n", "sketch", "text").dropDuplicates(["node"]), "members-texts")
+    return _named(rows.select("doc_id", "_text", "node"), uniq, confirmed(texts, similarity, width))
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, near: int = 4, blocks: int = 3) -> DataFrame:
@@ -350,8 +391,8 @@ def near_duplicates(docs: DataFrame, width: int = 4, near: int = 4, blocks: int
 def keep_first(docs: DataFrame, similarity: float = 0.8, width: int = 5) -> DataFrame:
     """``docs`` with one row of every group of near duplicates: that of the smallest doc_id.
 
-    Two texts link if sketches of their sets of ``width``-word shingles allow a
-    Jaccard similarity of ``similarity`` or more. Where rows share the smallest id, the
+    Two texts link if the Jaccard similarity of their sets of ``width``-word
+    shingles is ``similarity`` or more. Where rows share the smallest id, the
     smallest text digest decides; a group whose ids are all null keeps one row
     by the same digest. All texts without words are one group. Other columns
     are kept.

@@ -162,6 +162,25 @@ def test_copies_of_any_kind_become_candidates(kind):
     assert close > 60
 
 
+@pytest.mark.parametrize("cell, whole", [(simhash.CELL, simhash.WHOLE), (7, 5)])
+def test_groups_are_those_of_the_exact_similarity(spark, monkeypatch, cell, whole):
+    monkeypatch.setattr(simhash.candidates, "__defaults__", (cell,))
+    monkeypatch.setattr(simhash.confirmed, "__defaults__", (whole,))
+    rnd, texts = random.Random(11), []
+    for k in range(36):
+        base = prose(rnd, rnd.randint(60, 250))
+        texts += [base, *(copies(rnd, ("append", "cut", "edit")[k % 3], base) for _ in range(4))]
+    base = prose(rnd, 150)
+    texts += [copies(rnd, "edit", base) for _ in range(40)]  # one group, many of its pairs just below 0.8
+    shared = " ".join([prose(rnd, 50)] * 20)
+    texts += [prose(rnd, 200) + " " + shared for _ in range(6)]  # one passage, many times
+    pairs = {(i, j): similar(texts[i], texts[j]) for i in range(len(texts)) for j in range(i)}
+    assert sum(0.6 <= s < 0.8 for s in pairs.values()) > 60
+    group = reach(range(len(texts)), [p for p, s in pairs.items() if s >= 0.8])
+    got = simhash.keep_first(docs(spark, list(enumerate(texts))))
+    assert sorted(r.doc_id for r in got.collect()) == sorted(set(group.values()))
+
+
 # Substring dedup
 
 def test_chunks_cover_texts_and_ignore_shifts():
