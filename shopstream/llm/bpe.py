@@ -194,13 +194,13 @@ def _encoder(held: Broadcast) -> Encoder:
     return held.encoder
 
 
-def encode(docs: DataFrame, path: str, *, ids: bool = True) -> DataFrame:
+def encode(docs: DataFrame, path: str, *, ids: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_tokens, ids (array, if asked for), ids_sha256 and decoded_sha256, one row per row of ``docs``.
 
     ``path`` names a tokenizer file as the tokenizers library writes it; the
     driver reads it and sends its few MB to the executors. Null text counts as
     empty and has no ids. Text of a special token gives that token. The decoded
-    digest is that of the ids turned back into text. Other columns are left out.
+    digest is that of the ids turned back into text. Columns to ``keep`` follow; others are left out.
     """
     with open(path, "rb") as f:
         held = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary, bounded by its file
@@ -218,10 +218,11 @@ def encode(docs: DataFrame, path: str, *, ids: bool = True) -> DataFrame:
                 offsets = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
                 columns.append(pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(found), "<i4"))))
                 names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays([*columns, *(b[c] for c in keep)], [*names, *keep])
 
     kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, kind)
+    kind += "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text", *keep).mapInArrow(run, kind)
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:

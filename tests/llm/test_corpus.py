@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shopstream.llm import queries
+from shopstream.llm import mixing, queries
 
 sys.path.insert(0, "tools")
 from tools import check  # noqa: E402
@@ -67,6 +67,18 @@ def test_every_stage_works_on_what_the_one_before_kept(spark):
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF).collect()} == want
 
 
+def test_the_mix_reaches_the_tokens_whatever_the_files(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    want = {r.doc_id: (r.position, r.in_mix) for r in mixing.mix(docs, queries.TARGETS, queries.BLOCK).collect()}
+    sizes = F.pmod(F.xxhash64("doc_id"), F.lit(100))
+    many = stages["mixing"](spark, docs, SF).repartition(12, F.when(sizes < 50, 0).otherwise(sizes))
+    many.write.parquet(f"{tmp_path}/mixed")
+    got = stages["bpe"](spark, spark.read.parquet(f"{tmp_path}/mixed"), SF)
+    assert {r.doc_id: (r.position, r.in_mix) for r in got.collect()} == want
+    assert [r.doc_id for r in got.orderBy("position").collect()] == sorted(want, key=want.get)
+
+
 @pytest.mark.parametrize("rows", [[], [(None, None, None, None, None)], [(1, "", "en", "a", 0), (1, "", "en", "a", 0), (2, None, "en", "a", None)],
                                   [(1, "alone and well " * 40, "en", "a", 600), (1, "alone and well " * 40, "en", "a", 600), (3, "x" * 200000, "de", None, None)]])
 def test_odd_documents_pass_through_the_pipeline(spark, tmp_path, rows):
