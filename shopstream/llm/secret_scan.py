@@ -4,7 +4,9 @@ Base patterns name what looks like a secret. Beside them, runs of base64 or
 hex digits are decoded and reported only if the bytes parse: as a DER key
 encoding whose nested lengths fit to the last byte, as an OpenSSH key of
 length-prefixed fields, or as a signed token with a JSON header that names its
-algorithm.
+algorithm. A body may be wrapped over lines of one width, bare or between BEGIN
+and END, there also with header lines or written line ends (\\n), and it may
+be the base64 of such a block.
 """
 
 from __future__ import annotations
@@ -26,7 +28,12 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # a shorter run fails whole, so only full ru
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "der", "ssh", "signed")
 
-ARMOUR = re.compile(r"-----BEGIN [A-Z0-9 ]+-----([A-Za-z0-9+/=\s]+)-----END [A-Z0-9 ]+-----")
+ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----((?:(?!-----BEGIN )[\s\S])+?)-----END [A-Z0-9 ]+-----")
+LINE_END = re.compile(r"(?:\\+r)?\\+n|\r?\n")  # as it is or written out
+HEADER = re.compile(r"([A-Za-z][A-Za-z0-9-]*): ?(.*)")
+BODY = re.compile(r"[A-Za-z0-9+/=\s]+")
+BREAK = r"(?:[\x20\t]*\r?\n[\x20\t]*|(?:\\+r)?\\+n)"
+WRAPPED = re.compile(rf"(?:(?<![A-Za-z0-9+/_\\-])|(?<=\\n))[A-Za-z0-9+/_-]{{16,}}(?:{BREAK}[A-Za-z0-9+/_-]+)+={{0,2}}")
 RUN64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 RUN16 = re.compile(r"(?:[0-9a-fA-F]{2}){24,}")
 SIGNED = re.compile(r"(?<![A-Za-z0-9_.-])ey[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
@@ -104,20 +111,84 @@ def _structure(data: bytes) -> str:
     return "der" if is_key_encoding(data) else "ssh" if is_ssh_key(data) else ""
 
 
+def _armoured(label: str, body: str) -> str:
+    """Kind of the key between BEGIN and END; an enciphered one is told by its headers and whole blocks."""
+    lines = [x.strip() for x in LINE_END.split(body)]
+    headers: dict[str, str] = {}
+    while lines and (not lines[0] or HEADER.fullmatch(lines[0])):
+        if m := HEADER.fullmatch(lines.pop(0)):
+            headers[m[1]] = m[2]
+    plain = "\n".join(lines)
+    if not BODY.fullmatch(plain):
+        return ""
+    data = decode64(plain)
+    cipher, _, start = headers.get("DEK-Info", "").partition(",")
+    if label.endswith("PRIVATE KEY") and headers.get("Proc-Type", "").endswith("ENCRYPTED") and cipher:
+        block = len(start.strip()) // 2
+        return "der" if re.fullmatch(r"(?:[0-9A-Fa-f]{16}){1,2}", start.strip()) and len(data) >= 24 and len(data) % block == 0 else ""
+    return _structure(data)
+
+
+def _armour_spans(text: str) -> list[tuple[int, int, str]]:
+    if "-----BEGIN " not in text:
+        return []
+    return [(m.start(), m.end(), k) for m in ARMOUR.finditer(text) if (k := _armoured(m[1], m[2]))]
+
+
+def _decoded(data: bytes) -> str:
+    """Kind of what a run decodes to: a key, or a text that holds an armoured one."""
+    if data.lstrip().startswith(b"-----BEGIN "):
+        return next((k for _, _, k in _armour_spans(data.decode("latin-1"))), "")
+    return _structure(data)
+
+
+def _run(text: str) -> str:
+    """Kind of a run of base64 or hex digits without breaks."""
+    if len(text) % 2 == 0 and re.fullmatch("[0-9a-fA-F]+", text) and (kind := _decoded(bytes.fromhex(text))):
+        return kind
+    return _decoded(decode64(text))
+
+
+def _wrapped_spans(text: str) -> list[tuple[int, int, str]]:
+    """Runs cut into lines of one width and a last line no longer."""
+    found = []
+    for m in WRAPPED.finditer(text):
+        lines, at = [], m.start()
+        for gap in re.finditer(BREAK, m[0]):
+            lines.append((at, m.start() + gap.start()))
+            at = m.start() + gap.end()
+        lines.append((at, m.end()))
+        i = 0
+        while i < len(lines):
+            width, k = lines[i][1] - lines[i][0], i + 1
+            while k < len(lines) and lines[k][1] - lines[k][0] == width:
+                k += 1
+            ends = [k + 1, k] if k < len(lines) and lines[k][1] - lines[k][0] < width else [k]
+            for end in ends if width >= 16 else []:
+                kind = _run("".join(text[a:b] for a, b in lines[i:end])) if end - i > 1 else ""
+                if kind:
+                    found.append((lines[i][0], lines[end - 1][1], kind))
+                    k = end
+                    break
+            i = k
+    return found
+
+
 def scan(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of every span in code points, by start, then kind."""
     found = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[1]) >= 6]
     found += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     found += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
-    more = set()
-    if "-----BEGIN " in text:
-        more.update((m.start(), m.end(), k) for m in ARMOUR.finditer(text) if (k := _structure(decode64(m[1]))))
+    more = set(_armour_spans(text))
+    for a, b, kind in _wrapped_spans(text):
+        if not any(x <= a and b <= y for x, y, _ in more):
+            more.add((a, b, kind))
     held = [(a, b) for a, b, _ in more]
     for pattern, decode in ((RUN64, decode64), (RUN16, bytes.fromhex)):
         for m in pattern.finditer(text):
             if any(a <= m.start() and m.end() <= b for a, b in held):
                 continue
-            if kind := _structure(decode(m[0])):
+            if kind := _decoded(decode(m[0])):
                 more.add((m.start(), m.end(), kind))
     if "ey" in text:
         more.update((m.start(), m.end(), "signed") for m in SIGNED.finditer(text) if is_signed_token(m[0]))

@@ -349,6 +349,34 @@ def test_structures_are_confirmed_before_they_are_reported():
     assert kinds(prose(random.Random(1), 3000)) == []
 
 
+def test_keys_in_wrapped_escaped_and_nested_texts():
+    numbers = der(0x30, der(0x02, b"\0") + der(0x02, bytes(range(1, 130))) + der(0x02, b"\1\0\1"))
+    wire = b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-ed25519", bytes(range(32)), bytes(60)))
+    found = lambda t: [(t[a:b], k) for a, b, k in secret_scan.scan(t) if k not in secret_scan.BASE]
+    fold = lambda x, n, by="\n": by.join(x[i:i + n] for i in range(0, len(x), n))
+    body = base64.b64encode(numbers).decode()
+    block = f"-----BEGIN PRIVATE KEY-----\n{fold(body, 64)}\n-----END PRIVATE KEY-----\n"
+    for by in ("\\n", "\\r\\n", "\\\\n", "\r\n"):
+        held = block.strip().replace("\n", by)
+        assert found(json.dumps({"id": 1})[:-1] + f', "key": "{held}{by}"}}') == [(held, "der")]
+    headed = block.replace("KEY-----\n", "KEY-----\nProc-Type: 4,MIC-CLEAR\nComment: made by hand\n\n", 1).strip()
+    assert found("see " + headed) == [(headed, "der")]
+    sealed = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{'0A' * 16}\n\n{fold(base64.b64encode(bytes(range(160))).decode(), 64)}\n-----END RSA PRIVATE KEY-----"
+    assert found(sealed) == [(sealed, "der")] and found(sealed.replace("DEK-Info", "Other")) == []
+    nested = base64.b64encode(block.encode()).decode()
+    assert found(f"tls.key: {nested}\n") == [(nested, "der")]
+    for text in (body, nested, numbers.hex(), base64.b64encode(wire).decode()):
+        kind = "ssh" if text.startswith("AAAA") else "der"
+        for n in (32, 64, 76):
+            for by in ("\n", "\r\n", "\n    ", "\\n"):
+                held = fold(text, n, by)
+                assert found(f"ü first line\n{held}\n\nlast") == [(held, kind)]
+                assert found(f"key: {held}\nSome words follow") == [(held, kind)]
+                assert found(f'"key\\n{held}"') == [(held, kind)]
+    assert found(fold(base64.b64encode(bytes(300)).decode(), 64)) == [] and found(fold(base64.b64encode(numbers[:-3]).decode(), 64)) == []
+    assert found("\n".join(prose(random.Random(1), 3000).split())) == [] and found("-----BEGIN " * 50) == []
+
+
 def test_secrets_of_odd_rows(spark):
     rows = ODD + [(7, "pad " * 5000 + "token=abcdef"), (7, "pad " * 5000 + "token=abcdef")]
     got = secret_scan.find_secrets(docs(spark, rows).withColumn("spans", F.lit("own"))).collect()
