@@ -1,9 +1,11 @@
 """Drop lines that recur across documents, found by a log-template tree.
 
 The tree has a fixed depth: a line goes down by its number of tokens and its
-first ``depth`` tokens, where a token with a digit counts as variable. In a
-leaf, the line of most documents is the template; lines that agree with it in
-a share ``similar`` of their tokens join it, and tokens that differ among
+first ``depth`` tokens, where a token with a digit counts as variable. A line
+with less than a share ``constant`` of other tokens is no template: rows of
+numbers are content. In a leaf, the line of most documents is the template;
+lines that agree with it in a share ``similar`` of the tokens beyond the path
+join it, and tokens that differ among
 them become variable. Other lines are templates of their own.
 """
 
@@ -34,7 +36,7 @@ def lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
 
 
 def templates(docs: DataFrame, min_docs: int = 5, depth: int = 3, similar: float = 0.7,
-              min_tokens: int = 3) -> DataFrame:
+              min_tokens: int = 3, constant: float = 0.5) -> DataFrame:
     """(doc_id, _text, at, template, n_docs, first): lines whose template recurs in ``min_docs`` different texts.
 
     ``first`` marks the template's first line (smallest doc_id, text digest, line).
@@ -43,8 +45,10 @@ def templates(docs: DataFrame, min_docs: int = 5, depth: int = 3, similar: float
     # stored, so that the join deals both sides itself and Spark can split a leaf with very many lines
     leaves = stored(every.select("_leaf", "_text").distinct().groupBy("_leaf").agg(F.count(F.lit(1)).alias("_n"))
                     .where(F.col("_n") >= min_docs).select("_leaf"), "leaves")
+    kinds = F.split("_mask", " ")
+    fixed = F.size(F.filter(kinds, lambda t: t != VARIABLE)) >= constant * F.size(kinds) - 1e-9
     found = stored(every.join(leaves, "_leaf", "left_semi").withColumn("_mask", F.concat_ws(" ", _masked(_tokens("line"))))
-                   .drop("line"), "lines")
+                   .drop("line").where(fixed), "lines")
 
     per_line = (found.select("_leaf", "_mask", "_text").distinct().groupBy("_leaf", "_mask")
                 .agg(F.count(F.lit(1)).alias("_n")))
@@ -53,7 +57,7 @@ def templates(docs: DataFrame, min_docs: int = 5, depth: int = 3, similar: float
     pairs = F.zip_with(F.split("_mask", " "), F.split("_seed", " "), lambda a, b: (a != b).cast("int"))
     joined = (per_line.join(seeds, "_leaf").withColumn("_differ", pairs)
               .withColumn("_apart", F.aggregate("_differ", F.lit(0), lambda n, x: n + x)))
-    joins = F.col("_apart") <= (1 - similar) * F.size("_differ") + 1e-9
+    joins = F.col("_apart") <= (1 - similar) * F.greatest(F.size("_differ") - depth, F.lit(0)) + 1e-9
     member = joined.select("_leaf", "_mask", "_seed", "_differ", joins.alias("_joins"),
                            F.when(joins, F.col("_seed")).otherwise(F.col("_mask")).alias("_group"))
 

@@ -151,6 +151,16 @@ def test_a_leaf_generalises_words_that_differ(spark):
     assert line_dedup.templates(docs(spark, other).select("doc_id", "text"), min_docs=5).count() == 0
 
 
+def test_rows_of_numbers_and_short_prose_stay(spark):
+    words = "answer question reason problem method result".split()
+    rows = [(i, f"19{90 + i} 12.{i} {300 + i}\nWhat is the {w}\n{i} 7.{i} a{i} total\nSee page {i} of text\nown {w * 2}", "en", "a", 1)
+            for i, w in enumerate(words)]
+    found = line_dedup.templates(docs(spark, rows).select("doc_id", "text"), min_docs=5).collect()
+    assert {r.template for r in found} == {"See page <*> of text"} and len(found) == 6
+    got = {r.doc_id: r.text for r in line_dedup.drop_lines(docs(spark, rows)).collect()}
+    assert all(got[i] == (t if i == 0 else t.replace(f"See page {i} of text\n", "")) for i, t, *_ in rows)
+
+
 def test_lines_of_nothing(spark):
     assert line_dedup.drop_lines(docs(spark, [])).count() == 0
     extra = docs(spark, ODD).withColumn("n_lines", F.lit("own")).withColumn("line", F.lit("own"))
