@@ -5,8 +5,9 @@ first ``depth`` tokens, where a token with a digit counts as variable. A line
 with less than a share ``constant`` of other tokens is no template: rows of
 numbers are content. In a leaf, the line of most documents is the template;
 lines that agree with it in a share ``similar`` of the tokens beyond the path
-join it, and tokens that differ among
-them become variable. Other lines are templates of their own.
+join it, and tokens that differ among them become variable. The rest of the
+leaf is seeded again in the same way, and so on. Lines that nothing joins are
+templates of their own.
 """
 
 from __future__ import annotations
@@ -35,6 +36,54 @@ def lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
     return cut.select("doc_id", "_text", "at", "line", path.alias("_leaf"))
 
 
+def _apart(depth: int) -> Column:
+    """How many tokens beyond the path differ between ``_mask`` and ``_seed``."""
+    pairs = F.zip_with(F.split("_mask", " "), F.split("_seed", " "), lambda a, b: (a != b).cast("int"))
+    return F.aggregate(F.slice(pairs, depth + 1, F.size(pairs)), F.lit(0), lambda n, x: n + x)
+
+
+def _joined(masks: DataFrame, min_docs: int, depth: int, similar: float) -> DataFrame:
+    """(_leaf, _mask, _seed) of the masks (_leaf, _mask, _n) that are or join a seed.
+
+    A mask that may differ from its seed in d tokens beyond the path equals it
+    in one of d + 1 pieces. Each round, the masks that are first (most texts,
+    then least text) in every piece they have are seeds and take what is near
+    enough of the masks they share a piece with; the round is written and the
+    rest goes on. Masks whose pieces hold too few texts for ``min_docs`` are no
+    seeds, and the rounds end when there is none.
+    """
+    rest = F.slice(F.split("_mask", " "), depth + 1, F.size(F.split("_mask", " ")))
+    size, most = F.size("_rest"), F.floor((1 - similar) * F.size("_rest") + 1e-9).cast("int")
+
+    def piece(j: Column) -> Column:
+        start, end = F.floor(j * size / (F.col("_most") + 1)).cast("int"), F.floor((j + 1) * size / (F.col("_most") + 1)).cast("int")
+        return F.concat_ws(" ", j, F.slice("_rest", start + 1, end - start))
+
+    left = (masks.withColumn("_rest", rest).withColumn("_most", most).where("_most > 0")
+            .select("_leaf", "_mask", "_n", "_most", F.explode(F.transform(F.sequence(F.lit(0), "_most"), piece)).alias("_piece")))
+    first = F.struct((-F.col("_n")).alias("_less"), F.col("_mask").alias("_seed"))
+    taken = masks.select("_leaf", "_mask", F.col("_mask").alias("_seed")).limit(0)
+    while True:
+        total = stored(left.groupBy("_leaf", "_piece").agg(F.sum("_n").alias("_all")).where(F.col("_all") >= 2), "pieces")
+        able = (left.join(total, ["_leaf", "_piece"]).groupBy("_leaf", "_mask", "_n")
+                .agg(F.sum(F.col("_all") - F.col("_n")).alias("_others"))
+                .where((F.col("_others") > 0) & (F.col("_n") + F.col("_others") >= min_docs)).select("_leaf", "_mask"))
+        able = stored(able, "able")
+        if able.isEmpty():
+            return taken
+        able = stored(left.join(able, ["_leaf", "_mask"], "left_semi"), "able-pieces")
+        top = stored(able.groupBy("_leaf", "_piece").agg(F.min(first).alias("_top")), "top")
+        seeds = (able.join(top, ["_leaf", "_piece"]).groupBy("_leaf", "_mask", "_n", "_most")
+                 .agg(F.min((F.col("_top._seed") == F.col("_mask")).cast("int")).alias("_first")).where("_first = 1"))
+        seeds = stored(able.join(stored(seeds.select("_leaf", "_mask"), "seeds"), ["_leaf", "_mask"], "left_semi")
+                       .select("_leaf", "_piece", first.alias("_by")), "seed-pieces")
+        near = (left.join(seeds, ["_leaf", "_piece"]).withColumn("_seed", F.col("_by._seed"))
+                .where(_apart(depth) <= F.col("_most")).groupBy("_leaf", "_mask").agg(F.min("_by").alias("_by")))
+        near = stored(near.select("_leaf", "_mask", F.col("_by._seed").alias("_seed")), "near")
+        taken = stored(taken.union(near), "taken")
+        left = stored(left.join(near, ["_leaf", "_mask"], "left_anti"), "left")
+
+
 def templates(docs: DataFrame, min_docs: int = 5, depth: int = 3, similar: float = 0.7,
               min_tokens: int = 3, constant: float = 0.5) -> DataFrame:
     """(doc_id, _text, at, template, n_docs, first): lines whose template recurs in ``min_docs`` different texts.
@@ -50,16 +99,12 @@ def templates(docs: DataFrame, min_docs: int = 5, depth: int = 3, similar: float
     found = stored(every.join(leaves, "_leaf", "left_semi").withColumn("_mask", F.concat_ws(" ", _masked(_tokens("line"))))
                    .drop("line").where(fixed), "lines")
 
-    per_line = (found.select("_leaf", "_mask", "_text").distinct().groupBy("_leaf", "_mask")
-                .agg(F.count(F.lit(1)).alias("_n")))
-    most = per_line.groupBy("_leaf").agg(F.max("_n").alias("_n"))
-    seeds = per_line.join(most, ["_leaf", "_n"]).groupBy("_leaf").agg(F.min("_mask").alias("_seed"))
-    pairs = F.zip_with(F.split("_mask", " "), F.split("_seed", " "), lambda a, b: (a != b).cast("int"))
-    joined = (per_line.join(seeds, "_leaf").withColumn("_differ", pairs)
-              .withColumn("_apart", F.aggregate("_differ", F.lit(0), lambda n, x: n + x)))
-    joins = F.col("_apart") <= (1 - similar) * F.greatest(F.size("_differ") - depth, F.lit(0)) + 1e-9
-    member = joined.select("_leaf", "_mask", "_seed", "_differ", joins.alias("_joins"),
-                           F.when(joins, F.col("_seed")).otherwise(F.col("_mask")).alias("_group"))
+    per_line = stored(found.select("_leaf", "_mask", "_text").distinct().groupBy("_leaf", "_mask")
+                      .agg(F.count(F.lit(1)).alias("_n")), "masks")
+    joined = _joined(per_line, min_docs, depth, similar)
+    differ = F.zip_with(F.split("_mask", " "), F.split("_seed", " "), lambda a, b: (a != b).cast("int"))
+    member = (per_line.join(joined, ["_leaf", "_mask"], "left").withColumn("_joins", F.col("_seed").isNotNull())
+              .withColumn("_group", F.coalesce("_seed", "_mask")).withColumn("_differ", differ))
 
     # the tokens of a seed that differ in some member; a leaf has as many at most as a line has tokens
     loose = (member.where("_joins").select("_leaf", "_seed", F.posexplode("_differ").alias("_at", "_d")).where("_d = 1")

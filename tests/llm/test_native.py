@@ -161,6 +161,17 @@ def test_rows_of_numbers_and_short_prose_stay(spark):
     assert all(got[i] == (t if i == 0 else t.replace(f"See page {i} of text\n", "")) for i, t, *_ in rows)
 
 
+def test_a_leaf_holds_several_templates(spark):
+    names = ["ann", "bob", "cid", "dot", "eve", "fay", "gus", "hal"]
+    lines = ["Click here to follow {} and all of the others", "Click here to leave the list of {} right now",
+             "Click here to read what {} said about us all"]
+    rows = [(i, "\n".join(x.format(n) for x in lines) + f"\nClick here to {n} {n}a {n}b {n}c {n}d {n}e {n}f", "en", "a", 1)
+            for i, n in enumerate(names)]
+    found = line_dedup.templates(docs(spark, rows).select("doc_id", "text"), min_docs=5).collect()
+    assert {(r.template, r.n_docs) for r in found} == {(x.format("<*>"), 8) for x in lines} and len(found) == 24
+    assert [r.n_dropped for r in line_dedup.drop_lines(docs(spark, rows)).orderBy("doc_id").collect()] == [0] + [3] * 7
+
+
 def test_lines_of_nothing(spark):
     assert line_dedup.drop_lines(docs(spark, [])).count() == 0
     extra = docs(spark, ODD).withColumn("n_lines", F.lit("own")).withColumn("line", F.lit("own"))
