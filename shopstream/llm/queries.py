@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, host_quality, language_id, line_dedup, mixing, oracles, secret_scan, sharding, simhash
-from . import substring_dedup
+from . import bpe, embedding_dedup, filter_audit, host_quality, language_id, line_dedup, mixing, oracles, prefix_trie
+from . import secret_scan, sharding, simhash, substring_dedup, url_filter
 from .common import small_batches, stored
 
 # Whole shares of a period of 100 slots; sources that are not named share "*"
@@ -17,6 +17,7 @@ TARGETS = {"src0": 20, "src1": 10, "src2": 10, "src3": 8, "src4": 8, "src5": 6,
 BLOCK = 16
 VOCABULARY = "byte_bpe_50k.json"
 MIN_SCORE = 0.3
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
 def vocabulary() -> str:
@@ -92,6 +93,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -99,9 +113,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = [op1_mixing, op2_substring_dedup, op3_language_id, op4_simhash, op5_embedding_dedup, op6_secrets, op7_bpe,
-             op8_line_dedup, op9_host_quality, op10_sharding, pipeline]
+             op8_line_dedup, op9_host_quality, op10_sharding, op11_filter_audit, op12_prefix_trie, op13_url_filter, pipeline]
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql(TARGETS, BLOCK)
+    return oracles.oracle_sql(TARGETS, BLOCK, URL_RULES)
