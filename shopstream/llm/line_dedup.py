@@ -8,6 +8,9 @@ lines that agree with it in a share ``similar`` of the tokens beyond the path
 join it, and tokens that differ among them become variable. The rest of the
 leaf is seeded again in the same way, and so on. Lines that nothing joins are
 templates of their own.
+
+A text is masked as a whole, cut once, and only its id, digest and lines leave
+the cut. From there on lines are 64-bit keys of their leaf and their mask.
 """
 
 from __future__ import annotations
@@ -20,68 +23,104 @@ from .common import stored
 VARIABLE = "<*>"
 
 
-def _tokens(line: str) -> Column:
-    return F.filter(F.split(F.col(line), r"\s+"), lambda t: t != "")
+def _masked(text: str) -> Column:
+    """A text with single blanks between tokens, none at the ends of lines, and tokens with a digit as VARIABLE."""
+    even = F.regexp_replace(text, r"[ \t\x0B\f\r]+", " ")
+    even = F.trim(F.replace(F.replace(even, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n")))
+    return F.regexp_replace(even, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", VARIABLE)
 
 
-def _masked(tokens: Column) -> Column:
-    return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(t))
+def lines(docs: DataFrame, depth: int, min_tokens: int, constant: float) -> DataFrame:
+    """(doc_id, _text, at, mask, _leaf, _id): the lines that may be templates, each with the key of its leaf and of its mask there."""
+    cut = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("_text"), F.split(_masked("text"), "\n").alias("_lines"))
+    # outer, as a plain explode would also filter on the size of the array, and cut every text twice for it
+    cut = cut.select("doc_id", "_text", F.posexplode_outer("_lines").alias("at", "mask"))
+    blanks = F.length("mask") - F.length(F.replace("mask", F.lit(" "), F.lit("")))
+    n = F.when(F.col("mask") == "", 0).otherwise(blanks + 1)
+    fixed = F.size(F.array_remove(F.split("mask", " "), VARIABLE))
+    cut = cut.where((n >= min_tokens) & (fixed >= constant * n - 1e-9))
+    leaf = F.xxhash64(F.concat_ws(" ", n, F.substring_index("mask", " ", depth)))
+    return cut.withColumn("_leaf", leaf).withColumn("_id", F.xxhash64("_leaf", "mask"))
 
 
-def lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """(doc_id, _text, at, line, _leaf): the lines of enough tokens, each with its leaf."""
-    cut = docs.select("doc_id", F.xxhash64("text").alias("_text"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    cut = cut.withColumn("_tokens", _tokens("line")).where(F.size("_tokens") >= min_tokens)
-    path = F.concat_ws(" ", F.size("_tokens"), _masked(F.slice("_tokens", 1, depth)))
-    return cut.select("doc_id", "_text", "at", "line", path.alias("_leaf"))
+def _beyond(mask: str, depth: int) -> Column:
+    tokens = F.split(mask, " ")
+    return F.slice(tokens, depth + 1, F.greatest(F.size(tokens) - depth, F.lit(0)))
 
 
-def _apart(depth: int) -> Column:
-    """How many tokens beyond the path differ between ``_mask`` and ``_seed``."""
-    pairs = F.zip_with(F.split("_mask", " "), F.split("_seed", " "), lambda a, b: (a != b).cast("int"))
-    return F.aggregate(F.slice(pairs, depth + 1, F.size(pairs)), F.lit(0), lambda n, x: n + x)
+def _apart(a: str, b: str, depth: int) -> Column:
+    """How many tokens beyond the path differ between two masks of a leaf."""
+    pairs = F.zip_with(_beyond(a, depth), _beyond(b, depth), lambda x, y: (x != y).cast("int"))
+    return F.aggregate(pairs, F.lit(0), lambda n, x: n + x)
 
 
 def _joined(masks: DataFrame, min_docs: int, depth: int, similar: float) -> DataFrame:
-    """(_leaf, _mask, _seed) of the masks (_leaf, _mask, _n) that are or join a seed.
+    """(_id, _seed) of the masks (_id, _leaf, mask, _n) that are or join a seed.
 
     A mask that may differ from its seed in d tokens beyond the path equals it
-    in one of d + 1 pieces. Each round, the masks that are first (most texts,
-    then least text) in every piece they have are seeds and take what is near
-    enough of the masks they share a piece with; the round is written and the
-    rest goes on. Masks whose pieces hold too few texts for ``min_docs`` are no
-    seeds, and the rounds end when there is none.
+    in one of d + 1 pieces, and masks meet by keys of these. Each round, the
+    masks that are first (most texts, then least text) in every piece they
+    have are seeds and take what is near enough of the masks they share a
+    piece with; the round is written and the rest goes on. Masks whose pieces
+    hold too few texts for ``min_docs`` are no seeds, the pieces that no
+    possible seed has are dropped, and the rounds end when there is none.
     """
-    rest = F.slice(F.split("_mask", " "), depth + 1, F.size(F.split("_mask", " ")))
-    size, most = F.size("_rest"), F.floor((1 - similar) * F.size("_rest") + 1e-9).cast("int")
+    most = F.floor((1 - similar) * F.size("_rest") + 1e-9).cast("int")
+    size = F.size("_rest")
 
     def piece(j: Column) -> Column:
         start, end = F.floor(j * size / (F.col("_most") + 1)).cast("int"), F.floor((j + 1) * size / (F.col("_most") + 1)).cast("int")
-        return F.concat_ws(" ", j, F.slice("_rest", start + 1, end - start))
-
-    left = (masks.withColumn("_rest", rest).withColumn("_most", most).where("_most > 0")
-            .select("_leaf", "_mask", "_n", "_most", F.explode(F.transform(F.sequence(F.lit(0), "_most"), piece)).alias("_piece")))
-    first = F.struct((-F.col("_n")).alias("_less"), F.col("_mask").alias("_seed"))
-    taken = masks.select("_leaf", "_mask", F.col("_mask").alias("_seed")).limit(0)
+        return F.xxhash64("_leaf", F.concat_ws(" ", j, F.slice("_rest", start + 1, end - start)))
+
+    left = (masks.withColumn("_rest", _beyond("mask", depth)).withColumn("_most", most).where("_most > 0")
+            .select("_id", "_n", "_most", F.explode_outer(F.transform(F.sequence(F.lit(0), "_most"), piece)).alias("_piece")))
+    left = stored(left, "left")
+    texts = masks.select("_id", "mask", "_n")
+    of_seed = texts.select(F.col("_id").alias("_seed"), F.col("mask").alias("_of"), (-F.col("_n")).alias("_less"))
+    taken = None
     while True:
-        total = stored(left.groupBy("_leaf", "_piece").agg(F.sum("_n").alias("_all")).where(F.col("_all") >= 2), "pieces")
-        able = (left.join(total, ["_leaf", "_piece"]).groupBy("_leaf", "_mask", "_n")
-                .agg(F.sum(F.col("_all") - F.col("_n")).alias("_others"))
-                .where((F.col("_others") > 0) & (F.col("_n") + F.col("_others") >= min_docs)).select("_leaf", "_mask"))
-        able = stored(able, "able")
+        total = stored(left.groupBy("_piece").agg(F.sum("_n").alias("_all"), F.count(F.lit(1)).alias("_c")).where("_c > 1"), "pieces")
+        able = stored(left.join(total, "_piece").groupBy("_id", "_n").agg(F.sum(F.col("_all") - F.col("_n")).alias("_others"))
+                      .where(F.col("_n") + F.col("_others") >= min_docs).select("_id"), "able")
         if able.isEmpty():
-            return taken
-        able = stored(left.join(able, ["_leaf", "_mask"], "left_semi"), "able-pieces")
-        top = stored(able.groupBy("_leaf", "_piece").agg(F.min(first).alias("_top")), "top")
-        seeds = (able.join(top, ["_leaf", "_piece"]).groupBy("_leaf", "_mask", "_n", "_most")
-                 .agg(F.min((F.col("_top._seed") == F.col("_mask")).cast("int")).alias("_first")).where("_first = 1"))
-        seeds = stored(able.join(stored(seeds.select("_leaf", "_mask"), "seeds"), ["_leaf", "_mask"], "left_semi")
-                       .select("_leaf", "_piece", first.alias("_by")), "seed-pieces")
-        near = (left.join(seeds, ["_leaf", "_piece"]).withColumn("_seed", F.col("_by._seed"))
-                .where(_apart(depth) <= F.col("_most")).groupBy("_leaf", "_mask").agg(F.min("_by").alias("_by")))
-        near = stored(near.select("_leaf", "_mask", F.col("_by._seed").alias("_seed")), "near")
-        taken = stored(taken.union(near), "taken")
-        left = stored(left.join(near, ["_leaf", "_mask"], "left_anti"), "left")
+            return masks.select("_id", F.col("_id").alias("_seed")).limit(0) if taken is None else taken
+        first = F.struct((-F.col("_n")).alias("_less"), F.col("mask").alias("_of"), F.col("_id").alias("_seed")).alias("_first")
+        mine = stored(left.join(able, "_id", "left_semi").join(texts.drop("_n"), "_id").select("_id", "_piece", first), "able-pieces")
+        top = stored(mine.groupBy("_piece").agg(F.min("_first").alias("_top")), "top")
+        seeds = stored(mine.join(top, "_piece").groupBy("_id").agg(F.min((F.col("_top._seed") == F.col("_id")).cast("int")).alias("_all"))
+                       .where("_all = 1").select("_id"), "seeds")
+        spread = stored(mine.join(seeds, "_id", "left_semi").select("_piece", F.col("_id").alias("_seed")), "seed-pieces")
+        pairs = stored(left.join(spread, "_piece").select("_id", "_most", "_seed").distinct(), "pairs")
+        near = (pairs.join(texts.drop("_n"), "_id").join(of_seed, "_seed").where(_apart("mask", "_of", depth) <= F.col("_most"))
+                .groupBy("_id").agg(F.min(F.struct("_less", "_of", "_seed")).alias("_by")).select("_id", "_by._seed"))
+        near = stored(near, "near")
+        taken = near if taken is None else stored(taken.union(near), "taken")
+        kept = stored(mine.select("_piece").distinct(), "kept")
+        left = stored(left.join(kept, "_piece", "left_semi").join(near, "_id", "left_anti"), "left")
+
+
+def _recurring(docs: DataFrame, min_docs: int, depth: int, similar: float, min_tokens: int,
+               constant: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Masks (_id, mask, _group), lines (doc_id, _text, at, _group) and the groups that recur (_group, n_docs, _first)."""
+    every = stored(lines(docs, depth, min_tokens, constant), "lines")
+    # stored, so that the join deals both sides itself and Spark can split a leaf with very many lines
+    leaves = stored(every.select("_leaf", "_text").distinct().groupBy("_leaf").agg(F.count(F.lit(1)).alias("_c"))
+                    .where(F.col("_c") >= min_docs).select("_leaf"), "leaves")
+    found = every.join(leaves, "_leaf", "left_semi")
+    found, masks = stored(found.drop("mask", "_leaf"), "found"), found.groupBy("_id").agg(
+        F.first("_leaf").alias("_leaf"), F.first("mask").alias("mask"))
+    texts = found.select("_id", "_text").distinct().groupBy("_id").agg(F.count(F.lit(1)).alias("_n"))
+    masks = stored(masks.join(stored(texts, "texts"), "_id"), "masks")
+    joined = stored(_joined(masks, min_docs, depth, similar), "joined")
+    group = F.coalesce("_seed", "_id").alias("_group")
+    tagged = stored(found.join(joined, "_id", "left").select("doc_id", "_text", "at", "_id", group), "tagged")
+    size = (tagged.select("_group", "_text").distinct().groupBy("_group").agg(F.count(F.lit(1)).alias("n_docs"))
+            .where(F.col("n_docs") >= min_docs))
+    first = tagged.groupBy("_group").agg(F.min(F.struct("doc_id", "_text", F.col("at").alias("_at"))).alias("_first"))
+    return masks.join(joined, "_id", "left").select("_id", "mask", group), tagged, stored(size.join(first, "_group"), "recurring")
+
+
+_IS_FIRST = "struct(doc_id, _text, at as _at) <=> _first"
 
 
 def templates(docs: DataFrame, min_docs: int = 5, depth: int = 3, similar: float = 0.7,
@@ -90,62 +129,42 @@ def templates(docs: DataFrame, min_docs: int = 5, depth: int = 3, similar: float
 
     ``first`` marks the template's first line (smallest doc_id, text digest, line).
     """
-    every = lines(docs, depth, min_tokens)
-    # stored, so that the join deals both sides itself and Spark can split a leaf with very many lines
-    leaves = stored(every.select("_leaf", "_text").distinct().groupBy("_leaf").agg(F.count(F.lit(1)).alias("_n"))
-                    .where(F.col("_n") >= min_docs).select("_leaf"), "leaves")
-    kinds = F.split("_mask", " ")
-    fixed = F.size(F.filter(kinds, lambda t: t != VARIABLE)) >= constant * F.size(kinds) - 1e-9
-    found = stored(every.join(leaves, "_leaf", "left_semi").withColumn("_mask", F.concat_ws(" ", _masked(_tokens("line"))))
-                   .drop("line").where(fixed), "lines")
-
-    per_line = stored(found.select("_leaf", "_mask", "_text").distinct().groupBy("_leaf", "_mask")
-                      .agg(F.count(F.lit(1)).alias("_n")), "masks")
-    joined = _joined(per_line, min_docs, depth, similar)
-    differ = F.zip_with(F.split("_mask", " "), F.split("_seed", " "), lambda a, b: (a != b).cast("int"))
-    member = (per_line.join(joined, ["_leaf", "_mask"], "left").withColumn("_joins", F.col("_seed").isNotNull())
-              .withColumn("_group", F.coalesce("_seed", "_mask")).withColumn("_differ", differ))
-
-    # the tokens of a seed that differ in some member; a leaf has as many at most as a line has tokens
-    loose = (member.where("_joins").select("_leaf", "_seed", F.posexplode("_differ").alias("_at", "_d")).where("_d = 1")
-             .select("_leaf", "_seed", "_at").distinct().groupBy("_leaf", "_seed")
-             .agg(F.collect_list("_at").alias("_loose")))
-    text = F.concat_ws(" ", F.transform(F.split("_group", " "), lambda t, i: F.when(
+    masks, tagged, recurring = _recurring(docs, min_docs, depth, similar, min_tokens, constant)
+    seeds = masks.where("_id = _group").select("_group", F.col("mask").alias("_of"))
+    differ = F.zip_with(F.split("mask", " "), F.split("_of", " "), lambda a, b: (a != b).cast("int"))
+    # the tokens of a seed that differ in some member; a template has as many at most as a line has tokens
+    loose = (masks.where("_id <> _group").join(seeds, "_group").select("_group", F.posexplode(differ).alias("_at", "_d")).where("_d = 1")
+             .select("_group", "_at").distinct().groupBy("_group").agg(F.collect_list("_at").alias("_loose")))
+    text = F.concat_ws(" ", F.transform(F.split("_of", " "), lambda t, i: F.when(
         F.array_contains("_loose", i), F.lit(VARIABLE)).otherwise(t)))
-    member = (member.join(loose.withColumnRenamed("_seed", "_group"), ["_leaf", "_group"], "left")
-              .select("_leaf", "_mask", "_group", F.when(F.col("_loose").isNull(), F.col("_group")).otherwise(text)
-                      .alias("template")))
-
-    tagged = stored(found.join(member, ["_leaf", "_mask"]).drop("_mask"), "templates")
-    size = (tagged.select("_leaf", "_group", "_text").distinct().groupBy("_leaf", "_group")
-            .agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= min_docs))
-    first = (tagged.groupBy("_leaf", "_group", "doc_id", "_text").agg(F.min("at").alias("_at"))
-             .groupBy("_leaf", "_group").agg(F.min(F.struct("doc_id", "_text", "_at")).alias("_first")))
-    recurring = stored(size.join(first, ["_leaf", "_group"]), "recurring")
-    return (tagged.join(recurring, ["_leaf", "_group"])
-            .select("doc_id", "_text", "at", "template", "n_docs",
-                    F.struct("doc_id", "_text", F.col("at").alias("_at")).eqNullSafe(F.col("_first")).alias("first")))
-
-
-def drop_lines(docs: DataFrame, **rules) -> DataFrame:
+    named = seeds.join(loose, "_group", "left").select(
+        "_group", F.when(F.col("_loose").isNull(), F.col("_of")).otherwise(text).alias("template"))
+    return tagged.join(stored(recurring.join(named, "_group"), "named"), "_group").select(
+        "doc_id", "_text", "at", "template", "n_docs", F.expr(_IS_FIRST).alias("first"))
+
+
+def drop_lines(docs: DataFrame, min_docs: int = 5, depth: int = 3, similar: float = 0.7,
+               min_tokens: int = 3, constant: float = 0.5) -> DataFrame:
     """``docs`` without recurring template lines, plus n_lines and n_dropped (int).
 
     One line of each recurring template stays: the first. Copies of one text
     count as one document. A document without such lines keeps its text to the
     byte; one that loses all lines has an empty text; null text stays null
     (no lines). Lines of fewer tokens than ``min_tokens`` stay. Repeated rows
-    are treated alike. Columns of the same names are replaced. ``rules`` are
-    those of ``templates``.
+    are treated alike. Texts of any number of lines pass, an empty table stays
+    empty. Columns of the same names are replaced.
     """
     keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    drops = (templates(docs.select("doc_id", "text"), **rules).where(~F.col("first"))
-             .groupBy(F.col("doc_id").alias("_id"), F.col("_text").alias("_of")).agg(F.collect_set("at").alias("_drop")))
+    _, tagged, recurring = _recurring(docs.select("doc_id", "text"), min_docs, depth, similar, min_tokens, constant)
+    drops = stored(tagged.join(recurring, "_group").where(f"not ({_IS_FIRST})")
+                   .groupBy(F.col("doc_id").alias("_id"), F.col("_text").alias("_of")).agg(F.collect_set("at").alias("_drop")), "drops")
     rows = docs.select(F.struct(*keep).alias("_row"), F.xxhash64("text").alias("_text"))  # whatever the columns are called
     rows = rows.join(drops, F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_of")), "left")
     before, dropped = F.split("_row.text", "\n"), F.col("_drop").isNotNull()
-    left = F.array_join(F.filter(before, lambda _, i: ~F.array_contains("_drop", i)), "\n")
+    places = F.array_except(F.sequence(F.lit(0), F.size("_before") - 1), "_drop")
+    left = F.array_join(F.transform(places, lambda i: F.get("_before", i)), "\n")
     text = F.when(dropped, left).otherwise(F.col("_row.text")).alias("text")
-    return rows.select(
+    return rows.withColumn("_before", before).select(
         *(text if c == "text" else F.col("_row")[c].alias(c) for c in keep),
-        F.when(F.col("_row.text").isNull(), 0).otherwise(F.size(before)).alias("n_lines"),
+        F.when(F.col("_row.text").isNull(), 0).otherwise(F.size("_before")).alias("n_lines"),
         F.when(dropped, F.size("_drop")).otherwise(0).alias("n_dropped"))

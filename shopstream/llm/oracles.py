@@ -67,41 +67,6 @@ select doc_id, failed.host, n_words, word_chars, n_symbols, n_dup_lines, n_repea
        round(rate, 6) as host_rate, not base_failed and coalesce(rate <= 0.5, true) as kept
 from failed left join verdict on verdict.host = failed.host"""
 
-LINES = r"""
-with cut as (
-  select doc_id, text, unnest(range(0, len(string_split(text, chr(10))))) as pos, string_split(text, chr(10)) as ls
-  from documents where text is not null),
-tokens as (
-  select doc_id, text, pos, list_filter(regexp_split_to_array(ls[pos + 1], '\s+'), lambda x: x <> '') as k from cut),
-masked as (
-  select doc_id, text, pos, list_transform(k, lambda x: case when regexp_matches(x, '[0-9]') then '<*>' else x end) as m
-  from tokens where len(k) >= 3),
-lines as (select *, len(m) || ' ' || array_to_string(m[1:3], ' ') as leaf, array_to_string(m, ' ') as mask from masked),
-leaves as (select leaf from lines group by leaf having count(distinct text) >= 5),
-per as (select leaf, mask, any_value(m) as m, count(distinct text) as n from lines where leaf in (from leaves) group by all),
-seeds as (select leaf, min(mask) as seed from per p where n = (select max(n) from per q where q.leaf = p.leaf) group by leaf),
-member as (
-  select p.leaf, mask, case when list_sum(list_transform(list_zip(m, string_split(seed, ' ')), lambda z: (z[1] <> z[2])::int))
-           <= 0.3 * len(m) + 1e-9 then seed else mask end as grp
-  from per p join seeds using (leaf)),
-tagged as (select l.doc_id, l.text, l.pos, l.leaf, grp from lines l join member using (leaf, mask)),
-large as (select leaf, grp from tagged group by all having count(distinct text) >= 5),
-firsts as (
-  select leaf, grp, doc_id, text, min(pos) as pos, row_number() over (partition by leaf, grp order by doc_id) as k
-  from tagged group by leaf, grp, doc_id, text qualify k = 1),
-drops as (
-  select distinct t.doc_id, t.text, t.pos from tagged t join large using (leaf, grp)
-  left join firsts f on f.leaf = t.leaf and f.grp = t.grp and f.doc_id = t.doc_id and f.text = t.text and f.pos = t.pos
-  where f.pos is null),
-lists as (select doc_id, text, list(pos) as d from drops group by doc_id, text)
-select x.doc_id,
-       case when d is null then x.text else array_to_string(list_transform(list_filter(
-         list_zip(string_split(x.text, chr(10)), range(0, len(string_split(x.text, chr(10))))),
-         lambda z: not list_contains(d, z[2])), lambda z: z[1]), chr(10)) end as text,
-       case when x.text is null then 0 else len(string_split(x.text, chr(10))) end::int as n_lines,
-       coalesce(len(d), 0)::int as n_dropped
-from documents x left join lists y on y.doc_id = x.doc_id and y.text = x.text"""
-
 AUDIT = r"""
 with base as (
   select doc_id, coalesce(source, '') as part, coalesce(text, '') as t from documents),
@@ -193,5 +158,5 @@ from places"""
 
 def oracle_sql(targets: dict[str, int], block: int, rules: list[tuple[str, str, str]]) -> dict[str, str]:
     listed = ", ".join(f"('{host}', '{path}', '{action}')" for host, path, action in rules)
-    return {"op1_mixing": mixing_sql(targets, block), "op8_line_dedup": LINES, "op9_host_quality": HOSTS,
+    return {"op1_mixing": mixing_sql(targets, block), "op9_host_quality": HOSTS,
             "op11_filter_audit": AUDIT, "op12_prefix_trie": TRIE, "op13_url_filter": URLS.replace("{rules}", listed)}

@@ -35,7 +35,7 @@ def test_native_plans_hold_no_python(spark, name):
 
 
 def test_names_of_the_queries():
-    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
 
 
 def test_shards_of_the_query(spark):

@@ -1,7 +1,11 @@
 """Mixing, line dedup, host rules and sharding against plain Python, on small tables with every odd row."""
 
 import hashlib
+import os
+import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 from math import ceil, floor
@@ -172,6 +176,104 @@ def test_a_leaf_holds_several_templates(spark):
     assert [r.n_dropped for r in line_dedup.drop_lines(docs(spark, rows)).orderBy("doc_id").collect()] == [0] + [3] * 7
 
 
+def plain_drops(texts, min_docs=5, depth=3, similar=0.7, min_tokens=3, constant=0.5):
+    """(doc_id, at) of the lines to drop from a dict of texts, leaf by leaf and seed by seed."""
+    leaves = defaultdict(lambda: defaultdict(list))
+    for d, text in texts.items():
+        for at, line in enumerate(text.split("\n") if text is not None else []):
+            mask = tuple("<*>" if re.search("[0-9]", t) else t for t in re.split("[ \t\x0b\f\r]+", line) if t)
+            if len(mask) >= min_tokens and sum(t != "<*>" for t in mask) >= constant * len(mask) - 1e-9:
+                leaves[(len(mask), mask[:depth])][mask].append((d, at))
+    drops = set()
+    for masks in leaves.values():
+        n = {m: len({texts[d] for d, _ in where}) for m, where in masks.items()}
+        if len({texts[d] for where in masks.values() for d, _ in where}) < min_docs:
+            continue
+        most = floor((1 - similar) * (len(next(iter(masks))) - depth) + 1e-9)
+
+        def pieces(m):
+            rest = m[depth:]
+            return [(j, rest[j * len(rest) // (most + 1):(j + 1) * len(rest) // (most + 1)]) for j in range(most + 1)]
+
+        left, group = set(masks) if most > 0 else set(), {m: m for m in masks}
+        while True:
+            total, first = Counter(), {}
+            for m in left:
+                for p in pieces(m):
+                    total[p] += n[m]
+            able = [m for m in left if (o := sum(total[p] - n[m] for p in pieces(m))) > 0 and n[m] + o >= min_docs]
+            if not able:
+                break
+            rank = {m: (-n[m], " ".join(m)) for m in able}
+            for m in able:
+                for p in pieces(m):
+                    first[p] = min(first.get(p, rank[m]), rank[m])
+            seeds = [m for m in able if all(first[p] == rank[m] for p in pieces(m))]
+            taken = {}
+            for m in left:
+                near = [s for s in seeds if set(pieces(s)) & set(pieces(m)) and sum(a != b for a, b in zip(m, s, strict=True)) <= most]
+                if near:
+                    taken[m] = min(near, key=rank.get)
+            group |= taken
+            left -= set(taken)
+        lines = defaultdict(list)
+        for m, where in masks.items():
+            lines[group[m]] += where
+        for where in lines.values():
+            if len({texts[d] for d, _ in where}) >= min_docs:
+                drops |= set(where) - {min(where)}
+    return drops
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_lines_dropped_equal_a_plain_search(spark, seed):
+    draw = random.Random(seed)
+
+    def line():
+        n = draw.choice([3, 4, 6, 7, 9, 10])
+        words = [draw.choice(["a", "b"]) for _ in range(min(n, 3))] + [draw.choice(["p", "p", "p", "q", "7", "r2", "s"]) for _ in range(n - 3)]
+        return draw.choice(["", " ", "\t"]) + draw.choice([" ", "  ", "\t "]).join(words) + draw.choice(["", " ", "\r"])
+
+    texts = {i: "\n".join(line() for _ in range(draw.randint(0, 12))) for i in range(60)} | {70: None, 71: "", 72: "a a a p p p p p p p\n" * 300}
+    texts |= {80: texts[3], 81: texts[4], 82: texts[4]}
+    got = line_dedup.drop_lines(docs(spark, [(i, t, "en", "a", 1) for i, t in texts.items()]).repartition(4)).collect()
+    drops = plain_drops(texts)
+    assert len(drops) > 40
+    for r in got:
+        own = texts[r.doc_id]
+        kept = None if own is None else "\n".join(x for at, x in enumerate(own.split("\n")) if (r.doc_id, at) not in drops)
+        assert r.text == kept and r.n_dropped == sum(d == r.doc_id for d, _ in drops)
+
+
+def test_given_documents_lose_the_lines_a_plain_search_finds(spark):
+    found = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in found.collect()}
+    drops = Counter(d for d, _ in plain_drops(texts))
+    got = {r.doc_id: r.n_dropped for r in line_dedup.drop_lines(found).collect()}
+    assert got == {d: drops[d] for d in texts} and sum(drops.values()) > 100
+
+
+MANY_LINES = r"""
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import functions as F
+from shopstream.llm import line_dedup
+from shopstream.session import get_session
+spark = get_session("lines", "local[2]", **{"spark.driver.memory": "1800m", "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2"})
+long = spark.range(1).select(F.lit(0).cast("long").alias("doc_id"),
+                             F.array_join(F.transform(F.sequence(F.lit(1), F.lit(200000)), lambda i: F.concat(F.lit("See page "), i, F.lit(" of it"))), "\n").alias("text"))
+rest = spark.range(1, 6).select(F.col("id").alias("doc_id"), F.concat(F.lit("See page 1 of it\nown "), F.col("id")).alias("text"))
+print(sorted((r.doc_id, r.n_lines, r.n_dropped) for r in line_dedup.drop_lines(long.union(rest)).drop("text").collect()))
+"""
+
+
+def test_a_document_of_very_many_lines(tmp_path):
+    root = os.path.join(os.path.dirname(__file__), "..", "..")
+    done = subprocess.run([sys.executable, "-c", MANY_LINES, root], capture_output=True, text=True, timeout=240, cwd=tmp_path,
+                          env={**os.environ, "TMPDIR": str(tmp_path)})
+    assert done.stdout.splitlines()[-1:] == ["[(0, 200000, 199999)" + "".join(f", ({i}, 2, 1)" for i in range(1, 6)) + "]"], done.stderr[-2000:]
+
+
 def test_lines_of_nothing(spark):
     assert line_dedup.drop_lines(docs(spark, [])).count() == 0
     extra = docs(spark, ODD).withColumn("n_lines", F.lit("own")).withColumn("line", F.lit("own"))
