@@ -27,7 +27,9 @@ def _masked(text: str) -> Column:
     """A text with single blanks between tokens, none at the ends of lines, and tokens with a digit as VARIABLE."""
     even = F.regexp_replace(text, r"[ \t\x0B\f\r]+", " ")
     even = F.trim(F.replace(F.replace(even, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n")))
-    return F.regexp_replace(even, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", VARIABLE)
+    # every token follows a blank or a line end, so a match starts only there and reads its token once
+    masked = F.regexp_replace(F.concat(F.lit("\n"), even), r"([ \n])[^ \n0-9]*+[0-9][^ \n]*+", "$1" + VARIABLE)
+    return F.substring(masked, 2, (1 << 31) - 1)
 
 
 def lines(docs: DataFrame, depth: int, min_tokens: int, constant: float) -> DataFrame:
@@ -37,7 +39,7 @@ def lines(docs: DataFrame, depth: int, min_tokens: int, constant: float) -> Data
     cut = cut.select("doc_id", "_text", F.posexplode_outer("_lines").alias("at", "mask"))
     blanks = F.length("mask") - F.length(F.replace("mask", F.lit(" "), F.lit("")))
     n = F.when(F.col("mask") == "", 0).otherwise(blanks + 1)
-    fixed = F.size(F.array_remove(F.split("mask", " "), VARIABLE))
+    fixed = F.when(F.contains("mask", F.lit(VARIABLE)), F.size(F.array_remove(F.split("mask", " "), VARIABLE))).otherwise(n)
     cut = cut.where((n >= min_tokens) & (fixed >= constant * n - 1e-9))
     leaf = F.xxhash64(F.concat_ws(" ", n, F.substring_index("mask", " ", depth)))
     return cut.withColumn("_leaf", leaf).withColumn("_id", F.xxhash64("_leaf", "mask"))
