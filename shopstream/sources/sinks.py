@@ -78,6 +78,11 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
+def to_batches(df: DataFrame, path: str, checkpoint: str, mode: str = "update", continuous: str | None = None) -> StreamingQuery:
+    """Land a stream in folders, one a micro-batch; for streams in update mode, whose rows come once all the same."""
+    return for_each_batch(df, lambda rows, batch_id: write_batch(rows, path, batch_id), checkpoint, mode, continuous)
+
+
 def upsert_batches(path: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that writes the newest row per key of each batch."""
     def write(rows: DataFrame, batch_id: int) -> None:

@@ -27,11 +27,9 @@ from shopstream.streaming import state
 # row's own window stays open. No fact is ever made from it.
 END = "2200-01-01 00:00:00"
 
-# State is called per visitor and slot of 10 days; only rows whose limit has not
-# passed stay in it.
+# A session of a visitor is looked at in slots of 10 days.
 STREAM_SLOTS = 40
 
-
 # A table is replayed in this many micro-batches, in order of its time.
 BATCHES = 4
 TIMES = {"events": "ts", "lineitem": "l_shipdate", "orders": "o_orderdate", "documents": "doc_id"}
@@ -98,10 +96,25 @@ class Live:
                 sinks.to_table(df, path, checkpoint).awaitTermination()
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def land_firsts(self, df: DataFrame, name: str) -> DataFrame:
+        """Run a job in update mode into a table of a folder a micro-batch, and return the table."""
+        path, checkpoint = f"{self.base}/{name}", f"{self.base}/checkpoint-{name}"
+        with setting(self.spark, "spark.sql.shuffle.partitions", str(self.partitions)):
+            sinks.to_batches(df, path, checkpoint).awaitTermination()
+        return self.spark.read.schema(df.schema).parquet(f"{path}/{sinks.BATCH}=*")
+
     def follow(self, name: str, table: DataFrame) -> DataFrame:
-        """A landed table as a stream."""
+        """A table that :meth:`land` landed as a stream."""
         return streams.file_table(self.spark, f"{self.base}/{name}", table.schema)
 
+    def follow_firsts(self, name: str, table: DataFrame) -> DataFrame:
+        """A table that :meth:`land_firsts` landed as a stream."""
+        return streams.file_table(self.spark, f"{self.base}/{name}/{sinks.BATCH}=*", table.schema)
+
+    def daily(self, rows: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+        """First rows per key and day, landed and read on as a stream."""
+        return self.follow_firsts(name, self.land_firsts(state.first_rows(rows, keys, order), name))
+
     def table(self, name: str) -> DataFrame:
         return views.table(self.spark, self.sf_dir, name)
 
@@ -134,7 +147,7 @@ class Live:
 
     def visitors(self) -> DataFrame:
         entries = self.pages().where("last_page_id is null")
-        return self.land(state.first_rows(entries, "mid", ["rt", "event_id"]), "visitors")
+        return self.land_firsts(state.first_rows(entries, ["mid"], ["rt", "event_id"]), "visitors")
 
     def topics(self) -> DataFrame:
         """Log lines to the five outputs in one pass; the sink routes by topic."""
@@ -155,6 +168,11 @@ class Live:
             sinks.for_each_batch(changes, write, f"{self.base}/checkpoint-dims").awaitTermination()
         return sinks.read_dimensions(self.spark, config(), base)
 
+    def new_users(self, rows: DataFrame, name: str) -> DataFrame:
+        """First rows per ``user_id`` and day with ``is_first_ever``, landed twice and read on as a stream."""
+        days = self.daily(rows.select("user_id", "rt"), ["user_id"], ["rt"], f"{name}_days")
+        return self.follow_firsts(f"{name}_flags", self.land_firsts(state.with_history(days, "user_id"), f"{name}_flags"))
+
     def bounces(self) -> DataFrame:
         pages = self.ended(self.pages(), "pages", ms="ts")
         return self.land(state.bounces(pages, "event_id", BOUNCE_MS, slots=STREAM_SLOTS), "bounces")
@@ -165,16 +183,18 @@ class Live:
         """Visitors and bounces land first; pages and both tables meet in one window."""
         visitors, jumps = self.visitors(), self.bounces()
         return self.land(windows.traffic_window(
-            self.ended(self.pages(), "all_pages"), self.ended(self.follow("visitors", visitors), "visitors"),
+            self.ended(self.pages(), "all_pages"), self.ended(self.follow_firsts("visitors", visitors), "visitors"),
             self.ended(self.follow("bounces", jumps), "bounces"), HOUR), "traffic")
 
     def page_views(self) -> DataFrame:
         watched = self.pages().where("page_id in ('home', 'good_detail')")
-        firsts = state.first_rows(watched, ["mid", "page_id"], ["rt", "event_id"])
+        firsts = self.daily(watched.select("mid", "page_id", "rt", "event_id"), ["mid", "page_id"], ["rt", "event_id"], "view_days")
         return self.land(windows.page_view_window(self.ended(firsts, "views"), HOUR), "page_views")
 
     def logins(self) -> DataFrame:
-        firsts = state.first_rows(windows.login_rows(self.pages()), "uid", ["rt"], back_days=BACK_DAYS)
+        days = self.daily(windows.login_rows(self.pages()).select("uid", "rt"), ["uid"], ["rt"], "login_days")
+        flagged = self.land_firsts(state.with_history(days, "uid", back_days=BACK_DAYS), "login_flags")
+        firsts = self.follow_firsts("login_flags", flagged)
         return self.land(windows.login_window(self.ended(firsts, "logins"), HOUR), "logins")
 
     def registers(self) -> DataFrame:
@@ -184,7 +204,7 @@ class Live:
     def carts(self) -> DataFrame:
         rows = facts.cart_adds(self.shop_changes(), views.dictionary(self.table("nation")))
         rows = rows.withColumn("rt", parse_time(F.coalesce("operate_time", "create_time"))).select("user_id", "rt", "id")
-        firsts = state.first_rows(rows, "user_id", ["rt"])
+        firsts = self.daily(rows, ["user_id"], ["rt", "id"], "cart_days")
         return self.land(windows.cart_window(self.ended(firsts, "carts"), HOUR), "carts")
 
     def keywords(self) -> DataFrame:
@@ -229,7 +249,7 @@ class Live:
         paid = self.follow("newest", landed)
         paid = paid.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
             views.text("o_custkey").alias("user_id"), (F.col("o_orderdate") + F.expr("interval 10 minutes")).alias("rt"))
-        firsts = state.first_rows(paid, "user_id", ["rt"])
+        firsts = self.new_users(paid, "payment")
         return self.land(windows.payment_window(self.ended(firsts, "payments"), DAY), "payments")
 
     def order_wide(self) -> DataFrame:

@@ -1,36 +1,23 @@
-"""Keyed state on streams.
-
-Where Spark has a native stateful operator it is used: dedup by id and the
-newest version per id stay on the JVM. Flags that compare with a key's earlier
-days, and bounces, need their own state; they run as
-``applyInPandasWithState`` over Arrow batches, one call per key and
-micro-batch. A call holds at most one row per day (flags) or the rows of one
-micro-batch (bounces), so the source's rate limit bounds it. Nothing depends
-on how a micro-batch is cut into Arrow batches.
+"""Keyed state on streams, all of it on Spark's own stateful operators.
+
+First rows are aggregates in update mode. A group also keeps the time of the
+micro-batch it was born in, and only groups born in the present one are given
+out: each first row comes once, at once, and a retried micro-batch, which has
+the same time, gives it again. Such streams are landed batch by batch
+(:func:`shopstream.sources.sinks.to_batches`). Map-side combine makes a key
+with very many rows cost no more than any other.
 """
 
 from __future__ import annotations
 
-import sys
-from bisect import bisect_left
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from shopstream.operators.logs import in_slots
 
-# Workers get these functions by value: they need not have the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-Update = Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]
-DAY_MS = 24 * 3600 * 1000
+EVER = 3650  # days: longer than any shop's history
 
 
 def first_arrivals(df: DataFrame, keys: Sequence[str], time: str, horizon: str) -> DataFrame:
@@ -38,20 +25,6 @@ def first_arrivals(df: DataFrame, keys: Sequence[str], time: str, horizon: str)
     return df.withWatermark(time, horizon).dropDuplicatesWithinWatermark(list(keys))
 
 
-def daily_arrivals(df: DataFrame, keys: Sequence[str], time: str = "rt", salts: int = 8) -> DataFrame:
-    """First row to arrive per key and day, on native state.
-
-    Two rounds: the first splits each key over ``salts`` tasks, the second
-    sees at most that many rows per key and day. State of a day is dropped
-    once rows of the day after next arrive; rows up to a day late count.
-    """
-    day_end = (F.date_trunc("day", time) + F.expr("interval 1 day")).alias("_day_end")
-    row = F.xxhash64(*(F.col(c) for c in df.columns if c not in keys))
-    timed = df.select("*", day_end, F.pmod(row, F.lit(salts)).alias("_salt")).withWatermark("_day_end", "1 day")
-    split = timed.dropDuplicates([*keys, "_salt", "_day_end"]).drop("_salt")
-    return split.dropDuplicates([*keys, "_day_end"]).drop("_day_end")
-
-
 def last_versions(df: DataFrame, keys: Sequence[str], version: str, hold: str = "5 seconds", delay: str = "2 seconds") -> DataFrame:
     """Newest version per key, given out once no further version came for ``hold``.
 
@@ -64,56 +37,54 @@ def last_versions(df: DataFrame, keys: Sequence[str], version: str, hold: str =
 
 
 def first_rows(
-    df: DataFrame, key: str | Sequence[str], order: Sequence[str], time: str = "rt",
-    back_days: int = 8, idle_days: int | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], time: str = "rt", every: str | None = "1 day",
+    delay: str = "1 day",
 ) -> DataFrame:
-    """First row per key and day, with ``is_first_ever`` and ``is_back``.
-
-    Rows are put in ``order`` within a micro-batch. State holds the days a key
-    was seen on, so a day counts once however late its rows come; a late day
-    is compared with the days before it, and is never first ever.
-    With ``idle_days`` the state of a key is dropped after so many days
-    without rows; then ``df`` must carry a watermark on ``time``, and
-    ``is_first_ever`` means first since the drop.
+    """First row per key and day, in update mode.
+
+    Within a micro-batch the first in ``order`` counts, over micro-batches the
+    first to arrive. State of a day is dropped once the watermark, ``delay``
+    behind the newest row, is past it; rows that come later than that are
+    left out, as are rows without a time. With ``every`` None a key counts
+    once for good, and its state stays.
     """
-    schema = T.StructType(df.schema.fields + [
-        T.StructField("is_first_ever", T.BooleanType()), T.StructField("is_back", T.BooleanType())])
-    names, by = schema.names, list(order)
-
-    def firsts(rows: pd.DataFrame) -> pd.DataFrame:
-        if len(rows) > 1:
-            rows = rows.sort_values(by, kind="stable")
-        return rows.iloc[np.unique(days_of(rows[time]), return_index=True)[1]]
-
-    def update(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        best: pd.DataFrame | None = None
-        for chunk in chunks:
-            best = firsts(chunk if best is None else pd.concat([best, chunk]))
-        seen = [int(d) for d in state.get[0].split(",")] if state.exists else []
-        keep, ever, back = [], [], []
-        for day in days_of(best[time]).astype(np.int64).tolist():
-            at = bisect_left(seen, day)
-            keep.append(at == len(seen) or seen[at] != day)
-            if keep[-1]:
-                ever.append(not seen)
-                back.append(at > 0 and day - seen[at - 1] >= back_days)
-                seen.insert(at, day)
-        state.update((",".join(map(str, seen)),))
-        if idle_days is not None:
-            state.setTimeoutTimestamp(max(int(best["_ms"].max()), state.getCurrentWatermarkMs()) + idle_days * DAY_MS)
-        if ever:
-            yield best[keep].assign(is_first_ever=ever, is_back=back)[names]
-
-    keys = [key] if isinstance(key, str) else list(key)
-    timeout = GroupStateTimeout.NoTimeout if idle_days is None else GroupStateTimeout.EventTimeTimeout
-    return _with_state(df, keys, time, update, schema, "days string", timeout)
-
-
-def days_of(times: pd.Series) -> np.ndarray:
-    return times.to_numpy().astype("datetime64[D]")
+    groups = [F.col(k) for k in keys]
+    if every is not None:
+        df = df.withWatermark(time, delay)
+        groups.append(F.window(time, every))
+    row = F.struct(*[F.col(c).alias(c) for c in df.columns])
+    born = df.withColumn("_now", F.current_timestamp()).groupBy(*groups).agg(
+        F.min_by(row, F.struct(*order)).alias("_row"), F.min("_now").alias("_born"))
+    return born.where(F.col("_born") == F.current_timestamp()).select("_row.*")
+
+
+def with_history(
+    firsts: DataFrame, key: str, time: str = "rt", memory_days: int = EVER, back_days: int = 8, delay: str = "1 day",
+) -> DataFrame:
+    """Add ``is_first_ever`` and ``is_back`` to first rows per key and day, in update mode.
+
+    The days a key was seen on are remembered for ``memory_days``: "ever" is
+    within that many days before, and so is the last day that ``is_back``
+    counts from. A day is looked at in a window that reaches back that far at
+    least; windows last twice as long and overlap by half, so state is dropped
+    after three times ``memory_days`` at the most. A late day is compared with
+    the days before it.
+    """
+    day = F.to_date(time)
+    seen = F.struct(day.alias("day"), F.col("_now").alias("born"), F.struct(*[F.col(c).alias(c) for c in firsts.columns]).alias("row"))
+    spans = F.window(time, f"{2 * memory_days} days", f"{memory_days} days").alias("_span")
+    kept = (firsts.withWatermark(time, delay).withColumn("_now", F.current_timestamp()).groupBy(key, spans)
+            .agg(F.collect_list(seen).alias("_days")).withColumn("_now", F.current_timestamp()))
+    half = F.date_add(F.to_date(F.col("_span.start")), memory_days)
+    new = F.filter("_days", lambda x: (x.born == F.col("_now")) & (x.day >= half))
+
+    def before(x: Column) -> Column:
+        return F.array_max(F.transform(
+            F.filter("_days", lambda y: (y.day < x.day) & (y.day >= F.date_sub(x.day, memory_days))), lambda y: y.day))
+
+    flagged = F.transform(new, lambda x: F.struct(x.row.alias("row"), x.day.alias("day"), before(x).alias("last")))
+    back = F.coalesce(F.datediff("day", "last") >= back_days, F.lit(False))
+    return kept.select(F.inline(flagged)).select("row.*", F.col("last").isNull().alias("is_first_ever"), back.alias("is_back"))
 
 
 def bounces(
@@ -122,52 +93,22 @@ def bounces(
 ) -> DataFrame:
     """Entry pages not followed within the limit by a page of the same visit.
 
-    Rows wait in state until the watermark is past their limit; by then every
-    row that could follow has been seen, in whatever order it came. As in the
-    batch form a visitor is cut into time slots, so a catch-up over a long
-    time spreads a busy visitor over many tasks.
+    A visitor's rows that follow each other within the limit are one session;
+    it is given out when the watermark is past its end, and in it every entry
+    looks at the row after it, in whatever order they came. As in the batch
+    form a visitor is cut into time slots, so no session is longer than a
+    slot. Only entries carry their whole row.
     """
+    names = df.columns
     spread, own = in_slots(df.withWatermark(time, delay), ts, within_ms, slots)
-    spread = spread.withColumn("_own", own)
-    names = df.schema.names
-
-    def update(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        waiting = [read_rows(state.get[0])] if state.exists else []
-        rows = pd.concat([*waiting, *chunks])
-        if len(rows) > 1:
-            rows = rows.sort_values([ts, tie])
-        times, entry = rows[ts].to_numpy(), rows["last_page_id"].isna().to_numpy()
-        follows = np.append((np.diff(times) < within_ms) & ~entry[1:], False)
-        settled = times + within_ms <= state.getCurrentWatermarkMs()
-        if settled.all():
-            state.remove()
-        else:
-            state.update((write_rows(rows[~settled]),))
-            state.setTimeoutTimestamp(int(times[~settled][0]) + within_ms)
-        found = settled & entry & ~follows & rows["_own"].to_numpy(dtype=bool)
-        if found.any():
-            yield rows.loc[found, names]
-
-    return _with_state(
-        spread, [key, "_slot"], time, update, df.schema, "rows binary", GroupStateTimeout.EventTimeTimeout)
-
-
-def write_rows(rows: pd.DataFrame) -> bytes:
-    """Rows as Arrow bytes, to keep in state."""
-    batch = pa.RecordBatch.from_pandas(rows, preserve_index=False)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema) as writer:
-        writer.write_batch(batch)
-    return sink.getvalue().to_pybytes()
-
-
-def read_rows(data: bytes) -> pd.DataFrame:
-    with pa.ipc.open_stream(bytes(data)) as reader:
-        return reader.read_pandas()
-
-
-def _with_state(
-    df: DataFrame, keys: Sequence[str], time: str, update: Update, schema: T.StructType, state: str, timeout: str,
-) -> DataFrame:
-    timed = df.withColumn("_ms", F.unix_millis(time))
-    return timed.groupBy(*keys).applyInPandasWithState(update, schema, state, "append", timeout)
+    entry = F.col("last_page_id").isNull()
+    row = F.struct(F.col(ts).alias("at"), F.col(tie).alias("tie"), entry.alias("entry"),
+                   F.when(entry & own, F.struct(*[F.col(c).alias(c) for c in names])).alias("row"))
+    sessions = spread.groupBy(key, "_slot", F.session_window(time, f"{within_ms} milliseconds")).agg(
+        F.sort_array(F.collect_list(row)).alias("_rows"))
+
+    def bounced(x: Column, i: Column) -> Column:
+        after = F.get("_rows", i + 1)
+        return x.row.isNotNull() & ~F.coalesce((after.at - x.at < within_ms) & ~after.entry, F.lit(False))
+
+    return sessions.select(F.explode(F.filter("_rows", bounced)).alias("_found")).select("_found.row.*")

@@ -43,6 +43,16 @@ class Feed:
         sinks.to_table(df, path, f"{self.base}/checkpoint-{name}").awaitTermination()
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def run_firsts(self, df, name="firsts"):
+        path = f"{self.base}/{name}"
+        query = sinks.to_batches(df, path, f"{self.base}/checkpoint-{name}")
+        query.awaitTermination()
+        self.progress = query.recentProgress
+        return self.spark.read.schema(df.schema).parquet(f"{path}/batch_id=*")
+
+    def follow(self, df, name="firsts", files=None):
+        return streams.file_table(self.spark, f"{self.base}/{name}/batch_id=*", df.schema, files_per_batch=files)
+
 
 def cut(data, n):
     size = -(-len(data) // n)
@@ -83,31 +93,37 @@ def page_feed(spark):
 
 def test_first_rows_and_their_windows(page_feed):
     _, feed, table = page_feed
-    firsts = state.first_rows(timed(feed.stream()), "mid", ["rt", "n"])
+    firsts = feed.run_firsts(state.first_rows(timed(feed.stream()), ["mid"], ["rt", "n"]))
+    flagged = feed.run_firsts(state.with_history(feed.follow(firsts), "mid"), "flags")
     want = flags.flag_rows(table, "mid", "rt", "n").where("is_daily_first")
-    assert rows(live(feed.run(firsts)), "n", "is_first_ever") == rows(want, "n", "is_first_ever")
-    # state and window in one query
-    counts = windows.payment_window(firsts)
+    assert rows(live(flagged), "n", "is_first_ever") == rows(want, "n", "is_first_ever")
+    counts = windows.payment_window(feed.follow(flagged, "flags"))
     assert rows(feed.run(counts, "windows")) == rows(windows.payment_window(want))
 
 
-@pytest.mark.parametrize("limit", ["1", "7", "10000"])
-def test_flags_do_not_depend_on_arrow_batches_or_the_order_of_days(spark, limit):
+@pytest.mark.parametrize("seed", [1, 7])
+def test_flags_do_not_depend_on_the_order_of_rows(spark, seed):
     day, base = 24 * 3600 * 1000, int(START.timestamp() * 1000)
     data = [("hot", "0", None, base + d * day + i, 100 * d + i) for d in (3, 5, 1, 9) for i in range(12)]
     shuffled = data[:]
-    random.Random(int(limit)).shuffle(shuffled)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", limit)
-    try:
-        for n, batches in enumerate(([shuffled], [data[i:i + 12] for i in range(0, 48, 12)])):
-            got = Feed(spark, PAGES).put(*batches)
-            got = got.run(state.first_rows(timed(got.stream()), "mid", ["rt", "n"], back_days=4), f"o{n}")
-            assert sorted(r.n for r in got.collect()) == [100, 300, 500, 900]
-            # in one batch days are in order; else the first to arrive is first, and a late day has none before it
-            assert rows(got, "n", "is_first_ever", "is_back") == [
-                (100, n == 0, False), (300, n == 1, False), (500, False, False), (900, False, True)]
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    random.Random(seed).shuffle(shuffled)
+    for n, batches in enumerate(([shuffled], [data[i:i + 12] for i in range(0, 48, 12)])):
+        feed = Feed(spark, PAGES).put(*batches)
+        firsts = feed.run_firsts(state.first_rows(timed(feed.stream()), ["mid"], ["rt", "n"], delay="30 days"))
+        assert sorted(r.n for r in firsts.collect()) == [100, 300, 500, 900]
+        got = feed.run_firsts(state.with_history(feed.follow(firsts, files=n or None), "mid", back_days=4, delay="30 days"), "flags")
+        # in one batch days are in order; else the first to arrive is first, and a late day has none before it
+        assert rows(got, "n", "is_first_ever", "is_back") == [
+            (100, True, False), (300, n == 1, False), (500, False, False), (900, False, True)]
+
+
+def test_rows_of_no_key_come_once_and_late_days_are_left_out(spark):
+    day, base = 24 * 3600 * 1000, int(START.timestamp() * 1000)
+    feed = Feed(spark, PAGES).put(
+        [(None, "0", None, base, 1), (None, "0", None, base + 1, 2), ("a", "0", None, None, 3)], [("a", "0", None, base + 9 * day, 4)],
+        [("b", "0", None, base + 9 * day, 8)], [("a", "0", None, base, 5), ("a", "0", None, base + 9 * day - 1, 6), (None, "0", None, base + 9 * day, 7)])
+    got = feed.run_firsts(state.first_rows(timed(feed.stream()), ["mid"], ["rt", "n"], delay="2 seconds"))
+    assert sorted(r.n for r in got.collect()) == [1, 4, 7, 8]
 
 
 def test_repair_of_flags_batch_by_batch(spark, page_feed, tmp_path):
@@ -133,24 +149,41 @@ def test_no_fact_is_made_of_nulls(spark, tmp_path):
     assert rows(v.registers()) == rows(w.registers())
 
 
-def test_idle_state_is_dropped(spark):
+def test_days_are_remembered_for_so_long(spark):
+    """"Ever" is within the days remembered, and state holds no more than three times as many."""
+    day, base, memory = 24 * 3600 * 1000, int(START.timestamp() * 1000), 4
+    days = {"a": [0, 3, 8, 12, 13, 30], "b": list(range(0, 32, 2)), "c": [1, 20]}
+    batches = [[(k, "0", None, base + d * day, 100 * "abc".index(k) + d) for k in days if d in days[k]] for d in range(32)]
+    feed = Feed(spark, PAGES).put(*(b or [("x", "0", None, base + d * day, -1 - d)] for d, b in enumerate(batches)))
+    pages = timed(feed.stream())
+    got = feed.run_firsts(state.with_history(pages, "mid", memory_days=memory, back_days=3), "flags").where("n >= 0")
+    want = []
+    for k, seen in days.items():
+        for d in seen:
+            last = max((x for x in seen if d - memory <= x < d), default=None)
+            want.append((100 * "abc".index(k) + d, last is None, last is not None and d - last >= 3))
+    assert rows(got, "n", "is_first_ever", "is_back") == sorted(want)
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in feed.progress if p["stateOperators"]]
+    assert len(held) >= 30 and max(held[20:]) <= 4 * 3  # keys times windows that overlap the days kept
+    assert sum(p["stateOperators"][0]["numRowsRemoved"] for p in feed.progress) > 0
+
+
+def test_state_of_past_days_is_dropped(spark):
     day, base = 24 * 3600 * 1000, int(START.timestamp() * 1000)
+    feed = Feed(spark, PAGES).put(*([(f"m{k}", "0", None, base + d * day + k, 10 * d + k) for k in range(5)] for d in range(31)))
+    got = feed.run_firsts(state.first_rows(timed(feed.stream()), ["mid"], ["rt", "n"]))
+    assert got.count() == 155
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in feed.progress if p["stateOperators"]]
+    assert len(held) >= 31 and max(held) <= 5 * 3  # three days at the most
 
-    def page(mid, ts, n):
-        return (mid, "0", None, base + ts, n)
 
-    feed = Feed(spark, PAGES).put(
-        [page("a", 0, 1)], [page("b", 5 * day, 2)], [page("b", 5 * day + 1, 3)], [page("a", 9 * day, 4), page("b", 9 * day, 5)])
-    pages = timed(feed.stream()).withWatermark("rt", "2 seconds")
-    got = feed.run(state.first_rows(pages, "mid", ["rt", "n"], idle_days=2))
-    # the state of a is gone by day 5, so day 9 reads as first again
-    assert rows(got, "n", "is_first_ever") == [(1, True), (2, True), (4, True), (5, False)]
-
-
-def test_daily_arrivals(page_feed):
-    _, feed, table = page_feed
-    got = rows(live(feed.run(state.daily_arrivals(timed(feed.stream()), ["mid"]))), "mid", F.to_date("rt"))
-    assert got == rows(table.select("mid", F.to_date("rt")).distinct())
+def test_a_busy_key_is_combined_before_the_shuffle(spark, page_feed):
+    _, feed, _ = page_feed
+    query = sinks.to_batches(state.first_rows(timed(feed.stream()), ["mid"], ["rt", "n"]), f"{feed.base}/plan", f"{feed.base}/checkpoint-plan")
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert "partial_min_by" in plan and plan.index("partial_min_by") > plan.index("Exchange hashpartitioning")
+    assert "Python" not in plan and "Pandas" not in plan
 
 
 @pytest.mark.parametrize("seed", [6, 7])
@@ -178,7 +211,9 @@ def test_restart_gives_no_duplicates(spark):
     feed = Feed(spark, PAGES).put(parts[0])
 
     def run():
-        return feed.run(windows.payment_window(state.first_rows(timed(feed.stream()), "mid", ["rt", "n"])))
+        firsts = feed.run_firsts(state.first_rows(timed(feed.stream()), ["mid"], ["rt", "n"]))
+        flagged = feed.run_firsts(state.with_history(feed.follow(firsts), "mid"), "flags")
+        return feed.run(windows.payment_window(feed.follow(flagged, "flags")))
 
     for batch in [*parts[1:], [END_ROW]]:
         run()
@@ -214,9 +249,9 @@ def test_order_window_of_a_stream(spark):
              rnd.choice([None, 0.5]), rnd.choice([None, 0.25])) for i in range(200)]
     feed = Feed(spark, schema).put(*cut(data, 3), [(-1, "end", END, 1, 1.0, None, None)])
     # the two inputs move on at different speed: one file per batch, and all at once
-    firsts = feed.run(state.first_rows(feed.stream(), "user_id", ["rt", "n"]), "firsts")
-    firsts_stream = streams.file_table(spark, f"{feed.base}/firsts", firsts.schema)
-    got = feed.run(windows.order_window_from_firsts(feed.stream(), firsts_stream))
+    firsts = feed.run_firsts(state.first_rows(feed.stream(), ["user_id"], ["rt", "n"]))
+    flagged = feed.run_firsts(state.with_history(feed.follow(firsts), "user_id"), "flags")
+    got = feed.run(windows.order_window_from_firsts(feed.stream(), feed.follow(flagged, "flags")))
     assert rows(got) == rows(windows.order_window(spark.createDataFrame(data, schema)))
 
 
