@@ -14,6 +14,7 @@ from shopstream.plans import reports, views
 from shopstream.plans.warehouse import Stored, Warehouse
 from shopstream.session import shared_dir
 from shopstream.sources import sinks, streams
+from shopstream.streaming import state
 from shopstream.streaming.live import Live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +38,10 @@ def _no_clock(df: DataFrame) -> DataFrame:
     return df.drop("row_op_ts", "pt")
 
 
+def _wide_rows(wide: DataFrame) -> DataFrame:
+    return _no_clock(wide).withColumn("old", F.col("old")["order_status"]).withColumnRenamed("old", "old_status")
+
+
 def _routed(w: Warehouse) -> DataFrame:
     changes = views.part_changes(w.table("part")).unionByName(views.customer_changes(w.table("customer")))
     return dims.route(dims.upserts(changes), config(w.spark))
@@ -221,7 +226,7 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "coupon_pay": lambda w: facts.coupons_paid(w.shop_changes()),
     "cart_delta": lambda w: w.cart_adds(),
     "user_register": lambda w: facts.registrations(w.shop_changes()),
-    "order_wide": lambda w: _no_clock(w.wide()).withColumn("old", F.col("old")["order_status"]).withColumnRenamed("old", "old_status"),
+    "order_wide": lambda w: _wide_rows(w.wide()),
     "order_detail": lambda w: _no_clock(facts.order_details(w.wide())),
     "order_cancel": lambda w: facts.cancelled_details(w.wide()),
     "pay_detail": lambda w: facts.paid_details(w.trade_changes(), facts.order_details(w.wide()), w.dictionary()).drop("row_op_ts"),
@@ -307,6 +312,15 @@ STREAMS: dict[str, Callable[[Live], DataFrame]] = {
     "stream_refund_window": lambda v: v.refunds(),
     "stream_payment_window": lambda v: v.payments(),
     "stream_interval_join": lambda v: v.order_wide(),
+    "stream_dedup_first": lambda v: v.land_firsts(
+        state.first_rows(v.stream("lineitem"), views.LINE_KEY, ["l_shipdate", *views.LINE_REST], every=None), "first_lines"),
+    "stream_order_wide": lambda v: _wide_rows(v.wide()),
+    "stream_pay_detail": lambda v: v.paid().drop("row_op_ts"),
+    "stream_order_refund": lambda v: v.refund_requests().drop("row_op_ts"),
+    "stream_refund_pay": lambda v: v.refund_payments().drop("row_op_ts"),
+    "stream_order_window": lambda v: v.orders(),
+    "stream_user_item_window": lambda v: v.user_spu(),
+    "stream_province_detail_window": lambda v: v.detail_provinces(),
 }
 
 

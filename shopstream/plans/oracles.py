@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shopstream.plans.catalog import REPORT_DAYS
+from shopstream.plans.views import FEED_SECONDS
 
 
 def _case(column: str, names: dict[str, str]) -> str:
@@ -321,8 +322,19 @@ def oracle_sql() -> dict[str, str]:
     same = [
         "is_new_repair", "unique_visitor", "bounce", "log_split", "traffic_window", "page_view_window", "keyword_window",
         "login_window", "register_window", "cart_window", "refund_window", "payment_window",
+        "dedup_first", "order_wide", "pay_detail", "order_window", "user_item_window",
     ]
+
+    def fed(name: str, ship: str, line: str, seconds: int) -> str:
+        """The same facts with the time their records come in as a stream."""
+        assert ship in sql[name]
+        return sql[name].replace(ship, f"CAST(CAST(epoch(o_orderdate) AS BIGINT) + {seconds} + 10 * {line} AS VARCHAR) AS ts")
+
     return sql | {f"stream_{n}": sql[n] for n in same} | {
+        "stream_order_refund": fed("order_refund", f"{_SHIP_TS} AS ts", "l_linenumber", FEED_SECONDS["order_refund_info"]),
+        "stream_refund_pay": fed("refund_pay", "CAST(CAST(epoch(p.l_shipdate) AS BIGINT) AS VARCHAR) AS ts", "p.l_linenumber",
+                                 FEED_SECONDS["refund_payment"]),
+        "stream_province_detail_window": sql["province_window"],
         "stream_dim_upsert": _dimensions("p_name"),
         "stream_province_window": f"""
 SELECT {_bounds('o_orderdate', '1 day')}, CAST(c_nationkey AS VARCHAR) AS province_id, n_name AS province_name,

@@ -8,6 +8,7 @@ table that goes in.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -111,7 +112,7 @@ def _data(**columns: Column | str | None) -> Column:
     return F.create_map(*pairs)
 
 
-def _change(rows: DataFrame, table_name: str, kind: Column | str, data: Column, time: str, old: Column | None = None) -> DataFrame:
+def _change(rows: DataFrame, table_name: str, kind: Column | str, data: Column, time: Column | str, old: Column | None = None) -> DataFrame:
     """Change records of one source table.
 
     The table name is a constant of its branch, so a reader that filters on it
@@ -170,8 +171,11 @@ def line_id() -> Column:
     return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
-def detail_changes(lineitem: DataFrame) -> DataFrame:
-    """Change records a line item gives rise to: the detail, its activity, coupon, refund request and refund payment."""
+def detail_changes(lineitem: DataFrame, at: Callable[[str], Column] = lambda _: F.col("l_shipdate")) -> DataFrame:
+    """Change records a line item gives rise to: the detail, its activity, coupon, refund request and refund payment.
+
+    ``at`` gives the time of the records of a source table.
+    """
     rows = lineitem.withColumns({"id": line_id(), "at": time_text("l_shipdate")})
     part = {"order_id": "l_orderkey", "sku_id": "l_partkey", "create_time": "at"}
     returned = rows.where("l_returnflag = 'R'")
@@ -194,18 +198,19 @@ def detail_changes(lineitem: DataFrame) -> DataFrame:
         id=F.concat(F.lit("p"), "id"), order_id="l_orderkey", sku_id="l_partkey", payment_type=F.col("l_suppkey") % 30,
         callback_time="at", total_amount=amount("l_extendedprice"))
     return _topic(
-        _change(rows, "order_detail", "insert", details, "l_shipdate"),
-        _change(rows.where("l_discount >= 0.05D"), "order_detail_activity", "insert", activities, "l_shipdate"),
-        _change(rows.where("l_tax >= 0.04D"), "order_detail_coupon", "insert", coupons, "l_shipdate"),
-        _change(returned, "order_refund_info", "insert", refunds, "l_shipdate"),
-        _change(returned.where("l_linestatus = 'F'"), "refund_payment", "insert", payments, "l_shipdate"),
+        _change(rows, "order_detail", "insert", details, at("order_detail")),
+        _change(rows.where("l_discount >= 0.05D"), "order_detail_activity", "insert", activities, at("order_detail_activity")),
+        _change(rows.where("l_tax >= 0.04D"), "order_detail_coupon", "insert", coupons, at("order_detail_coupon")),
+        _change(returned, "order_refund_info", "insert", refunds, at("order_refund_info")),
+        _change(returned.where("l_linestatus = 'F'"), "refund_payment", "insert", payments, at("refund_payment")),
     )
 
 
-def order_changes(orders: DataFrame) -> DataFrame:
+def order_changes(orders: DataFrame, at: Callable[[str], Column] = lambda _: F.col("o_orderdate")) -> DataFrame:
     """Change records of an order: insert, status updates by its final state, and its payment.
 
     One scan gives all records of an order; only source tables are branches.
+    ``at`` gives the time of the records of a source table.
     """
     rows = orders.withColumns({"at": time_text("o_orderdate"), "later": time_text(F.col("o_orderdate") + F.expr("interval 10 minutes"))})
     blank = {n: None for n in [
@@ -238,11 +243,40 @@ def order_changes(orders: DataFrame) -> DataFrame:
         user_id="o_custkey", order_id="o_orderkey", payment_type=F.col("o_custkey") % 30, callback_time="later",
         payment_status=F.when(F.col("o_orderstatus") != "P", "1602").otherwise("1601"))
     return _topic(
-        _change(each, "order_info", kind, order, "o_orderdate", F.col("_record.old")),
-        _change(rows, "payment_info", "update", payments, "o_orderdate"),
+        _change(each, "order_info", kind, order, at("order_info"), F.col("_record.old")),
+        _change(rows, "payment_info", "update", payments, at("payment_info")),
     )
 
 
+# Seconds after its order's time that a record of a source table comes, and how far apart records that belong together may be.
+FEED_SECONDS = {
+    "order_detail": 0, "order_detail_coupon": 120, "order_detail_activity": 300, "payment_info": 600, "order_refund_info": 900,
+    "refund_payment": 1200,
+}
+FEED_RANGE = "30 minutes"
+
+
+def trade_feed(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """The change records of orders and lines as they would come in, all within half an hour of their order.
+
+    A line's ship date has nothing to do with its order's, so as a stream its
+    records take their time from the order. Activities and refunds come late.
+    """
+    made = orders.select(F.col("o_orderkey").alias("_order"), F.unix_timestamp("o_orderdate").alias("_made"))
+    lines = lineitem.join(made, F.col("l_orderkey") == F.col("_order"), "left").withColumn(
+        "_made", F.coalesce("_made", F.unix_timestamp("l_shipdate")) + 10 * F.col("l_linenumber"))
+
+    def of_line(name: str) -> Column:
+        return F.timestamp_seconds(F.col("_made") + FEED_SECONDS[name])
+
+    def of_order(name: str) -> Column:
+        status = F.col("_record.status")
+        late = F.when(status == "1006", 1200).when(status == "1005", 900).when(F.col("_record.kind") == "update", 300).otherwise(0)
+        return F.timestamp_seconds(F.unix_timestamp("o_orderdate") + (late if name == "order_info" else FEED_SECONDS[name]))
+
+    return detail_changes(lines, of_line).unionByName(order_changes(orders, of_order))
+
+
 def dictionary(nation: DataFrame) -> DataFrame:
     return nation.select(text("n_nationkey").alias("dic_code"), F.col("n_name").alias("dic_name"))
 

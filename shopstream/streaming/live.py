@@ -9,8 +9,9 @@ there and stop; with a trigger interval they would go on.
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream.functions.keywords import words
@@ -30,8 +31,8 @@ END = "2200-01-01 00:00:00"
 # A session of a visitor is looked at in slots of 10 days.
 STREAM_SLOTS = 40
 
-# A table is replayed in this many micro-batches, in order of its time.
-BATCHES = 4
+# A table is replayed in this many micro-batches at least, in order of its time.
+BATCHES, BATCH_ROWS, FILE_ROWS = 4, 4_000_000, 200_000
 TIMES = {"events": "ts", "lineitem": "l_shipdate", "orders": "o_orderdate", "documents": "doc_id"}
 
 
@@ -45,39 +46,57 @@ class Live:
         self.spark = spark
         self.sf_dir = sf_dir
         self.base = shared_dir(spark, "live")
-        self.dealt: set[str] = set()
+        self.dealt: dict[str, int] = {}
+        self.landed: dict[str, DataFrame] = {}
         self.closing: list[tuple[DataFrame, str]] = []
 
     def stream(self, name: str) -> DataFrame:
-        """A table as a stream. A table with a time is dealt into files by it, one to a micro-batch."""
+        """A table as a stream. A table with a time is dealt into micro-batches by it."""
         table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         if name not in TIMES:
             rows = streams.file_table(self.spark, self.sf_dir, table.schema, glob=f"{name}.parquet")
         else:
-            rows = streams.file_table(self.spark, self.deal(name, table), table.schema, files_per_batch=1)
+            time = F.col(TIMES[name])
+            rows = self.deal(name, table, time if name == "documents" else F.unix_micros(time.cast("timestamp")))
         return views.instants(rows)
 
-    def deal(self, name: str, table: DataFrame) -> str:
-        """Write a table in order of time as BATCHES files; null times come with the first."""
+    def trade(self) -> DataFrame:
+        """The change records of orders and their lines as one topic, in order of time."""
+        feed = views.trade_feed(self.table("lineitem"), self.table("orders"))
+        if "trade" not in self.dealt:
+            path = f"{self.base}/trade-records"
+            feed.write.parquet(path)
+            feed = self.spark.read.schema(feed.schema).parquet(path)
+        return self.deal("trade", feed, F.col("ts").cast("long"))
+
+    def deal(self, name: str, table: DataFrame, stamp: Column) -> DataFrame:
+        """A table in order of ``stamp`` as a stream; null times come with the first rows.
+
+        It is cut into BATCHES micro-batches, or as many as it takes for
+        BATCH_ROWS rows each, and every one is written as files of FILE_ROWS.
+        """
         path = f"{self.base}/dealt-{name}"
-        if path not in self.dealt:
-            time = F.col(TIMES[name])
-            stamp = time if name == "documents" else F.unix_micros(time.cast("timestamp"))
-            cuts = table.agg(F.percentile_approx(stamp, [k / BATCHES for k in range(1, BATCHES)])).first()[0] or []
+        if name not in self.dealt:
+            rows = table.count()
+            parts = max(BATCHES, ceil(rows / BATCH_ROWS))
+            files = max(1, ceil(rows / parts / FILE_ROWS))
+            cuts = table.agg(F.percentile_approx(stamp, [k / parts for k in range(1, parts)], 100 * parts)).first()[0] or []
             part = sum((F.coalesce(stamp > c, F.lit(False)).cast("int") for c in cuts), F.lit(0))
-            for k in range(BATCHES):
-                table.where(part == k).coalesce(1).write.mode("append").parquet(path)
-            self.dealt.add(path)
-        return path
+            for k in range(parts):
+                some = table.where(part == k)
+                (some.repartition(files) if files > 1 else some.coalesce(1)).write.mode("append").parquet(path)
+            self.dealt[name] = files
+        return streams.file_table(self.spark, path, table.schema, files_per_batch=self.dealt[name])
 
-    def ended(self, df: DataFrame, name: str, time: str = "rt", ms: str | None = None) -> DataFrame:
+    def ended(self, df: DataFrame, name: str, time: str = "rt", ms: str | None = None, **others: Column) -> DataFrame:
         """Facts followed by their closing row, which :meth:`land` sends after everything else.
 
-        ``ms`` names a column that holds the time in milliseconds as well.
+        ``ms`` names a column that holds the time in milliseconds as well;
+        ``others`` are columns that the closing row needs to get to its watermark.
         """
         path = f"{self.base}/end-{name}"
         end = F.lit(END).cast("timestamp")
-        values = {time: end} | ({ms: F.unix_millis(end)} if ms else {})
+        values = {time: end} | ({ms: F.unix_millis(end)} if ms else {}) | others
         row = self.spark.range(1).select(*(
             values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema))
         row.limit(0).write.parquet(path)
@@ -124,6 +143,84 @@ class Live:
     def shop_changes(self) -> DataFrame:
         return views.shop_changes(self.stream("events"))
 
+    # Orders and what becomes of them
+
+    def names(self) -> DataFrame:
+        return views.dictionary(self.table("nation"))
+
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A landed table that several jobs read."""
+        if name not in self.landed:
+            self.landed[name] = build()
+        return self.landed[name]
+
+    def wide(self) -> DataFrame:
+        """Details with their order, activity and coupon: two outer joins and an inner one, all of one topic.
+
+        An outer row comes out when the watermark is past its range; the
+        closing record, an order that no detail is of, takes it past all of them
+        (one without an id would be filtered out before the watermark).
+        """
+        def build() -> DataFrame:
+            end = F.unix_timestamp(F.lit(END).cast("timestamp")).cast("string")
+            changes = self.ended(self.trade(), "wide", "ts", ts=end, table=F.lit("order_info"), type=F.lit("insert"),
+                                 data=F.create_map(F.lit("id"), F.lit("end")))
+            with streams.one_topic(self.spark):
+                return self.land(facts.order_wide(changes, self.names(), within=views.FEED_RANGE), "wide")
+        return self.once("wide", build)
+
+    def paid(self) -> DataFrame:
+        """Payments meet the landed details: two topics, so the slower one holds the watermark."""
+        def build() -> DataFrame:
+            details = facts.order_details(self.follow("wide", self.wide())).withWatermark("pt", "2 seconds")
+            return self.land(facts.paid_details(self.trade(), details, self.names(), within=views.FEED_RANGE), "paid")
+        return self.once("paid", build)
+
+    def refund_requests(self) -> DataFrame:
+        with streams.one_topic(self.spark):
+            return self.land(facts.refunds(self.trade(), self.names(), within=views.FEED_RANGE), "order_refund")
+
+    def refund_payments(self) -> DataFrame:
+        with streams.one_topic(self.spark):
+            return self.land(facts.refunds_paid(self.trade(), self.names(), within=views.FEED_RANGE), "refund_pay")
+
+    def lines(self) -> DataFrame:
+        """Details as they come, each version of a line under the line's key."""
+        details = facts.rows_of(self.trade(), "order_detail", ["insert"])
+        rows = details.select(*facts.fields(*facts.ORDER_DETAIL), F.timestamp_seconds(F.col("ts").try_cast("long")).alias("pt"))
+        return rows.withColumn("line", F.substring_index("id", "-", 2))
+
+    @staticmethod
+    def versions() -> list[Column]:
+        """Versions of a line by ship date, then by article and supplier."""
+        return [F.col("create_time"), F.col("sku_id").cast("long"), F.col("source_id").cast("long"), F.col("sku_num").cast("long"),
+                F.col("split_total_amount").cast("double")]
+
+    def first_details(self) -> DataFrame:
+        """The first version of each line; the state of a line goes a day after it came."""
+        return self.once("first_details", lambda: self.land_firsts(
+            state.first_rows(self.lines(), ["line"], self.versions(), "pt"), "first_details"))
+
+    def newest_details(self) -> DataFrame:
+        """The newest version of each line, once none came for 5 seconds."""
+        return self.once("newest_details", lambda: self.land(state.last_versions(
+            self.ended(self.lines(), "newest", "pt"), ["line"], "pt", ties=self.versions()), "newest_details"))
+
+    def with_order(self, details: DataFrame, name: str) -> DataFrame:
+        """Details as a stream meet their order for its user and time, both within the range."""
+        orders = facts.rows_of(facts.event_time(self.trade()), "order_info", ["insert"]).select(
+            F.col("data")["id"].alias("order_id"), *facts.fields("user_id"), F.col("data")["create_time"].alias("made"),
+            F.col("pt").alias("order_pt"))
+        rows = facts.join_within(details.withWatermark("pt", "2 seconds"), orders, ["order_id"], "inner", views.FEED_RANGE, "order_pt")
+        coupon = F.when(F.col("split_coupon_amount").cast("double") >= 0.04, F.col("split_coupon_amount"))
+        return self.land(rows.select(
+            "order_id", "sku_id", "user_id", "sku_num", "order_price", "split_total_amount", "split_activity_amount",
+            coupon.alias("split_coupon_amount"), parse_time(F.col("made")).alias("rt")), name)
+
+    def order_facts(self) -> DataFrame:
+        return self.once("order_facts", lambda: self.with_order(
+            self.follow_firsts("first_details", self.first_details()), "order_facts"))
+
     # Facts
 
     def repaired(self) -> DataFrame:
@@ -220,36 +317,67 @@ class Live:
         result = windows.province_window(self.ended(rows, "orders"), DAY)
         return self.land(dims.enrich(result, views.dim_province(self.table("nation")), "province_id", {"province_name": "name"}), "provinces")
 
+    def detail_provinces(self) -> DataFrame:
+        """Orders and amounts per province and day, from the newest version of each detail."""
+        rows = self.with_order(self.follow("newest_details", self.newest_details()), "newest_facts")
+        homes = self.table("customer").select(views.text("c_custkey").alias("id"), views.text("c_nationkey").alias("province_id"))
+        rows = dims.enrich(self.follow("newest_facts", rows), homes, "user_id", {"province_id": "province_id"})
+        result = windows.province_window(self.ended(rows.where("province_id is not null"), "newest_facts"), DAY)
+        return self.land(dims.enrich(result, views.dim_province(self.table("nation")), "province_id", {"province_name": "name"}),
+                         "detail_provinces")
+
+    def with_sku(self, rows: DataFrame) -> DataFrame:
+        return dims.enrich(rows, views.dim_sku(self.table("part")), "sku_id", {
+            "spu_id": "spu_id", "trademark_id": "tm_id", "category3_id": "category3_id"})
+
+    def with_names(self, result: DataFrame) -> DataFrame:
+        region = self.table("region")
+        result = dims.enrich(result, views.dim_trademark(self.table("part")), "trademark_id", {"trademark_name": "tm_name"})
+        return dims.with_categories(result, dims.category_chain(
+            views.dim_category3(self.table("nation")), views.dim_category2(region), views.dim_category1(region)))
+
+    def orders(self) -> DataFrame:
+        """Ordering and new users and amounts: flags from landed first rows, amounts from the facts, one window for both."""
+        facts_table = self.order_facts()
+        firsts = self.new_users(self.follow("order_facts", facts_table), "order")
+        return self.land(windows.order_window_from_firsts(
+            self.ended(self.follow("order_facts", facts_table), "order_facts"), self.ended(firsts, "order_firsts"), DAY), "orders")
+
+    def user_spu(self) -> DataFrame:
+        """Orders and amounts per user and article: articles come before the window, names after it."""
+        rows = self.with_sku(self.follow("order_facts", self.order_facts()))
+        result = windows.user_spu_window(self.ended(rows, "user_spu"), DAY)
+        result = dims.enrich(result, views.dim_spu(self.table("part")), "spu_id", {"spu_name": "spu_name"})
+        return self.land(self.with_names(result), "user_spu")
+
     def refunds(self) -> DataFrame:
-        """Returned lines with their order's user, counted by trademark and category; names come last."""
-        orders, part, region = self.table("orders"), self.table("part"), self.table("region")
-        rows = self.stream("lineitem").where("l_returnflag = 'R'")
-        rows = rows.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left").select(
-            F.col("l_orderkey").alias("order_id"), views.text("l_partkey").alias("sku_id"), views.text("o_custkey").alias("user_id"),
-            F.col("l_shipdate").alias("rt"))
-        rows = dims.enrich(rows, views.dim_sku(part), "sku_id", {"trademark_id": "tm_id", "category3_id": "category3_id"})
-        result = windows.refund_window(self.ended(rows, "refunds"), DAY)
-        result = dims.enrich(result, views.dim_trademark(part), "trademark_id", {"trademark_name": "tm_name"})
-        return self.land(dims.with_categories(result, dims.category_chain(
-            views.dim_category3(self.table("nation")), views.dim_category2(region), views.dim_category1(region))), "refunds")
+        """Refund requests meet their order's user; then they are counted by trademark and category, and names come last."""
+        changes = facts.event_time(self.trade())
+        requests = facts.rows_of(changes, "order_refund_info", ["insert"]).select(
+            *facts.fields("order_id", "sku_id", "create_time"), "pt")
+        orders = facts.rows_of(changes, "order_info", ["insert"]).select(
+            F.col("data")["id"].alias("order_id"), *facts.fields("user_id"), F.col("pt").alias("order_pt"))
+        rows = facts.join_within(requests, orders, ["order_id"], "inner", views.FEED_RANGE, "order_pt").select(
+            "order_id", "sku_id", "user_id", parse_time(F.col("create_time")).alias("rt"))
+        with streams.one_topic(self.spark):
+            landed = self.land(rows, "refund_rows")
+        rows = self.with_sku(self.follow("refund_rows", landed)).drop("spu_id")
+        return self.land(self.with_names(windows.refund_window(self.ended(rows, "refunds"), DAY)), "refunds")
 
     def payments(self) -> DataFrame:
-        """Paying users from the newest version of each paid detail.
+        """Paying users from payments of orders whose details are there in their newest version.
 
         A detail whose versions lie further apart than the hold comes out once
         per group of versions; per user and day only the first row counts, so
         that changes nothing here.
         """
-        orders = self.table("orders").where("o_orderstatus <> 'P'").select("o_orderkey", "o_custkey", "o_orderdate")
-        versions = self.stream("lineitem").select(
-            "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("row_op_ts"))
-        newest = state.last_versions(
-            self.ended(versions, "versions", "row_op_ts"), ["l_orderkey", "l_linenumber"], "row_op_ts")
-        landed = self.land(newest, "newest")
-        paid = self.follow("newest", landed)
-        paid = paid.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-            views.text("o_custkey").alias("user_id"), (F.col("o_orderdate") + F.expr("interval 10 minutes")).alias("rt"))
-        firsts = self.new_users(paid, "payment")
+        details = self.follow("newest_details", self.newest_details()).select("order_id", F.col("pt").alias("detail_pt"))
+        paid = facts.rows_of(facts.event_time(self.trade()), "payment_info", ["update"])
+        paid = paid.where(F.col("data")["payment_status"] == facts.PAYMENT_DONE).select(
+            *facts.fields("order_id", "user_id", "callback_time"), "pt")
+        rows = facts.join_within(paid, details.withWatermark("detail_pt", "2 seconds"), ["order_id"], "inner", views.FEED_RANGE, "detail_pt")
+        landed = self.land(rows.select("user_id", parse_time(F.col("callback_time")).alias("rt")), "paid_rows")
+        firsts = self.new_users(self.follow("paid_rows", landed), "payment")
         return self.land(windows.payment_window(self.ended(firsts, "payments"), DAY), "payments")
 
     def order_wide(self) -> DataFrame:

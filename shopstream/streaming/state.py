@@ -25,13 +25,17 @@ def first_arrivals(df: DataFrame, keys: Sequence[str], time: str, horizon: str)
     return df.withWatermark(time, horizon).dropDuplicatesWithinWatermark(list(keys))
 
 
-def last_versions(df: DataFrame, keys: Sequence[str], version: str, hold: str = "5 seconds", delay: str = "2 seconds") -> DataFrame:
+def last_versions(
+    df: DataFrame, keys: Sequence[str], version: str, hold: str = "5 seconds", delay: str = "2 seconds",
+    ties: Sequence[Column | str] = (),
+) -> DataFrame:
     """Newest version per key, given out once no further version came for ``hold``.
 
-    ``version`` is a timestamp and serves as the event time of the session.
+    ``version`` is a timestamp and serves as the event time of the session;
+    of versions of one time the highest ``ties`` count.
     """
     rest = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.col(version)).alias("_row")
+    newest = F.max_by(F.struct(*rest), F.struct(version, *ties)).alias("_row")
     sessions = df.withWatermark(version, delay).groupBy(*keys, F.session_window(version, hold)).agg(newest)
     return sessions.select(*keys, "_row.*")
 
