@@ -78,14 +78,3 @@ def with_categories(df: DataFrame, chain: DataFrame) -> DataFrame:
     """Add all category columns to a frame that holds ``category3_id``."""
     names = [c for c in chain.columns if c != "category3_id"]
     return enrich(df, chain, "category3_id", dict(zip(names, names)), dim_key="category3_id")
-
-
-def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Current row of each key, by the highest ``order`` columns.
-
-    One aggregate with map-side combine: however often a key was updated, each
-    task passes on a single row of it.
-    """
-    rest = [c for c in rows.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return rows.groupBy(*keys).agg(newest).select(*keys, "_row.*")

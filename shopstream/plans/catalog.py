@@ -34,6 +34,17 @@ def config(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RULES, "source_table string, sink_table string, sink_columns string, sink_pk string, sink_extend string")
 
 
+def config_stream(v: Live) -> DataFrame:
+    """The routing rules as captured changes: each is first made with its first column only, then as it is now."""
+    path = shared_dir(v.spark, "config-log")
+    rules = config(v.spark)
+    first = rules.withColumn("sink_columns", F.substring_index("sink_columns", ",", 1))
+    for ms, rows in enumerate((first, rules)):
+        line = F.to_json(F.struct(F.struct(*rules.columns).alias("after"), F.lit(ms).alias("ts_ms"))).alias("value")
+        rows.select(line).coalesce(1).write.mode("append").text(path)
+    return streams.config_records(streams.file_lines(v.spark, path, files_per_batch=1))
+
+
 def _no_clock(df: DataFrame) -> DataFrame:
     return df.drop("row_op_ts", "pt")
 
@@ -301,8 +312,9 @@ STREAMS: dict[str, Callable[[Live], DataFrame]] = {
     "stream_unique_visitor": lambda v: v.visitors().select("event_id", "mid", "ch", "ts"),
     "stream_bounce": lambda v: v.bounces().select("event_id", "mid", "ch", "ts"),
     "stream_log_split": lambda v: _topic_rows(v.topics()),
-    "stream_dim_upsert": lambda v: dimension_rows(v.dimensions(lambda: config(v.spark))),
-    "stream_traffic_window": lambda v: v.traffic(),
+    "stream_dim_upsert": lambda v: dimension_rows(v.dimensions(v.rules(config_stream(v)))),
+    "stream_traffic_window": lambda v: v.traffic().drop("dt"),
+    "stream_report_channel_uv_day": lambda v: reports.channel_visitors(v.traffic(), EVENT_DAY),
     "stream_page_view_window": lambda v: v.page_views(),
     "stream_keyword_window": lambda v: v.keywords(),
     "stream_login_window": lambda v: v.logins(),

@@ -335,6 +335,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_refund_pay": fed("refund_pay", "CAST(CAST(epoch(p.l_shipdate) AS BIGINT) AS VARCHAR) AS ts", "p.l_linenumber",
                                  FEED_SECONDS["refund_payment"]),
         "stream_province_detail_window": sql["province_window"],
+        "stream_report_channel_uv_day": sql["report_channel_uv_day"],
         "stream_dim_upsert": _dimensions("p_name"),
         "stream_province_window": f"""
 SELECT {_bounds('o_orderdate', '1 day')}, CAST(c_nationkey AS VARCHAR) AS province_id, n_name AS province_name,

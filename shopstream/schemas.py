@@ -37,6 +37,9 @@ CHANGE = T.StructType([
 
 CONFIG = strings("source_table", "sink_table", "sink_columns", "sink_pk", "sink_extend")
 
+# A captured change of a routing rule: the rule after it, and when it was made.
+CONFIG_CHANGE = T.StructType([T.StructField("after", CONFIG), T.StructField("ts_ms", T.LongType())])
+
 DICTIONARY = T.StructType([
     *strings("dic_code", "dic_name", "parent_code").fields,
     T.StructField("create_time", T.TimestampType()),

@@ -1,9 +1,8 @@
 """Sinks: Kafka, partitioned tables, keyed upserts, JDBC.
 
-A keyed table is a folder of batches, each written whole under its batch
-number. Writing a batch again replaces it, so a retry after a lost executor
-or driver cannot double rows. Cost per batch follows the batch, not the table;
-readers take the newest row per key.
+Batches are written whole under their number. Writing a batch again replaces
+it, so a retry after a lost executor or driver cannot double rows. Keyed
+tables are in :mod:`shopstream.sources.keyed`.
 """
 
 from __future__ import annotations
@@ -17,9 +16,7 @@ from pyspark.sql.types import StructType
 
 from shopstream.functions.times import now_ms
 from shopstream.operators import dims
-from shopstream.operators.dims import latest
-
-BATCH = "batch_id"
+from shopstream.sources.keyed import BATCH, KeyedTable
 
 
 def as_json(df: DataFrame) -> DataFrame:
@@ -68,13 +65,26 @@ def write_summary(rows: DataFrame, path: str) -> None:
     rows.hint("rebalance", F.col("dt")).write.mode("append").partitionBy("dt").parquet(path)
 
 
-def create_table(spark: SparkSession, path: str, schema: StructType) -> None:
-    """Start a keyed table without rows, unless it is there."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/{BATCH}=-1")
+def write_summary_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Write a batch of :func:`summary_rows` by day and batch number: an earlier try of the batch is replaced day by day."""
+    (rows.withColumn(BATCH, F.lit(batch_id).cast("long")).hint("rebalance", F.col("dt")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("dt", BATCH).parquet(path))
+
+
+def to_summary(dws: DataFrame, path: str, checkpoint: str, continuous: str | None = None) -> StreamingQuery:
+    """Land a stream of closed windows in a summary table, with write time and by day."""
+    columns = [c for c in dws.columns if c not in ("stt", "edt")]
+    return for_each_batch(dws, lambda rows, batch_id: write_summary_batch(summary_rows(rows, columns), path, batch_id),
+                          checkpoint, continuous=continuous)
+
+
+def create_table(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str] = ("id",)) -> None:
+    """Start a keyed table without rows, unless it is there; columns it does not have are added."""
+    KeyedTable(spark, path, keys, []).create(schema)
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Write one batch of a keyed table, replacing an earlier try."""
+    """Write the rows of one batch to a folder of its own, replacing an earlier try."""
     rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
@@ -85,32 +95,33 @@ def to_batches(df: DataFrame, path: str, checkpoint: str, mode: str = "update",
 
 def upsert_batches(path: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that writes the newest row per key of each batch."""
-    def write(rows: DataFrame, batch_id: int) -> None:
-        write_batch(latest(rows, keys, order), path, batch_id)
-    return write
+    return lambda rows, batch_id: KeyedTable(rows.sparkSession, path, keys, order).write(rows, batch_id)
 
 
-def read_upserts(
-    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], schema: StructType | None = None,
-) -> DataFrame:
+def read_upserts(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Current rows of a keyed table: highest batch, then highest ``order``, per key."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    return latest(reader.parquet(path), keys, [BATCH, *order]).drop(BATCH)
+    return KeyedTable(spark, path, keys, order).read()
 
 
 def write_dimensions(changes: DataFrame, config: DataFrame, base: str, batch_id: int) -> None:
     """Write a batch of change records into every configured table below ``base``.
 
-    A table that is not there yet is created. The rules, one per table, are
-    read again for every batch, so a new one takes effect with the next.
+    A table that is not there yet is created, and columns that a rule has
+    gained are added, null in older rows. The rules, one per table, are read
+    again for every batch, so a new one takes effect with the next.
     """
     routed = dims.route(dims.upserts(changes), config)
-    for rule in config.collect():
+    for rule in config.collect():  # one row per dimension
         names = dims.sink_schema(rule.asDict()).names
-        path, key = f"{base}/{rule['sink_table']}", rule["sink_pk"] or dims.DEFAULT_KEY
         rows = dims.columns_of(routed, rule.asDict()).select(*names, "ts")
-        create_table(changes.sparkSession, path, rows.schema)
-        write_batch(latest(rows, [key], ["ts"]), path, batch_id)
+        table = KeyedTable(changes.sparkSession, f"{base}/{rule['sink_table']}", [rule["sink_pk"] or dims.DEFAULT_KEY], ["ts"])
+        table.create(rows.schema)
+        table.write(rows, batch_id)
+
+
+def config_table(spark: SparkSession, path: str) -> KeyedTable:
+    """The routing rules as they were at each version: one row per source table, kept from its change records."""
+    return KeyedTable(spark, path, ["source_table"], ["ts_ms"], buckets=1, pick="highest")
 
 
 def read_dimensions(spark: SparkSession, config: DataFrame, base: str) -> dict[str, DataFrame]:
@@ -119,14 +130,6 @@ def read_dimensions(spark: SparkSession, config: DataFrame, base: str) -> dict[s
             for r in config.collect()}
 
 
-def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], order: Sequence[str]) -> None:
-    """Write the current rows as the one batch (number -1) of a new folder.
-
-    Later batches are written there; the old folder can go once readers have moved.
-    """
-    write_batch(read_upserts(spark, path, keys, order), target, -1)
-
-
 def to_jdbc(url: str, table: str, batch_rows: int = 10_000, **options: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that appends to a database table. Needs the database's driver.
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopstream.schemas import CHANGE, DICTIONARY, LOG
+from shopstream.operators.dedup import first_by_key
+from shopstream.schemas import CHANGE, CONFIG_CHANGE, DICTIONARY, LOG
 from shopstream.session import setting
 
 BAD = "_corrupt_record"
@@ -103,6 +104,11 @@ def changes(lines: DataFrame) -> DataFrame:
     return parse(lines, CHANGE)
 
 
+def config_records(lines: DataFrame) -> DataFrame:
+    """Captured config changes from their JSON lines."""
+    return parse(lines, CONFIG_CHANGE)
+
+
 def jdbc_dictionary(spark: SparkSession, url: str, table: str = "base_dic", **options: str) -> DataFrame:
     """Code dictionary over JDBC; read again for every batch of a stream. Needs the database's driver."""
     rows = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options).load()
@@ -114,6 +120,9 @@ def config_rows(records: DataFrame) -> DataFrame:
 
     ``records`` holds ``after`` (struct of the rule) and ``ts_ms``.
     """
-    newest = F.max_by("after", "ts_ms").alias("after")
-    rows = records.where("after is not null").groupBy(F.col("after.source_table").alias("_table"))
-    return rows.agg(newest).select("after.*")
+    return first_by_key(config_changes(records), ["source_table"], [F.col("ts_ms").desc_nulls_last()]).drop("ts_ms")
+
+
+def config_changes(records: DataFrame) -> DataFrame:
+    """The rules of captured config changes with their time ``ts_ms``; records without a rule after them are left out."""
+    return records.where("after is not null").select("after.*", "ts_ms")

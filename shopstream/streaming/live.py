@@ -13,14 +13,17 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopstream.functions.keywords import words
 from shopstream.functions.times import parse_time
 from shopstream.operators import dims, facts, logs, windows
 from shopstream.plans import views
 from shopstream.plans.warehouse import BACK_DAYS, BOUNCE_MS, DAY, HOUR
+from shopstream.schemas import CONFIG, CONFIG_CHANGE
 from shopstream.session import setting, shared_dir
 from shopstream.sources import sinks, streams
+from shopstream.sources.keyed import KeyedTable
 from shopstream.streaming import state
 
 # A window closes when the watermark passes it. So that a finished source gives
@@ -115,6 +118,18 @@ class Live:
                 sinks.to_table(df, path, checkpoint).awaitTermination()
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def land_summary(self, df: DataFrame, name: str) -> DataFrame:
+        """:meth:`land` into a summary table: by day, with write time and batch number, which readers don't see."""
+        path, checkpoint = f"{self.base}/{name}", f"{self.base}/checkpoint-{name}"
+        closing, self.closing = self.closing, []
+        with setting(self.spark, "spark.sql.shuffle.partitions", str(self.partitions)):
+            sinks.to_summary(df, path, checkpoint).awaitTermination()
+            for row, end in closing:
+                row.write.mode("append").parquet(end)
+            if closing:
+                sinks.to_summary(df, path, checkpoint).awaitTermination()
+        return self.spark.read.parquet(path).drop("ts", sinks.BATCH)
+
     def land_firsts(self, df: DataFrame, name: str) -> DataFrame:
         """Run a job in update mode into a table of a folder a micro-batch, and return the table."""
         path, checkpoint = f"{self.base}/{name}", f"{self.base}/checkpoint-{name}"
@@ -226,20 +241,18 @@ class Live:
     def repaired(self) -> DataFrame:
         """Visitor flags put right batch by batch.
 
-        The first row of each visitor is kept in a keyed table, a batch of it
-        per batch of rows. A batch is compared with the firsts of all batches
-        up to its own, so running it again gives the same rows.
+        The first row of each visitor is kept in a keyed table of earliest
+        rows. A batch is compared with the firsts of all batches up to its
+        own, so running it again gives the same rows.
         """
-        pages, path, firsts = self.pages(), f"{self.base}/pages", f"{self.base}/first_seen"
+        pages, path = self.pages(), f"{self.base}/pages"
+        firsts = KeyedTable(self.spark, f"{self.base}/first_seen", ["mid"], ["first_order"], self.partitions, pick="lowest")
 
         def write(rows: DataFrame, batch_id: int) -> None:
-            sinks.write_batch(logs.first_seen(rows), firsts, batch_id)
-            known = self.spark.read.parquet(firsts).where(F.col(sinks.BATCH) <= batch_id)
-            known = known.groupBy("mid").agg(F.min("first_order").alias("first_order"))
-            sinks.write_batch(logs.repair_with(rows, known), path, batch_id)
+            firsts.write(logs.first_seen(rows), batch_id)
+            sinks.write_batch(logs.repair_with(rows, firsts.read(up_to=batch_id)), path, batch_id)
 
-        with setting(self.spark, "spark.sql.shuffle.partitions", str(self.partitions)):
-            sinks.for_each_batch(pages, write, f"{self.base}/checkpoint-pages").awaitTermination()
+        self.keep(pages, write, "pages")
         return self.spark.read.parquet(path).drop(sinks.BATCH)
 
     def visitors(self) -> DataFrame:
@@ -253,17 +266,35 @@ class Live:
         sinks.to_table(logs.route(logged.where("common.mid is not null")), path, checkpoint, ["topic"]).awaitTermination()
         return self.spark.read.parquet(path)
 
-    def dimensions(self, config: Callable[[], DataFrame]) -> dict[str, DataFrame]:
-        """Changes into every configured keyed table. ``config`` is read again for every batch."""
+    def rules(self, records: DataFrame) -> KeyedTable:
+        """Captured changes of the routing rules, kept as a table with versions."""
+        table = sinks.config_table(self.spark, f"{self.base}/rules")
+        table.create(T.StructType([*CONFIG.fields, CONFIG_CHANGE["ts_ms"]]))
+        self.keep(streams.config_changes(records), table.write, "rules")
+        return table
+
+    def dimensions(self, rules: KeyedTable) -> dict[str, DataFrame]:
+        """Changes into every configured keyed table.
+
+        A micro-batch takes the rules as they are at its start, and the same
+        ones when it is tried again.
+        """
         changes = views.part_changes(self.stream("part")).unionByName(views.customer_changes(self.stream("customer")))
+        return self.dimensions_of(changes, rules)
+
+    def dimensions_of(self, changes: DataFrame, rules: KeyedTable) -> dict[str, DataFrame]:
         base = f"{self.base}/dims"
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            sinks.write_dimensions(batch, config(), base, batch_id)
+            sinks.write_dimensions(batch, rules.read(version=rules.version_of("dims", batch_id)).drop("ts_ms"), base, batch_id)
+
+        self.keep(changes, write, "dims")
+        return sinks.read_dimensions(self.spark, rules.read(), base)
 
+    def keep(self, df: DataFrame, write: Callable[[DataFrame, int], None], name: str) -> None:
+        """Run a job that writes each micro-batch itself."""
         with setting(self.spark, "spark.sql.shuffle.partitions", str(self.partitions)):
-            sinks.for_each_batch(changes, write, f"{self.base}/checkpoint-dims").awaitTermination()
-        return sinks.read_dimensions(self.spark, config(), base)
+            sinks.for_each_batch(df, write, f"{self.base}/checkpoint-{name}").awaitTermination()
 
     def new_users(self, rows: DataFrame, name: str) -> DataFrame:
         """First rows per ``user_id`` and day with ``is_first_ever``, landed twice and read on as a stream."""
@@ -279,7 +310,7 @@ class Live:
     def traffic(self) -> DataFrame:
         """Visitors and bounces land first; pages and both tables meet in one window."""
         visitors, jumps = self.visitors(), self.bounces()
-        return self.land(windows.traffic_window(
+        return self.land_summary(windows.traffic_window(
             self.ended(self.pages(), "all_pages"), self.ended(self.follow_firsts("visitors", visitors), "visitors"),
             self.ended(self.follow("bounces", jumps), "bounces"), HOUR), "traffic")
 

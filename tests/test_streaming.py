@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shopstream.functions.times import time_of_ms
 from shopstream.operators import facts, flags, logs, windows
-from shopstream.plans import views
+from shopstream.plans import reports, views
 from shopstream.plans.warehouse import Warehouse
 from shopstream.schemas import CHANGE
 from shopstream.session import shared_dir
@@ -331,3 +331,78 @@ def test_payment_and_refund_joins_of_streams(spark):
         for (name, stream, columns), (_, want, _) in zip(jobs(feed.stream(), "15 minutes"), jobs(table)):
             got = rows(feed.run(stream, name), *columns)
             assert got == rows(want, *columns) and len(got) == 1, name
+
+
+RULE_CHANGES = "after struct<source_table:string,sink_table:string,sink_columns:string,sink_pk:string,sink_extend:string>, ts_ms long"
+
+
+def test_a_rule_and_a_column_added_between_batches_show_up(spark, tmp_path):
+    v = Live(spark, str(tmp_path))
+    rules = Feed(spark, RULE_CHANGES).put([(("sku", "dim_sku", "id,name", None, None), 1), (None, 2)])
+    changes = Feed(spark, CHANGE).put([
+        change("sku", "insert", {"id": 1, "name": "a", "color": "red"}, ts="1"), change("shop", "insert", {"key": 7, "city": "x"}, ts="1")])
+    table = v.rules(rules.stream())
+    first = v.dimensions_of(changes.stream(), table)
+    assert set(first) == {"dim_sku"} and rows(first["dim_sku"]) == [("1", "a")]
+    rules.put([(("sku", "dim_sku", "id,name,color", None, None), 5)],
+              [(("shop", "dim_shop", "key,city", "key", None), 6), (("sku", "dim_sku", "id", None, None), 3)])
+    v.rules(rules.stream())
+    changes.put([change("sku", "insert", {"id": 2, "name": "b", "color": "blue"}, ts="2"), change("shop", "update", {"key": 8, "city": "y"}, ts="2")],
+                [change("sku", "update", {"id": 1, "name": "c", "color": "green"}, ts="3")])
+    got = v.dimensions_of(changes.stream(), table)
+    # rules of a later time count whatever their order; rows of a rule that was not there yet are not gone back for
+    assert rows(got["dim_shop"]) == [("8", "y")]
+    assert rows(got["dim_sku"], "id", "name", "color") == [("1", "c", "green"), ("2", "b", "blue")]
+
+
+def test_a_batch_tried_again_takes_the_rules_of_its_first_try(spark, tmp_path):
+    v = Live(spark, str(tmp_path))
+    rules = Feed(spark, RULE_CHANGES).put([(("sku", "dim_sku", "id", None, None), 1)])
+    table = v.rules(rules.stream())
+    seen = rows(table.read(version=table.version_of("dims", 0)), "sink_columns")
+    rules.put([(("sku", "dim_sku", "id,name", None, None), 2)])
+    v.rules(rules.stream())
+    assert rows(table.read(version=table.version_of("dims", 0)), "sink_columns") == seen == [("id",)]
+    assert rows(table.read(version=table.version_of("dims", 1)), "sink_columns") == [("id,name",)]
+
+
+def test_summary_table_of_a_stream(spark, page_feed):
+    data, feed, table = page_feed
+    keys = ["vc", "ch", "ar"]
+    pages = timed(feed.stream()).withColumns({k: F.lit(k) for k in keys}).withColumn("during_time", F.lit(1).cast("long"))
+    none = pages.where("n < -9")
+    path = shared_dir(spark, "dws")
+    job = windows.traffic_window(pages, none, none, "1 minute")
+    with streams.one_topic(spark):
+        sinks.to_summary(job, path, f"{feed.base}/checkpoint-dws").awaitTermination()
+    got = spark.read.parquet(path)
+    assert {"dt", "ts", "batch_id"} < set(got.columns) and got.agg(F.sum("pv_ct")).first()[0] == len(data)
+    # a batch tried again after a crash replaces itself, day by day
+    last = got.agg(F.max("batch_id")).first()[0]
+    batch = got.where(F.col("batch_id") == last).drop("batch_id")
+    again = spark.createDataFrame(batch.collect(), batch.schema)
+    before = rows(got.drop("ts"))
+    sinks.write_summary_batch(again, path, last)
+    after = spark.read.parquet(path)
+    assert rows(after.drop("ts")) == before
+    report = reports.channel_visitors(after.drop("ts", "batch_id"), "2024-01-02")
+    assert "PartitionFilters: [isnotnull(dt" in report._jdf.queryExecution().executedPlan().toString()
+    assert rows(report, "dt", "ch")[0][1] == "ch" and report.count() == 1
+
+
+def test_streams_have_no_python(spark, monkeypatch):
+    """Every plan of the flag and bounce jobs stays on the JVM."""
+    plans = []
+
+    def watched(start):
+        def run(df, *args, **kwargs):
+            plans.append(df._jdf.queryExecution().analyzed().toString())
+            return start(df, *args, **kwargs)
+        return run
+
+    for name in ("to_table", "to_batches", "to_summary"):
+        monkeypatch.setattr(sinks, name, watched(getattr(sinks, name)))
+    v = Live(spark, "/root/testdata/sf0.001")
+    v.traffic()
+    v.logins()
+    assert len(plans) >= 6 and not any("Python" in p or "Pandas" in p or "Arrow" in p for p in plans)
