@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shopstream.functions.money import major, minor, total
+from shopstream.functions.sketches import sketch
 from shopstream.functions.times import TIME_FORMAT
 from shopstream.operators.flags import daily_first, with_first_ever, with_returning
 
@@ -216,6 +217,12 @@ def province_window(details: DataFrame, size: str = SIZE, delay: str = DELAY) ->
     return stamped(_orders_and_amount(details, ["province_id"], size, delay))
 
 
+def sketch_window(rows: DataFrame, keys: list[str], counted: str, size: str = SIZE, delay: str = DELAY) -> DataFrame:
+    """A mergeable sketch of the different ``counted`` values per window and ``keys``, as ``<counted>_sketch``."""
+    grouped = on_time(rows, delay).groupBy(_in(size), *keys)
+    return stamped(grouped.agg(sketch(counted).alias(f"{counted}_sketch")))
+
+
 def user_spu_window(details: DataFrame, size: str = SIZE, delay: str = DELAY) -> DataFrame:
     """Distinct orders and amount by user, product, trademark and category."""
     keys = ["trademark_id", "category3_id", "user_id", "spu_id"]

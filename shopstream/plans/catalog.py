@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.functions import keywords, times
+from shopstream.functions import keywords, sketches, times
 from shopstream.operators import dims, facts, flags, logs, windows
 from shopstream.plans import reports, views
 from shopstream.plans.warehouse import Stored, Warehouse
@@ -105,6 +105,18 @@ def summary_table(w: Warehouse) -> DataFrame:
     return w.spark.read.parquet(path).drop("ts")
 
 
+def province_sketch(w: Warehouse) -> DataFrame:
+    """Users per province over all days: exact, and whether the merged sketches of a summary table are within 2 %."""
+    rows = views.with_province(w.last_details(), w.table("customer"))
+    path = shared_dir(w.spark, "dws_province_users")
+    sinks.write_summary(sinks.summary_rows(windows.sketch_window(rows, ["province_id"], "user_id", "30 days"), ["province_id", "user_id_sketch"]), path)
+    guessed = w.spark.read.parquet(path).groupBy("province_id").agg(
+        sketches.estimate(sketches.merged("user_id_sketch")).alias("guess"))
+    exact = rows.groupBy("province_id").agg(F.count_distinct("user_id").alias("user_count"))
+    near = F.abs(F.col("guess") - F.col("user_count")) <= 0.02 * F.col("user_count")
+    return exact.join(guessed, "province_id").select("province_id", "user_count", near.alias("near"))
+
+
 def _lines(w: Warehouse) -> DataFrame:
     return views.log_lines(w.table("events"))
 
@@ -265,6 +277,7 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "refund_window": lambda w: w.refunds(),
     "sum_window": lambda w: windows.sum_window(w.pages(), ["mid"], "during_time", "1 hour"),
     "summary_table": summary_table,
+    "province_sketch": province_sketch,
     "time_functions": time_functions,
 }
 
@@ -313,6 +326,7 @@ STREAMS: dict[str, Callable[[Live], DataFrame]] = {
     "stream_bounce": lambda v: v.bounces().select("event_id", "mid", "ch", "ts"),
     "stream_log_split": lambda v: _topic_rows(v.topics()),
     "stream_dim_upsert": lambda v: dimension_rows(v.dimensions(v.rules(config_stream(v)))),
+    "stream_dim_enrich": lambda v: v.named_lines(v.rules(config_stream(v))).groupBy("trademark_id", "sku_name").agg(F.count("*").alias("n")),
     "stream_traffic_window": lambda v: v.traffic().drop("dt"),
     "stream_report_channel_uv_day": lambda v: reports.channel_visitors(v.traffic(), EVENT_DAY),
     "stream_page_view_window": lambda v: v.page_views(),

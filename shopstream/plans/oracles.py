@@ -335,6 +335,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_refund_pay": fed("refund_pay", "CAST(CAST(epoch(p.l_shipdate) AS BIGINT) AS VARCHAR) AS ts", "p.l_linenumber",
                                  FEED_SECONDS["refund_payment"]),
         "stream_province_detail_window": sql["province_window"],
+        "stream_dim_enrich": _with("""
+SELECT p_brand AS trademark_id, p_name AS sku_name, count(*) AS n
+FROM lineitem LEFT JOIN article_rows ON p_partkey = l_partkey GROUP BY ALL""", "article_rows"),
         "stream_report_channel_uv_day": sql["report_channel_uv_day"],
         "stream_dim_upsert": _dimensions("p_name"),
         "stream_province_window": f"""
@@ -475,6 +478,9 @@ GROUP BY word""",
         "sum_window": _with(f"""
 SELECT {_bounds('w', '1 hour')}, mid, {_long('during_time', 'during_time')}
 FROM (SELECT *, {_bucket('rt', '1 hour')} AS w FROM pages) AS q GROUP BY w, mid""", "pages"),
+        "province_sketch": _with("""
+SELECT CAST(c_nationkey AS VARCHAR) AS province_id, count(DISTINCT o_custkey) AS user_count, true AS near
+FROM last_lines JOIN orders ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey GROUP BY c_nationkey""", "last_lines"),
         "summary_table": _with(f"SELECT *, {_DT} FROM traffic", "traffic"),
         "time_functions": f"""
 SELECT o_orderkey, epoch_ms(o_orderdate) AS ms, strftime(o_orderdate, '%Y-%m-%d') AS day, strftime(o_orderdate, {_HM}) AS at,

@@ -291,6 +291,28 @@ class Live:
         self.keep(changes, write, "dims")
         return sinks.read_dimensions(self.spark, rules.read(), base)
 
+    def enriched(self, rows: DataFrame, dim: KeyedTable, key: str, columns: dict[str, str], name: str) -> DataFrame:
+        """Rows as a stream with columns of a kept dimension.
+
+        A micro-batch sees the dimension as it is at its start, and the same
+        when it is tried again; what changes later counts for later rows.
+        """
+        path = f"{self.base}/{name}"
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            now = dim.read(version=dim.version_of(name, batch_id))
+            sinks.write_batch(dims.enrich(batch, now, key, columns, dim_key=dim.keys[0]), path, batch_id)
+
+        self.keep(rows, write, name)
+        return self.spark.read.parquet(path).drop(sinks.BATCH)
+
+    def named_lines(self, rules: KeyedTable) -> DataFrame:
+        """Lines with the trademark and name that the kept dimension of articles has."""
+        self.dimensions(rules)
+        articles = KeyedTable(self.spark, f"{self.base}/dims/dim_sku_info", ["id"], ["ts"])
+        rows = self.stream("lineitem").select("l_orderkey", "l_linenumber", views.text("l_partkey").alias("sku_id"))
+        return self.enriched(rows, articles, "sku_id", {"trademark_id": "tm_id", "sku_name": "name"}, "named_lines")
+
     def keep(self, df: DataFrame, write: Callable[[DataFrame, int], None], name: str) -> None:
         """Run a job that writes each micro-batch itself."""
         with setting(self.spark, "spark.sql.shuffle.partitions", str(self.partitions)):

@@ -1,3 +1,7 @@
+import random
+import re
+import time
+
 from pyspark.sql import functions as F
 
 from shopstream.functions import keywords, money, times
@@ -51,6 +55,50 @@ def test_dictionary_takes_the_longest_word(spark):
     assert one(spark, keywords.dictionary_words(F.lit("a.b 数据"), ["a.b"]))[0] == ["a.b", "数", "据"]
 
 
+def long_list(n, seed=4):
+    rnd = random.Random(seed)
+    return ["".join(rnd.choice("abcdefgh数据大今天学") for _ in range(rnd.randint(2, 7))) for _ in range(n)] + ["a.b", "x y", "大数据"]
+
+
+def plain_split(text, listed):
+    out, at = [], 0
+    while at < len(text):
+        word = next((w for n in range(12, 0, -1) if (w := text[at:at + n]) in listed and len(w) == n), None)
+        if word is None:
+            run = re.match("[A-Za-z0-9]+", text[at:])
+            word = run.group() if run else text[at] if text[at].isalnum() else ""
+        out += [word] if word else []
+        at += len(word) or 1
+    return out
+
+
+def test_a_long_dictionary_equals_a_plain_search(spark):
+    rnd = random.Random(9)
+    listed = long_list(20_000)
+    texts = ["".join(rnd.choice("abcdefgh数据大今天学 .7é") for _ in range(rnd.randrange(60))) for _ in range(200)] + ["", None]
+    texts += ["".join(rnd.choices(listed, k=300))]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    found = {r.id: r.w for r in df.select("id", keywords.dictionary_words(F.col("t"), listed).alias("w")).collect()}
+    assert found == {i: None if t is None else plain_split(t, set(listed)) for i, t in enumerate(texts)}
+    # the pattern of a short list and the tables of a long one agree
+    few = listed[:150] + ["a.b", "x y"]
+    by_pattern = {r.id: r.w for r in df.select("id", keywords.dictionary_words(F.col("t"), few).alias("w")).collect()}
+    split = keywords.longest_match(few)
+    assert by_pattern == {i: None if t is None else split(t) for i, t in enumerate(texts)}
+
+
+def test_a_thousand_times_the_words_cost_little_more():
+    text = "".join(random.Random(2).choice("abcdefgh数据大今天学 ") for _ in range(200_000))
+    took = []
+    for n in (200, 200_000):
+        split = keywords.longest_match(long_list(n))
+        split(text)
+        start = time.perf_counter()
+        split(text)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 3 * took[0]
+
+
 def test_table_function_in_sql(spark):
     keywords.register(spark)
     spark.createDataFrame([(1, "Red phone"), (2, None), (3, "red")], "id int, item string").createOrReplaceTempView("items")

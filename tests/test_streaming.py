@@ -6,6 +6,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from shopstream.functions import sketches
 from shopstream.functions.times import time_of_ms
 from shopstream.operators import facts, flags, logs, windows
 from shopstream.plans import reports, views
@@ -13,6 +14,7 @@ from shopstream.plans.warehouse import Warehouse
 from shopstream.schemas import CHANGE
 from shopstream.session import shared_dir
 from shopstream.sources import sinks, streams
+from shopstream.sources.keyed import KeyedTable
 from shopstream.streaming import state
 from shopstream.streaming.live import Live
 from tests.conftest import at, rows
@@ -366,6 +368,34 @@ def test_a_batch_tried_again_takes_the_rules_of_its_first_try(spark, tmp_path):
     assert rows(table.read(version=table.version_of("dims", 1)), "sink_columns") == [("id,name",)]
 
 
+def test_an_update_of_a_dimension_changes_later_rows_only(spark, tmp_path):
+    v = Live(spark, str(tmp_path))
+    dim = KeyedTable(spark, f"{v.base}/dims/d", ["id"], ["ts"], buckets=2)
+
+    def update(batch_id, *data):
+        dim.write(spark.createDataFrame(list(data), "id string, name string, ts long"), batch_id)
+
+    update(0, ("1", "red", 1), ("2", "blue", 1))
+    feed = Feed(spark, "n int, sku_id string").put([(1, "1"), (2, " 2 "), (3, "9")], [(4, "1")])
+    v.enriched(feed.stream(), dim, "sku_id", {"name": "name"}, "named")
+    update(1, ("1", "green", 2), ("9", "new", 2))
+    feed.put([(5, "1"), (6, "9"), (7, None)])
+    got = v.enriched(feed.stream(), dim, "sku_id", {"name": "name"}, "named")
+    assert rows(got, "n", "name") == [(1, "red"), (2, "blue"), (3, None), (4, "red"), (5, "green"), (6, "new"), (7, None)]
+    # the batch of the first rows, tried again now, sees what it saw then
+    assert rows(dim.read(version=dim.version_of("named", 0)), "id", "name") == [("1", "red"), ("2", "blue")]
+
+
+def test_sketches_of_a_stream_merge(spark):
+    data = [(START + timedelta(seconds=i % 50), "ab"[i % 2], f"u{i % 900}") for i in range(3000)]
+    schema = "rt timestamp, k string, uid string"
+    feed = Feed(spark, schema).put(data, [(END, "end", "end")])
+    got = feed.run(windows.sketch_window(feed.stream(), ["k"], "uid"))
+    total = got.agg(sketches.estimate(sketches.merged("uid_sketch")).alias("n")).first().n
+    per = rows(got.groupBy("k").agg(sketches.estimate(sketches.merged("uid_sketch")).alias("n")), "k", "n")
+    assert got.count() == 10 and abs(total - 900) <= 18 and all(abs(n - 450) <= 9 for _, n in per)
+
+
 def test_summary_table_of_a_stream(spark, page_feed):
     data, feed, table = page_feed
     keys = ["vc", "ch", "ar"]
