@@ -10,7 +10,7 @@ from shopstream.plans import catalog
 from shopstream.plans.warehouse import Warehouse
 
 SF = "/root/testdata/sf0.001"
-WRITES = {"dim_upsert", "pay_upsert", "summary_table"} | {f"{n}_day" for n in catalog.REPORTS}
+WRITES = {"dim_upsert", "pay_upsert", "summary_table", "province_sketch"} | {f"{n}_day" for n in catalog.REPORTS}
 
 
 def plan(df):
