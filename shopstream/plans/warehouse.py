@@ -131,12 +131,18 @@ class Warehouse:
 
 
 class Stored(Warehouse):
-    """The same summary tables as they lie in store: partitioned by day, written once per session."""
+    """The same summary tables as they lie in store: partitioned by day, written once per session and state of the source."""
 
-    _tables: dict[tuple[str, str, str], DataFrame] = {}
+    _tables: dict[tuple[str, str, str, str], DataFrame] = {}
+
+    def _source(self) -> str:
+        """What the source tables are now: name, size and time of change of each."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.sf_dir)
+        found = folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(folder)
+        return ",".join(sorted(f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}" for s in found))
 
     def _stored(self, name: str) -> DataFrame:
-        place = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        place = (self.spark.sparkContext.applicationId, self.sf_dir, self._source(), name)
         if place not in self._tables:
             rows = getattr(Warehouse(self.spark, self.sf_dir), name)()
             path = shared_dir(self.spark, f"dws-{name}")

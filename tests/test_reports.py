@@ -1,9 +1,11 @@
+import time
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from shopstream.plans import reports
+from shopstream.plans.warehouse import Stored
 from tests.conftest import rows
 
 D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
@@ -139,3 +141,14 @@ def test_user_reports(spark):
     logins, registers = dws("back_ct long, uu_ct long", 1, 9), dws("register_ct long", 2)
     assert rows(reports.user_changes(logins, registers), "type", "user_ct") == [("activeUserCt", 18), ("backCt", 2), ("newUserCt", 4)]
     assert rows(reports.new_trade_users(bought, pays), "trade_type", "user_ct") == [("order", 2), ("payment", 14)]
+
+
+def test_stored_tables_follow_their_source(spark, tmp_path):
+    """A source table that is written anew gives new summary tables."""
+    spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(30).write.parquet(f"{tmp_path}/documents.parquet")
+    before = Stored(spark, str(tmp_path)).keywords()
+    assert Stored(spark, str(tmp_path)).keywords() is before
+    time.sleep(1.1)  # file systems may tell whole seconds only
+    spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    after = Stored(spark, str(tmp_path)).keywords()
+    assert after is not before and after.count() > before.count()
