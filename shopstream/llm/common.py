@@ -34,6 +34,11 @@ def digest(column: str) -> Column:
     return F.md5(F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("null")).cast("binary"))
 
 
+def row_digest(df: DataFrame) -> Column:
+    """64-bit digest of all columns that Spark can digest (maps are left out), to order rows that are else alike."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+
+
 def numbered(df: DataFrame, group: list[str], key: str, ties: list[str], name: str) -> DataFrame:
     """Add ``name``: 0, 1, 2 ... within ``group`` in the order of the hex digest ``key``.
 

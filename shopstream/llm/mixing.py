@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import digest, numbered
+from .common import digest, numbered, row_digest
 
 REST = "*"
 
@@ -55,7 +55,8 @@ def mix(docs: DataFrame, shares: dict[str, int], block: int = 16, *, id_col: str
     Reading by ``position`` gives the mix. ``shares`` has whole shares by
     source; all other sources and null share the class ``*``, which takes the
     share given for it (without one: 1). Within a class documents come in the
-    order of a digest of their id, an even shuffle that any run repeats.
+    order of a digest of their id, then of the whole row: an even shuffle that
+    any run repeats.
     in_mix: before the first class has run out of full blocks, so the weights
     hold; later positions leave out the slots of classes that are empty. No row
     is dropped. Repeated rows each get a position; an empty table stays empty.
@@ -70,8 +71,8 @@ def mix(docs: DataFrame, shares: dict[str, int], block: int = 16, *, id_col: str
     new = ["mix_class", "block", "slot", "position", "in_mix"]
     keep = [c for c in docs.columns if c not in new]
     rows = docs.select(F.struct(*keep).alias("_row"), F.col(id_col).alias("_id"), mix_class.alias("mix_class"),
-                       digest(id_col).alias("_key"))  # whatever the columns are called
-    rows = numbered(rows, ["mix_class"], "_key", ["_id"], "_index")
+                       digest(id_col).alias("_key"), row_digest(docs.select(*keep)).alias("_tie"))  # whatever the columns are called
+    rows = numbered(rows, ["mix_class"], "_key", ["_id", "_tie"], "_index")
 
     blocks = rows.withColumn("block", F.floor(F.col("_index") / block))
     shares_of = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +16,12 @@ TARGETS = {"src0": 20, "src1": 10, "src2": 10, "src3": 8, "src4": 8, "src5": 6,
 BLOCK = 16
 VOCABULARY = "byte_bpe_50k.json"
 MIN_SCORE = 0.3
+SHINGLE, NEAR_BITS = 4, 4
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
 def vocabulary() -> str:
-    """The vocabulary's path: TOKENIZER_FILE if set, else the public file."""
-    if path := os.environ.get("TOKENIZER_FILE"):
-        return path
+    """Path of the public vocabulary."""
     import public_tokenizers
     return public_tokenizers.path(VOCABULARY)
 
@@ -57,7 +55,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(documents(spark, sf_dir), width=4, near=4)
+    return simhash.near_duplicates(documents(spark, sf_dir), SHINGLE, NEAR_BITS)
 
 
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

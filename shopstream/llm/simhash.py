@@ -7,41 +7,25 @@ the first 2^r - 1 bits and every value of the rest. A fingerprint goes to all
 anchors within 1 + near // blocks of its part, and so also to the anchor next
 to any fingerprint it may link with. Per anchor, the fingerprints next to it
 are compared with all that came. No link is lost.
-
-Shingles of five words differ much between near copies, so 64 bits of them
-would need a reach no code covers cheaply. To find pairs by the similarity of
-sets of long shingles (``keep_first``), candidates share a digest of one of
-PARTS small parts of their sets, each of PART shingles drawn alike from any
-set (those whose hash, multiplied by one of PART constants, is smallest). Two
-sets of similarity s share none with a chance of (1 - s^PART)^PARTS, 3 in a
-million at 0.8, wherever the copy was changed. Sizes and SimHash sketches of
-SKETCH bits of the sets leave out most other candidates; the similarity of
-the sets themselves decides.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import acos, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import complete_groups, components, cut_cells, forest, stored
+from .common import complete_groups, components, cut_cells, forest, row_digest, stored
 
 BITS = 64
 CELL = 2048
 PAIRS = 1 << 20
-SKETCH = 256
 KEYS = ["part", "anchor", "cell"]
-WHOLE = 256
-PARTS, PART = 24, 4
-SMALL = 50
-TURNS = np.random.RandomState(42).randint(0, 1 << 63, PARTS * PART, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _hashes(words: list[bytes], width: int) -> np.ndarray:
@@ -63,70 +47,22 @@ def _majority(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")
 
 
-def _again(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Other 64 bits of each hash, by multiplying and folding."""
-    x = hashes + np.uint64(k * 0x9E3779B97F4A7C15 % 2 ** 64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def fingerprint(text: str | None, widths: tuple[int, ...]) -> int:
-    """SimHash of the lower-cased (A-Z) shingles of the given numbers of words, as a signed 64-bit number."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    return int(_majority(np.concatenate([_hashes(words, w) for w in widths])).view("<i8")[0])
-
-
-def shingles(text: str | None, width: int) -> np.ndarray:
-    """Hashes of the different shingles of ``width`` lower-cased (A-Z) words, in order; of all words if there are fewer."""
+def fingerprint(text: str | None, width: int) -> int:
+    """SimHash of the lower-cased (A-Z) shingles of ``width`` words, as a signed 64-bit number."""
     words = (text or "").encode().lower().split()
-    return np.unique(_hashes(words, width)) if words else np.zeros(0, "<u8")
-
-
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """SimHash of SKETCH bits of a set of hashes, as signed 64-bit numbers."""
-    return np.concatenate([_majority(_again(hashes, k)) for k in range(1, SKETCH // BITS + 1)]).view("<i8")
-
-
-def part_keys(hashes: np.ndarray) -> np.ndarray:
-    """A digest of each of the PARTS parts of a set of hashes, as signed 64-bit numbers; none of an empty set."""
-    if not len(hashes):
-        return np.zeros(0, "<i8")
-    least = np.full(len(TURNS), ~np.uint64(0))
-    for at in range(0, len(hashes), 1 << 10):
-        np.minimum(least, (hashes[at:at + (1 << 10), None] * TURNS).min(axis=0), out=least)
-    key = np.arange(PARTS, dtype=np.uint64)
-    for column in least.reshape(PARTS, PART).T:
-        key = _again(key ^ column, 1)
-    return key.view("<i8")
-
+    return int(_majority(_hashes(words, width)).view("<i8")[0]) if words else 0
 
-def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
-    """Whether two sets of hashes (distinct, not both empty) have a Jaccard similarity of ``similarity`` or more."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both >= similarity * (len(a) + len(b) - both) - 1e-9
 
-
-def sketch_limit(similarity: float) -> int:
-    """Differing bits above which two sketches can't be this similar: five standard deviations, 1 in 3 million pairs at the limit."""
-    apart = acos(2 * similarity / (1 + similarity)) / pi  # shingle sets of a size: Jaccard to cosine to bits
-    return int(SKETCH * apart + 5 * sqrt(SKETCH * apart * (1 - apart)))
-
-
-def fingerprints(docs: DataFrame, widths: tuple[int, ...]) -> DataFrame:
-    """(doc_id, _text, fp, sketch): one row per row of ``docs``; ``_text`` is a digest of the text, ``sketch`` is empty."""
+def fingerprints(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, _text, node): one row per row of ``docs``; ``_text`` is a digest of the text, ``node`` its fingerprint."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_text"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b["text"].to_pylist()
-            fps = pa.array([fingerprint(t, widths) for t in texts], pa.int64())
-            held = pa.array([b""] * len(texts), pa.binary())
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["_text"], fps, held], ["doc_id", "_text", "fp", "sketch"])
+            prints = pa.array([fingerprint(t, width) for t in b["text"].to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["_text"], prints], ["doc_id", "_text", "node"])
 
-    return rows.mapInArrow(run, "doc_id long, _text long, fp long, sketch binary")
+    return rows.mapInArrow(run, "doc_id long, _text long, node long")
 
 
 class Code:
@@ -170,7 +106,7 @@ def _widths(blocks: int) -> list[int]:
 
 
 def replicate(uniq: DataFrame, near: int, blocks: int) -> DataFrame:
-    """(part, anchor, node, fp, sketch, home) for every anchor a fingerprint goes to."""
+    """(part, anchor, node, home) for every anchor a fingerprint (node) goes to."""
     widths = _widths(blocks)
     codes = {w: Code(w, 1 + near // blocks) for w in set(widths)}
 
@@ -178,20 +114,18 @@ def replicate(uniq: DataFrame, near: int, blocks: int) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 2048):
                 rows, low = b.slice(at, 2048), 0
-                words = rows["fp"].to_numpy().view(np.uint64)
+                words = rows["node"].to_numpy().view(np.uint64)
                 for part, w in enumerate(widths):
                     i, anchor, home = codes[w].anchors((words >> np.uint64(low)) & np.uint64((1 << w) - 1))
                     low += w
-                    held = rows.take(pa.array(i))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(i), part, np.int32)), pa.array(anchor.view(np.int64)), *held.columns,
-                         pa.array(home)], ["part", "anchor", *held.schema.names, "home"])
+                        [pa.array(np.full(len(i), part, np.int32)), pa.array(anchor.view(np.int64)),
+                         pa.array(words[i].view(np.int64)), pa.array(home)], ["part", "anchor", "node", "home"])
 
-    return uniq.select("node", "fp", "sketch").mapInArrow(
-        run, "part int, anchor long, node long, fp long, sketch binary, home boolean")
+    return uniq.select("node").mapInArrow(run, "part int, anchor long, node long, home boolean")
 
 
-def _compare(t: pa.Table, near: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
+def _compare(t: pa.Table, near: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links of the pairs (home, visitor) of each cell of a sorted table."""
     change = np.zeros(len(t), bool)
     for k in KEYS:
@@ -201,8 +135,7 @@ def _compare(t: pa.Table, near: int, limit: int) -> tuple[np.ndarray, np.ndarray
     lengths = np.diff(np.append(starts, len(t)))
     start, length = np.repeat(starts, lengths), np.repeat(lengths, lengths)
     homes = np.flatnonzero(t["home"].to_numpy() & (length > 1))
-    node, fp = t["node"].to_numpy(), t["fp"].to_numpy().view(np.uint64)
-    held = np.frombuffer(b"".join(t["sketch"].to_pylist()), "<u8").reshape(len(t), -1) if limit and len(homes) else None
+    node = t["node"].to_numpy()
     found: list[tuple[np.ndarray, np.ndarray]] = []
     at = 0
     while at < len(homes):
@@ -212,11 +145,8 @@ def _compare(t: pa.Table, near: int, limit: int) -> tuple[np.ndarray, np.ndarray
         at += n
         a = np.repeat(some, sizes)
         b = np.repeat(start[some] - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(a))
-        linked = (node[a] < node[b]) & (np.bitwise_count(fp[a] ^ fp[b]) <= near)
+        linked = (node[a] < node[b]) & (np.bitwise_count((node[a] ^ node[b]).view(np.uint64)) <= near)
         a, b = a[linked], b[linked]
-        if held is not None and len(a):
-            alike = np.bitwise_count(held[a] ^ held[b]).sum(axis=1, dtype=np.int32) <= limit
-            a, b = a[alike], b[alike]
         if len(a):
             found.append(forest(node[a], node[b]))
     if not found:
@@ -224,11 +154,10 @@ def _compare(t: pa.Table, near: int, limit: int) -> tuple[np.ndarray, np.ndarray
     return forest(*map(np.concatenate, zip(*found, strict=True)))
 
 
-def links(uniq: DataFrame, near: int, blocks: int, limit: int = 0, cell: int = CELL) -> DataFrame:
-    """(a, b): links that span every group of the distinct fingerprints (node, fp, sketch).
+def links(uniq: DataFrame, near: int, blocks: int, cell: int = CELL) -> DataFrame:
+    """(a, b): links that span every group of the distinct fingerprints (node).
 
-    Two link if at most ``near`` bits apart and, with a ``limit``, their
-    sketches are at most that many bits apart. An anchor of more than ``cell``
+    Two link if at most ``near`` bits apart. An anchor of more than ``cell``
     fingerprints is cut into pieces, and each piece of its nearest ones meets
     each piece of all in a task of its own.
     """
@@ -240,138 +169,30 @@ def links(uniq: DataFrame, near: int, blocks: int, limit: int = 0, cell: int = C
             .withColumn("home", F.col("side") == "home")
             .withColumn("cell", F.when(F.col("home"), F.col("_i") * F.col("_n") + F.col("_k"))
                         .otherwise(F.col("_k") * F.col("_n") + F.col("_i"))))
-    rows = rows.select(*KEYS, "node", "fp", "sketch", "home").repartition(*KEYS).sortWithinPartitions(*KEYS)
+    rows = rows.select(*KEYS, "node", "home").repartition(*KEYS).sortWithinPartitions(*KEYS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in complete_groups(batches, KEYS):
-            a, b = _compare(t, near, limit)
+            a, b = _compare(t, near)
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _named(rows: DataFrame, uniq: DataFrame, linked: DataFrame) -> DataFrame:
-    """``rows`` with the component of their node, its smallest node, and component_id, its smallest doc_id."""
-    group = components(linked).withColumnRenamed("node", "_node")
-    named = uniq.join(group, F.col("node") == F.col("_node"), "left").select(
-        "node", "least", F.coalesce("component", "node").alias("component"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    return rows.join(named.join(least, "component").select("node", "component", "component_id"), "node")
-
-
-def sets(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, _text, node, n, sketch, keys): the shingle set of each row; ``node`` is a digest of it, ``n`` its size."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_text"), "text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            held = [shingles(t, width) for t in b["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], b["_text"],
-                 pa.array(np.array([xxhash.xxh64_intdigest(h.tobytes(), 42) for h in held], np.uint64).view(np.int64)),
-                 pa.array([len(h) for h in held], pa.int32()), pa.array([sketch(h).tobytes() for h in held], pa.binary()),
-                 pa.array([part_keys(h) for h in held], pa.list_(pa.int64()))],
-                ["doc_id", "_text", "node", "n", "sketch", "keys"])
-
-    return rows.mapInArrow(run, "doc_id long, _text long, node long, n int, sketch binary, keys array<long>")
-
-
-def _met(rows: DataFrame, key: str, cell: int) -> DataFrame:
-    """Rows dealt by (``key``, cell), sorted; a key of more than ``cell`` rows is cut, and every two pieces meet in a cell."""
-    rows = cut_cells(rows, [key], "node", cell).withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    low, high = F.least("_i", "_k"), F.greatest("_i", "_k")
-    rows = rows.withColumn("cell", low * F.col("_n") + high).withColumnRenamed("_i", "piece").drop("_n", "_k")
-    return rows.repartition(key, "cell").sortWithinPartitions(key, "cell")
+def groups(docs: DataFrame, width: int, near: int, blocks: int) -> DataFrame:
+    """(doc_id, _text, node, component, component_id), one row per row of ``docs``.
 
-
-def _maybe(t: pa.Table, key: str, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(i, j, differing bits) of the row pairs of a cell whose sizes and sketches allow the similarity; an i's pairs come together.
-
-    Rows of one piece are left to the cell that holds only that piece.
+    ``component`` is the smallest fingerprint of the group. The sizes of the
+    stored tables decide the joins, and Spark can split a group that is hot.
     """
-    change = np.zeros(len(t), bool)
-    for k in (key, "cell"):
-        c = t[k].to_numpy()
-        change[1:] |= c[1:] != c[:-1]
-    starts = np.concatenate([[0], np.flatnonzero(change)])
-    lengths = np.diff(np.append(starts, len(t)))
-    piece, n = t["piece"].to_numpy(), t["n"].to_numpy().astype(np.int64)
-    single = np.repeat(np.minimum.reduceat(piece, starts) == np.maximum.reduceat(piece, starts), lengths)
-    held = np.frombuffer(b"".join(t["sketch"].to_pylist()), "<u8").reshape(len(t), -1)
-    rest = np.repeat(starts + lengths, lengths) - np.arange(len(t)) - 1  # rows after this one in its cell
-    limit, before = sketch_limit(similarity), np.concatenate([[0], np.cumsum(rest)])
-    at = 0
-    while at < len(t):
-        end = max(at + 1, int(np.searchsorted(before, before[at] + PAIRS, "right")) - 1)
-        count = rest[at:end]
-        a = np.repeat(np.arange(at, end), count)
-        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
-        at = end
-        ok = (single[a] | (piece[a] != piece[b])) & (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9)
-        a, b = a[ok], b[ok]
-        bits = np.bitwise_count(held[a] ^ held[b]).sum(axis=1, dtype=np.int32)
-        ok = (bits <= limit) | (np.minimum(n[a], n[b]) < SMALL)
-        if ok.any():
-            yield a[ok], b[ok], bits[ok]
-
-
-def candidates(uniq: DataFrame, similarity: float, cell: int = CELL) -> DataFrame:
-    """(a, b): links that span the groups of (node, n, sketch, keys) that share a key and whose sizes and sketches allow the similarity."""
-    keys = uniq.select("node", F.explode("keys").alias("key"))
-    often = stored(keys.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1").select("key"), "keys")
-    rows = stored(keys.join(often, "key", "left_semi"), "shared").join(uniq.select("node", "n", "sketch"), "node")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in complete_groups(batches, ["key", "cell"]):
-            node = t["node"].to_numpy()
-            found = [forest(node[a], node[b]) for a, b, _ in _maybe(t, "key", similarity)]
-            if found:
-                a, b = forest(*map(np.concatenate, zip(*found, strict=True)))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-    return _met(rows, "key", cell).mapInArrow(run, "a long, b long")
-
-
-def confirmed(members: DataFrame, similarity: float, width: int, cell: int = WHOLE) -> DataFrame:
-    """(a, b): links that span what is linked by the exact similarity of shingle sets, within each ``component``.
-
-    ``members`` has component, node, n, sketch and text. Two rows that other
-    links of their cell already join are not compared.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in complete_groups(batches, ["component", "cell"]):
-            node, held = t["node"].to_numpy(), [shingles(x, width) for x in t["text"].to_pylist()]
-            root, links = np.arange(len(t)), []
-            for left, right, bits in _maybe(t, "component", similarity):
-                firsts, at = np.unique(left, return_index=True)
-                for i, js, far in zip(firsts.tolist(), np.split(right, at[1:]), np.split(bits, at[1:]), strict=True):
-                    js = js[np.argsort(far, kind="stable")]
-                    for k in range(0, len(js), 16):
-                        some = js[k:k + 16]
-                        for j in some[root[some] != root[i]].tolist():
-                            if root[i] != root[j] and alike(held[i], held[j], similarity):
-                                links.append((i, j))
-                                root[root == root[j]] = root[i]
-            if links:
-                a, b = np.array(links).T
-                yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], ["a", "b"])
-
-    return _met(members, "component", cell).mapInArrow(run, "a long, b long")
-
-
-def _similar(docs: DataFrame, similarity: float, width: int) -> DataFrame:
-    """(doc_id, _text, component, component_id): groups by exact similarity of shingle sets; equal sets are compared once."""
-    rows = stored(sets(docs, width), "sets")
-    uniq = stored(rows.groupBy("node", "n", "sketch", "keys").agg(
-        F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "_text")).alias("held")), "distinct")
-    loose = components(candidates(uniq, similarity)).withColumnRenamed("node", "_node")
-    members = stored(uniq.join(loose, F.col("node") == F.col("_node")).select(
-        "component", "node", "n", "sketch", F.col("held.doc_id").alias("_id"), F.col("held._text").alias("_of")), "members")
-    keyed = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_text"), "text")
-    texts = keyed.join(members, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_of")))
-    texts = stored(texts.select("component", "node", "n", "sketch", "text").dropDuplicates(["node"]), "members-texts")
-    return _named(rows.select("doc_id", "_text", "node"), uniq, confirmed(texts, similarity, width))
+    rows = stored(fingerprints(docs, width), "fingerprints")
+    uniq = stored(rows.groupBy("node").agg(F.min("doc_id").alias("least")), "distinct")
+    group = components(links(uniq, near, blocks)).withColumnRenamed("node", "_node")
+    named = stored(uniq.join(group, F.col("node") == F.col("_node"), "left").select(
+        "node", "least", F.coalesce("component", "node").alias("component")), "named")
+    least = stored(named.groupBy("component").agg(F.min("least").alias("component_id")), "least")
+    return rows.join(named.join(least, "component").select("node", "component", "component_id"), "node")
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, near: int = 4, blocks: int = 3) -> DataFrame:
@@ -380,27 +201,26 @@ def near_duplicates(docs: DataFrame, width: int = 4, near: int = 4, blocks: int
     component_id is the smallest doc_id reachable over links, itself included;
     null ids are linked but never name a component (null if there is no other).
     Texts without words, null and empty ones among them, have fingerprint zero.
-    Equal fingerprints are compared once. Other columns of ``docs`` are left out.
+    Equal fingerprints are compared once. Texts of any length pass; an empty
+    table gives none. Other columns of ``docs`` are left out.
     """
-    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    fps = stored(fingerprints(docs, (width,)).withColumn("node", F.col("fp")), "fingerprints")
-    uniq = stored(fps.groupBy("node", "fp", "sketch").agg(F.min("doc_id").alias("least")), "distinct")
-    return _named(fps, uniq, links(uniq, near, blocks)).select("doc_id", digits.alias("fingerprint"), "component_id")
+    digits = F.lpad(F.lower(F.hex("node")), 16, "0")
+    return groups(docs, width, near, blocks).select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, similarity: float = 0.8, width: int = 5) -> DataFrame:
-    """``docs`` with one row of every group of near duplicates: that of the smallest doc_id.
+def keep_first(docs: DataFrame, width: int = 4, near: int = 4, blocks: int = 3) -> DataFrame:
+    """``docs`` with one row of every group of ``near_duplicates``: that of the smallest doc_id.
 
-    Two texts link if the Jaccard similarity of their sets of ``width``-word
-    shingles is ``similarity`` or more. Where rows share the smallest id, the
-    smallest text digest decides; a group whose ids are all null keeps one row
-    by the same digest. All texts without words are one group. Other columns
-    are kept.
+    Where rows share the smallest id, the smallest text digest decides, then
+    the digest of all columns; a group whose ids are all null keeps one row by
+    the same digests. All texts without words are linked like any other: they
+    are one group. An empty table stays empty. Other columns are kept.
     """
-    best = (_similar(docs, similarity, width).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("component").agg(F.first("component_id").alias("_id"), F.min("_text").alias("_best"))
-            .select("_id", "_best").distinct())
-    keyed = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_text"))
-    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_best"))
-    kept = keyed.join(best, same, "left_semi").dropDuplicates(["_doc", "_text"])
+    name = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit(""))
+    best = (groups(docs, width, near, blocks).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .groupBy("component").agg(F.first(name).alias("_id"), F.min("_text").alias("_of")).select("_id", "_of"))
+    rows = docs.select(F.struct("*").alias("_row"), name.alias("_id"), F.xxhash64("text").alias("_of"), row_digest(docs).alias("_tie"))
+    # the window needs no shuffle of its own after the join: the keys are the same
+    nth = F.row_number().over(Window.partitionBy("_id", "_of").orderBy("_tie"))
+    kept = rows.join(best, ["_id", "_of"], "left_semi").withColumn("_nth", nth).where("_nth = 1")
     return kept.select(*(F.col("_row")[c].alias(c) for c in docs.columns))

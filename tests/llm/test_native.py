@@ -63,6 +63,13 @@ def test_mix_is_the_same_however_rows_are_dealt(spark):
     assert sorted(one) == sorted(two)
 
 
+def test_rows_of_one_id_are_ordered_by_the_whole_row(spark):
+    rows = docs(spark, [(7, f"t{i}", "en", "ab"[i % 2], 1) for i in range(200)])
+    one = mixing.mix(rows.coalesce(1), {"a": 2, "*": 1}, 4).select("text", "position").collect()
+    two = mixing.mix(rows.repartition(7, F.rand()), {"a": 2, "*": 1}, 4).select("text", "position").collect()
+    assert sorted(one) == sorted(two) and len({r.position for r in one}) == 200
+
+
 def test_mix_of_nothing_and_wrong_shares(spark):
     assert mixing.mix(docs(spark, []), {"a": 1}, 4).count() == 0
     extra = docs(spark, ODD).withColumns({c: F.lit("own") for c in ("slot", "mix_class", "_index", "_key", "_piece", "turn", "_id", "_text", "_share")})
