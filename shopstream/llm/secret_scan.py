@@ -1,10 +1,11 @@
 """Secret scans with structural confirmation.
 
 Base patterns name what looks like a secret. Beside them, runs of base64 or
-hex digits are decoded and reported only if the bytes parse: as a DER key
-encoding whose nested lengths fit to the last byte, as an OpenSSH key of
-length-prefixed fields, or as a signed token with a JSON header that names its
-algorithm. A body may be wrapped over lines of one width, bare or between BEGIN
+hex digits are decoded and reported only if the bytes parse: as a private key in
+DER (PKCS #1, PKCS #8 plain or enciphered, SEC 1, DSA) whose nested lengths fit
+to the last byte, as an OpenSSH private key read field by field to its end, or
+as a signed token with a JSON header that names its algorithm. Public keys,
+certificates and signatures parse too, but hold no secret. A body may be wrapped over lines of one width, bare or between BEGIN
 and END, there also with header lines or written line ends (\\n), and it may
 be the base64 of such a block.
 """
@@ -37,8 +38,9 @@ WRAPPED = re.compile(rf"(?:(?<![A-Za-z0-9+/_\\-])|(?<=\\n))[A-Za-z0-9+/_-]{{16,}
 RUN64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 RUN16 = re.compile(r"(?:[0-9a-fA-F]{2}){24,}")
 SIGNED = re.compile(r"(?<![A-Za-z0-9_.-])ey[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
-SSH_KINDS = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-")
-SEQUENCE, INTEGER, BIT_STRING, OCTETS, OBJECT = 0x30, 0x02, 0x03, 0x04, 0x06
+SSH_KINDS = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-", b"sk-")
+SSH_MAGIC = b"openssh-key-v1\0"
+SEQUENCE, INTEGER, OCTETS, OBJECT = 0x30, 0x02, 0x04, 0x06
 
 
 def decode64(text: str) -> bytes:
@@ -50,51 +52,94 @@ def decode64(text: str) -> bytes:
         return b""
 
 
-def _der(data: bytes, at: int, end: int, depth: int, tags: list[int]) -> bool:
-    """Whether data[at:end] is a row of DER elements whose lengths fit; collects their tags."""
-    while at < end:
-        if end - at < 2 or depth > 8:
-            return False
+def _elements(data: bytes) -> list[tuple[int, bytes]] | None:
+    """The row of DER elements (tag, content) that fills ``data``; None if lengths don't fit."""
+    found, at = [], 0
+    while at < len(data):
+        if len(data) - at < 2:
+            return None
         tag, size = data[at], data[at + 1]
         at += 2
         if size & 0x80:
             n = size & 0x7F
-            if not 1 <= n <= 4 or at + n > end:
-                return False
             size = int.from_bytes(data[at:at + n], "big")
-            if size < 0x80:
-                return False
+            if not 1 <= n <= 4 or at + n > len(data) or size < 0x80:
+                return None
             at += n
-        if at + size > end:
-            return False
-        tags.append(tag)
-        if tag & 0x20 and not _der(data, at, at + size, depth + 1, tags):
-            return False
+        if at + size > len(data):
+            return None
+        found.append((tag, data[at:at + size]))
         at += size
-    return True
+    return found
 
 
-def is_key_encoding(data: bytes) -> bool:
-    """A DER sequence that ends with the data and holds what keys are made of."""
-    tags: list[int] = []
-    if len(data) < 24 or data[0] != SEQUENCE or not _der(data, 0, len(data), 0, tags):
-        return False
-    numbers = tags.count(INTEGER)
-    return numbers >= 2 or OBJECT in tags and (BIT_STRING in tags or OCTETS in tags)
+def _fits(data: bytes, depth: int = 0) -> bool:
+    """Whether the lengths of all nested elements fit."""
+    row = _elements(data) if depth <= 8 else None
+    return row is not None and all(_fits(body, depth + 1) for tag, body in row if tag & 0x20)
 
 
-def is_ssh_key(data: bytes) -> bool:
-    """Fields of 4-byte lengths that end with the data, the first a key kind; or the magic of a private key."""
-    if data.startswith(b"openssh-key-v1\0"):
-        return True
+def _algorithm(tag: int, body: bytes) -> bool:
+    """A sequence that begins with an object identifier."""
+    row = _elements(body) if tag == SEQUENCE else None
+    return bool(row) and row[0][0] == OBJECT
+
+
+def is_private_key(data: bytes) -> bool:
+    """A DER sequence that ends with the data, in the order of tags of one of the private key encodings."""
+    if len(data) < 24 or data[0] != SEQUENCE or not _fits(data):
+        return False
+    outer = _elements(data)
+    row = _elements(outer[0][1]) if len(outer) == 1 else []
+    if len(row) < 2:
+        return False
+    tags, (first, version) = [t for t, _ in row], row[0]
+    if first == SEQUENCE:  # enciphered PKCS #8: an algorithm with parameters, then whole octets
+        return tags == [SEQUENCE, OCTETS] and _algorithm(*row[0]) and len(_elements(version)) == 2 and len(row[1][1]) >= 16
+    if first != INTEGER or version not in (b"\0", b"\1"):
+        return False
+    if len(row) >= 3 and _algorithm(*row[1]) and tags[2] == OCTETS:  # PKCS #8, perhaps with attributes and the public key
+        return all(t in (0xA0, 0x81, 0xA1) for t in tags[3:]) and len(row[2][1]) >= 16
+    if tags[1] == OCTETS:  # SEC 1, perhaps with curve and public key
+        return version == b"\1" and 16 <= len(row[1][1]) <= 80 and all(t in (0xA0, 0xA1) for t in tags[2:])
+    numbers = [int.from_bytes(x, "big") for t, x in row[1:] if t == INTEGER]
+    if len(numbers) == 8 and len(row) in (9, 10):  # PKCS #1: n = p q; a tenth element holds further primes
+        n, p, q = numbers[0], numbers[3], numbers[4]
+        return (len(row) == 10 and tags[9] == SEQUENCE and version == b"\1") or len(row) == 9 and n == p * q > 0
+    return len(numbers) == 5 and len(row) == 6 and version == b"\0" and 0 < numbers[1] < numbers[0]  # DSA: q below p
+
+
+def _fields(data: bytes, n: int) -> tuple[list[bytes], int]:
+    """The first ``n`` fields of 4-byte lengths and where they end; fewer if one doesn't fit."""
     fields, at = [], 0
-    while at + 4 <= len(data):
+    while len(fields) < n and at + 4 <= len(data):
         size = int.from_bytes(data[at:at + 4], "big")
         if at + 4 + size > len(data):
-            return False
+            break
         fields.append(data[at + 4:at + 4 + size])
         at += 4 + size
-    return at == len(data) and len(fields) >= 2 and fields[0].startswith(SSH_KINDS)
+    return fields, at
+
+
+def is_ssh_key(data: bytes) -> bool:
+    """An OpenSSH private key: magic, cipher, key derivation, each public key, then the private part, to the end of the data."""
+    if not data.startswith(SSH_MAGIC):
+        return False
+    data = data[len(SSH_MAGIC):]
+    names, at = _fields(data, 3)
+    if len(names) < 3 or at + 4 > len(data):
+        return False
+    count = int.from_bytes(data[at:at + 4], "big")
+    data = data[at + 4:]
+    if not 1 <= count <= len(data) // 4:
+        return False
+    parts, at = _fields(data, count + 1)
+    if len(parts) < count + 1 or not all(_fields(x, 1)[0] and _fields(x, 1)[0][0].startswith(SSH_KINDS) for x in parts[:-1]):
+        return False
+    secret, rest = parts[-1], len(data) - at
+    if names[0] != b"none":  # enciphered: whole blocks, perhaps with a tag after them
+        return len(secret) >= 16 and len(secret) % 8 == 0 and rest in (0, 16)
+    return rest == 0 and len(secret) >= 16 and secret[:4] == secret[4:8] and _fields(secret[8:], 1)[0][:1] == _fields(parts[0], 1)[0]
 
 
 def is_signed_token(text: str) -> bool:
@@ -108,7 +153,7 @@ def is_signed_token(text: str) -> bool:
 
 
 def _structure(data: bytes) -> str:
-    return "der" if is_key_encoding(data) else "ssh" if is_ssh_key(data) else ""
+    return "der" if is_private_key(data) else "ssh" if is_ssh_key(data) else ""
 
 
 def _armoured(label: str, body: str) -> str:
@@ -163,7 +208,7 @@ def _wrapped_spans(text: str) -> list[tuple[int, int, str]]:
             width, k = lines[i][1] - lines[i][0], i + 1
             while k < len(lines) and lines[k][1] - lines[k][0] == width:
                 k += 1
-            ends = [k + 1, k] if k < len(lines) and lines[k][1] - lines[k][0] < width else [k]
+            ends = [k, k + 1] if k < len(lines) and lines[k][1] - lines[k][0] < width else [k]
             for end in ends if width >= 16 else []:
                 kind = _run("".join(text[a:b] for a, b in lines[i:end])) if end - i > 1 else ""
                 if kind:
@@ -203,8 +248,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     """doc_id, spans (array of start, end, kind), n_assign, n_access, n_hex, base_sha256, one row per row of ``docs``.
 
     Null and empty texts have no spans. Offsets are code points of the whole
-    text, end exclusive. Repeated rows are scanned alike; other columns are
-    left out.
+    text, end exclusive. Texts of any length are scanned whole, repeated rows
+    alike; an empty table gives none. Other columns are left out.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
