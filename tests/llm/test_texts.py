@@ -156,8 +156,9 @@ def test_repeated_passages_are_found_and_clean_texts_left(spark):
     rows = [(i, prose(rnd, rnd.randint(0, 200)) + " " + passages[i % 8] + " " + prose(rnd, rnd.randint(0, 200))) for i in range(40)]
     clean = [(100 + i, prose(rnd, 150)) for i in range(30)]
     found = substring_dedup.repeats(docs(spark, rows + clean + ODD).withColumn("digest", F.lit("own"))).collect()
-    assert {r.doc_id for r in found} == {i for i, _ in rows}
+    assert {r.doc_id for r in found} == {i for i, _ in rows} | {1002}  # which repeats itself
     texts = dict(rows)
+    found = [r for r in found if r.doc_id < 1000]
     for r in found:
         piece = texts[r.doc_id][r.start:r.end]
         assert piece in texts[r.first_doc] if r.n_words > 20 else r.first_doc in texts
@@ -180,6 +181,62 @@ def test_repeated_passages_are_found_and_clean_texts_left(spark):
     assert substring_dedup.repeats(docs(spark, [])).count() == 0
 
 
+def test_passages_grow_by_whole_words():
+    assert substring_dedup.growth(". one two ", ". xone two ", 0) == (8, 2)
+    assert substring_dedup.growth(" two ", "etwo ", 0) == (4, 1)
+    assert substring_dedup.growth(" abc", " xbc", 0) == (0, 0)
+    assert substring_dedup.growth("a one two x", "b one twice", 1) == (4, 1)
+    assert substring_dedup.growth("ab one ", "ab one ", 1) == (5, 1)
+    assert substring_dedup.growth("  ", " ", 0) == (0, 0)
+
+
+@pytest.mark.parametrize("words", [16, 20, 30, 50])
+def test_short_passages_are_found_to_their_ends(spark, words):
+    rnd = random.Random(words)
+    rows, want = [], {}
+    for i in range(0, 400, 2):
+        passage = prose(rnd, words)
+        for j in (i, i + 1):
+            head, tail = prose(rnd, rnd.randint(5, 80)), prose(rnd, rnd.randint(5, 80))
+            rows.append((j, f"{head} {passage} {tail}"))
+            want[j] = len(head) + 1, len(head) + 1 + len(passage)
+    texts, found = dict(rows), {}
+    for r in substring_dedup.repeats(docs(spark, rows)).collect():
+        found.setdefault(r.doc_id, []).append(r)
+        other = texts[r.doc_id ^ 1]
+        assert r.first_doc == r.doc_id & ~1 and r.kept == (r.doc_id % 2 == 0)
+        assert texts[r.doc_id][r.start:r.end] in other and r.n_words >= 16
+        assert want[r.doc_id][0] - 3 <= r.start and r.end <= want[r.doc_id][1] + 3  # a space, or equal letters by chance
+    assert len(found) >= 0.9 * len(rows)
+    covered = sum(r.end - r.start for f in found.values() for r in f)
+    assert covered >= 0.95 * sum(want[i][1] - want[i][0] for i in found)
+
+
+def test_repeats_within_a_text_keep_their_first(spark):
+    rnd = random.Random(8)
+    passage, parts = prose(rnd, 60), [prose(rnd, 20) for _ in range(22)]
+    text = f" {passage} ".join(parts)
+    found = substring_dedup.repeats(docs(spark, [(7, text), (7, text)])).collect()
+    assert sum(r.kept and r.n_words > 50 for r in found) == 1 and sum(not r.kept and r.n_words > 50 for r in found) == 20
+    assert all(r.first_doc == 7 for r in found)
+    for r in substring_dedup.drop_repeats(docs(spark, [(7, text), (7, text), (8, "")])).where("doc_id = 7").collect():
+        assert r.text.count(passage) == 1 and all(p in r.text for p in parts)
+
+
+def test_what_is_cut_stays_at_an_earlier_place(spark):
+    rnd = random.Random(12)
+    passages = [prose(rnd, rnd.randint(16, 40)) for _ in range(12)]
+    rows = [(None if i % 30 == 29 else i, " ".join(rnd.choice(passages) if rnd.random() < 0.4 else prose(rnd, rnd.randint(3, 30)) for _ in range(rnd.randint(1, 9))))
+            for i in range(90)]
+    rows += [(i + 200, t) for i, t in rows[:10] if i is not None] + [(3, rows[50][1]), rows[0]]
+    got = substring_dedup.drop_repeats(docs(spark, rows))
+    kept = " ".join(r.text for r in got.collect())
+    assert len(kept) < 0.9 * len(" ".join(t for _, t in rows))
+    words = set(w for _, t in rows for w in t.split())
+    assert words <= set(kept.split()) | {w for r in got.collect() if r.doc_id is None for w in r.text.split()}
+    assert all(p in kept for p in passages)
+
+
 # Language
 
 def test_gradients_agree_with_differences():
