@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import WHITE_CHARS, stored
 
 REACH = 16
-EDGE = 128  # characters a passage may grow by at each end: a chunk and the reach around it hardly ever have more
+EDGE = 96  # characters a passage may grow by at each end: a chunk and the reach around it hardly ever have more
 LONGEST = 4096  # bytes after which a chunk without a boundary is cut
 GEAR = np.random.default_rng(2024).integers(0, 1 << 32, 256, dtype=np.uint32)
 WHITE = np.zeros(256, bool)
@@ -185,7 +185,7 @@ def _grown(docs: DataFrame, rows: DataFrame, runs: DataFrame) -> DataFrame:
 
     own = ends(0, "start", "_back", "_head").unionByName(ends(1, "end", "_ahead", "_tail"))
     choice = Window.partitionBy("digest", "which").orderBy("_text", "start")
-    others = (rows.where("kept or _low = _place or _high = _place")
+    others = (rows.where("kept or _one")
               .select("digest", F.when(F.col("kept"), 0).otherwise(1).alias("which"), "doc_id", "_text", "start", "end")
               .withColumn("_nth", F.row_number().over(choice)).where("_nth = 1"))
     wanted = own.select("digest", "which", "side").distinct().join(others, ["digest", "which"]).select(
@@ -223,16 +223,18 @@ def repeats(docs: DataFrame, min_words: int = 16) -> DataFrame:
     shared-nothing texts and empty tables have no rows; very long texts are
     read whole; other columns are left out.
     """
-    every = stored(chunks(docs).withColumn("_place", F.xxhash64("doc_id", "_text", "place")), "chunks")
-    shared = (every.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.min("_place").alias("_low"),
-                                          F.max("_place").alias("_high"))
+    every = stored(chunks(docs), "chunks")
+    place = F.xxhash64("doc_id", "_text", "place")
+    shared = (every.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.min(place).alias("_low"),
+                                          F.max(place).alias("_high"))
               .where("_low <> _high"))
     shared = stored(shared, "shared")  # a join with a stored table deals both sides, so a common digest can be split
     mask = F.lit((1 << FIELD) - 1)
     rows = every.join(shared, "digest").select(
-        "doc_id", "_text", "digest", "first_doc", "_low", "_high", "_place", F.shiftright("place", 2 * FIELD).alias("start"),
+        "doc_id", "_text", "digest", "first_doc", place.isin(F.col("_low"), F.col("_high")).alias("_one"),
+        F.shiftright("place", 2 * FIELD).alias("start"),
         F.shiftright("place", FIELD).bitwiseAND(mask).alias("_size"), F.col("place").bitwiseAND(mask).alias("_words"))
-    rows = rows.withColumn("end", F.col("start") + F.col("_size")).repartition("doc_id", "_text").distinct()
+    rows = rows.repartition("doc_id", "_text").distinct().withColumn("end", F.col("start") + F.col("_size")).drop("_size")
     same = Window.partitionBy("doc_id", "_text", "digest")
     first = (F.col("first_doc") == F.col("doc_id")) & (F.col("start") == F.min("start").over(same))
     rows = stored(rows.withColumn("kept", F.coalesce(first, F.lit(False))), "repeated")
