@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from shopstream.plans.warehouse import Warehouse
 from shopstream.session import CUT, PART_BYTES, TASK_BYTES, stored_bytes
+from shopstream.streaming import live
+from shopstream.streaming.live import Live
 
 RANDOM = "concat_ws(' ', transform(sequence(1, 40), i -> uuid()))"
 
@@ -42,3 +44,35 @@ def test_sizes_that_the_user_has_set_stay(spark, tmp_path):
     Warehouse(spark, str(tmp_path))
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "1m"
     _unset(spark)
+
+
+def test_a_table_is_read_once_to_be_dealt(spark, tmp_path, monkeypatch):
+    """Every micro-batch holds its own rows, in order, in as many files as its bytes ask for."""
+    monkeypatch.setattr(live, "FILE_BYTES", 1 << 19, raising=False)
+    texts = spark.range(2_000).select((1_999 - F.col("id")).alias("doc_id"), F.expr(RANDOM).alias("text"))
+    texts.union(spark.sql("select cast(null as bigint), 'none'")).write.parquet(f"{tmp_path}/documents.parquet")
+    v = Live(spark, str(tmp_path))
+    read = []
+
+    def counted(stamp):
+        count = spark.sparkContext.accumulator(0)
+        read.append(count)
+
+        def seen(x):
+            count.add(1)
+            return x
+        return F.udf(seen, "long")(stamp)
+
+    table = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    v.deal("documents", table.withColumn("seen", counted(F.col("doc_id"))), F.col("doc_id"))
+    assert read[0].value <= 2 * 2_001  # a whole row is made once to be cut, at most once more to be counted
+    path = f"{v.base}/dealt-documents"
+    files = sorted((os.path.getmtime(f"{path}/{f}"), f) for f in os.listdir(path) if f.endswith(".parquet"))
+    assert v.dealt["documents"] > 1 and len(files) == live.BATCHES * v.dealt["documents"]
+    spans = []
+    for k in range(live.BATCHES):
+        names = [f"{path}/{f}" for _, f in files[k * v.dealt["documents"]:(k + 1) * v.dealt["documents"]]]
+        spans.append(spark.read.parquet(*names).agg(F.min("doc_id"), F.max("doc_id"), F.count("*"), F.count("doc_id")).first())
+    assert [s[0] for s in spans][0] == 0 and spans[-1][1] == 1_999 and sum(s[2] for s in spans) == 2_001
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:])) and [s[2] - s[3] for s in spans] == [1, 0, 0, 0]
+    _unset(spark)
