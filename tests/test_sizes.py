@@ -5,10 +5,12 @@ import re
 
 from pyspark.sql import functions as F
 
+from shopstream.plans.catalog import OPERATORS
 from shopstream.plans.warehouse import Warehouse
 from shopstream.session import CUT, PART_BYTES, TASK_BYTES, stored_bytes
 from shopstream.streaming import live
 from shopstream.streaming.live import Live
+from tests.conftest import rows
 
 RANDOM = "concat_ws(' ', transform(sequence(1, 40), i -> uuid()))"
 
@@ -76,3 +78,26 @@ def test_a_table_is_read_once_to_be_dealt(spark, tmp_path, monkeypatch):
     assert [s[0] for s in spans][0] == 0 and spans[-1][1] == 1_999 and sum(s[2] for s in spans) == 2_001
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:])) and [s[2] - s[3] for s in spans] == [1, 0, 0, 0]
     _unset(spark)
+
+
+def test_paid_details_are_joined_once_for_both_batches(spark, monkeypatch):
+    made = []
+    wide = Warehouse.wide
+
+    def counted(self):
+        count = self.spark.sparkContext.accumulator(0)
+        made.append(count)
+
+        def seen(x):
+            count.add(1)
+            return x
+        rows = wide(self)
+        return rows.withColumn("id", F.udf(seen, "string")("id"))
+    plain = rows(OPERATORS["pay_upsert"](Warehouse(spark, "/root/testdata/sf0.001")))
+    monkeypatch.setattr(Warehouse, "wide", counted)
+    got = rows(OPERATORS["pay_upsert"](Warehouse(spark, "/root/testdata/sf0.001")))
+    monkeypatch.undo()
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    once = w.wide().where("type = 'insert'").count()
+    assert got == plain and made[0].value <= 1.2 * once
+    _unset(spark)
