@@ -22,7 +22,7 @@ def _unset(spark):
 
 def _parts(plan):
     """Number of shuffle partitions before small ones are joined."""
-    return max(int(n) for n in re.findall(r"hashpartitioning\(.*?, (\d+), ", plan))
+    return max(int(n) for n in re.findall(r"hashpartitioning\(.*?, (\d+)\)", plan))
 
 
 def test_shuffles_have_more_parts_for_larger_tables(spark, tmp_path):
