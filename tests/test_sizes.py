@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from shopstream.plans import views
 from shopstream.plans.catalog import OPERATORS
 from shopstream.plans.warehouse import Warehouse
 from shopstream.session import CUT, PART_BYTES, TASK_BYTES, stored_bytes
@@ -101,3 +102,34 @@ def test_paid_details_are_joined_once_for_both_batches(spark, monkeypatch):
     once = w.wide().where("type = 'insert'").count()
     assert got == plain and made[0].value <= 1.2 * once
     _unset(spark)
+
+
+def test_trade_records_are_made_as_they_are_read(spark, tmp_path, monkeypatch):
+    """Dealt are rows, not records of maps; each record comes once, in its own micro-batch, also where a cut parts a row's records."""
+    monkeypatch.setattr(live, "BATCH_ROWS", 10)
+    day = "timestamp'2024-01-01 00:00:00'"
+    spark.range(60).selectExpr(
+        "id as o_orderkey", "id % 7 as o_custkey", "array('O', 'F', 'P', null)[cast(id % 4 as int)] as o_orderstatus",
+        "cast(id as double) as o_totalprice", f"if(id = 3, null, {day} + make_interval(0, 0, 0, 0, 0, id * 4)) as o_orderdate",
+        "'1-URGENT' as o_orderpriority").union(spark.sql(f"select 5L, 1L, 'F', 2.0D, {day}, '2-HIGH'")).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(100).selectExpr(
+        "id % 70 as l_orderkey", "if(id = 9, null, cast(id % 3 as int)) as l_linenumber", "id % 11 as l_partkey", "id % 30 as l_suppkey",
+        "cast(id as double) as l_quantity", "cast(id as double) as l_extendedprice", "(id % 10) / 100D as l_discount",
+        "(id % 8) / 100D as l_tax", "if(id % 2 = 0, 'R', 'N') as l_returnflag", "if(id % 3 = 0, 'F', 'O') as l_linestatus",
+        f"if(id = 69, null, {day} + make_interval(0, 0, 0, id % 9)) as l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    v = Live(spark, str(tmp_path))
+    columns = ["table", "type", "ts", F.to_json("data").alias("data"), F.to_json("old").alias("old")]
+    want = rows(views.trade_feed(v.table("lineitem"), v.table("orders")).select(*columns))
+    batches = []
+    v.keep(v.trade().select(*columns), lambda batch, n: batches.append(rows(batch)), "records")
+    held = spark.read.parquet(f"{v.base}/dealt-trade")
+    assert not [c for c, kind in held.dtypes if kind.startswith("map")]
+    assert sorted((r for b in batches for r in b), key=str) == sorted(want, key=str) and len(batches) > live.BATCHES
+    times = [[int(r[2]) for r in b if r[2] is not None] for b in batches]
+    assert all(max(a) < min(b) for a, b in zip(times, times[1:])) and not [r for b in batches[1:] for r in b if r[2] is None]
+    assert held.count() > 161  # rows whose records are parted by a cut lie on both sides of it
+    some = v.trade("payment_info", "order_info")
+    kept = []
+    v.keep(some.select(*columns), lambda batch, n: kept.extend(rows(batch)), "some")
+    assert sorted(kept, key=str) == sorted((r for r in want if r[0] in ("payment_info", "order_info")), key=str)
+    _unset(spark)
