@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from shopstream.operators import facts
 from shopstream.plans import views
 from shopstream.plans.catalog import OPERATORS
 from shopstream.plans.warehouse import Warehouse
@@ -133,3 +134,27 @@ def test_trade_records_are_made_as_they_are_read(spark, tmp_path, monkeypatch):
     v.keep(some.select(*columns), lambda batch, n: kept.extend(rows(batch)), "some")
     assert sorted(kept, key=str) == sorted((r for r in want if r[0] in ("payment_info", "order_info")), key=str)
     _unset(spark)
+
+
+def test_a_cut_of_the_trade_feed_reads_its_own_rows_once(spark, monkeypatch):
+    """Four cuts meet in a wide row: the dealt rows are scanned once for each, not once for each pair of them."""
+    ran, start = [], live.sinks.to_table
+
+    def kept(*args):
+        ran.append(start(*args))
+        return ran[-1]
+    monkeypatch.setattr(live.sinks, "to_table", kept)
+    v = Live(spark, "/root/testdata/sf0.001")
+    assert v.wide().count() > 0
+    dealt = spark.read.parquet(f"{v.base}/dealt-trade").count()
+    assert sum(p["numInputRows"] for p in ran[0].recentProgress) <= len(live.WIDE) * dealt
+    _unset(spark)
+
+
+def test_the_keys_of_an_order_are_read_without_a_map(spark):
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    rows = views.trade_rows(w.table("lineitem"), w.table("orders"))
+    orders = facts.rows_of(views.trade_records(rows, "order_info"), "order_info").select(*facts.fields("id", *facts.ORDER_INFO[1:]))
+    assert "map(id" not in orders._jdf.queryExecution().optimizedPlan().toString()
+    assert orders.where("id is not null and total_amount is not null and user_id is not null").count() == orders.count() > 0
+    _unset(spark)
