@@ -158,3 +158,56 @@ def test_the_keys_of_an_order_are_read_without_a_map(spark):
     assert "map(id" not in orders._jdf.queryExecution().optimizedPlan().toString()
     assert orders.where("id is not null and total_amount is not null and user_id is not null").count() == orders.count() > 0
     _unset(spark)
+
+
+def test_landed_details_meet_their_orders_a_micro_batch_at_a_time(spark, monkeypatch):
+    """A landed table of more rows than a micro-batch is not read in one, whose state would hold them all."""
+    ran, start = {}, live.sinks.to_table
+
+    def kept(df, path, *args):
+        ran[os.path.basename(path)] = start(df, path, *args)
+        return ran[os.path.basename(path)]
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    want = rows(w.first_details())
+    monkeypatch.setattr(live, "BATCH_ROWS", 2_000)
+    monkeypatch.setattr(live.sinks, "to_table", kept)
+    v = Live(spark, "/root/testdata/sf0.001")
+    got = v.order_facts()
+    details = v.first_details().count()
+    assert got.count() == len(want) == details > 2_000
+    amounts = "sum(cast(order_price as decimal(38,2)))", "count(distinct order_id)", "count(distinct user_id)", "min(rt)", "max(rt)"
+    assert rows(got.selectExpr(*amounts)) == rows(w.first_details().selectExpr(*amounts))
+    held = [max(s["numRowsTotal"] for s in p["stateOperators"]) for p in ran["order_facts"].recentProgress]
+    assert len(held) >= live.BATCHES and max(held) < details
+    _unset(spark)
+
+
+def test_a_landed_table_keeps_step_with_the_trade_topic(spark, monkeypatch):
+    """Its micro-batches are cut as those of the topic are, also where one has few rows or none."""
+    monkeypatch.setattr(live, "BATCH_ROWS", 4)
+    monkeypatch.setattr(live, "FILE_ROWS", 1)
+    v = Live(spark, "/root/testdata/sf0.001")
+    v.cut_at["trade"] = [10, 20, 30]
+    path = f"{v.base}/some"
+    some = spark.createDataFrame([(t,) for t in (None, 1, 31, 10, 32, 2, 5, 40, 33)], "t long").select("t", F.timestamp_seconds("t").alias("pt"))
+    some.write.parquet(path)
+    batches = []
+    v.keep(v.follow("some", spark.read.parquet(path), "pt"), lambda batch, n: batches.append([r[0] for r in rows(batch, "t")]), "read")
+    assert batches == [[None, 1, 2, 5, 10], [], [], [31, 32, 33, 40]]
+    assert v.dealt["landed-some"] > 1
+    _unset(spark)
+
+
+def test_payments_meet_details_of_new_orders_only(spark):
+    """No wide row of an order's later records is made to be thrown away."""
+    v = Live(spark, "/root/testdata/sf0.001")
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    paid = facts.paid_details(w.trade_changes(), facts.order_details(w.wide()), w.dictionary())
+    clock = F.col("row_op_ts").isNotNull()  # not compared, it is the time of writing
+    want = rows(paid.withColumn("row_op_ts", clock))
+    got = rows(v.paid().withColumn("row_op_ts", clock))
+    assert got == want and len(got) > 0
+    landed = spark.read.parquet(f"{v.base}/details")
+    assert "wide" not in v.landed and landed.where("type <> 'insert'").count() == 0
+    assert landed.count() == facts.order_details(w.wide()).count()
+    _unset(spark)
