@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from shopstream.llm import bpe, language_id, line_dedup, mixing, queries, simhash
 from shopstream.llm.common import small_batches, stored
 
+# Where the metadata of the sources hold the mix of a table
+MIX = "mix"
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those without a letter, or whose language is a guess, go.
@@ -51,18 +54,27 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order that mixes their sources to the target weights.
 
     A null source counts as any other unnamed one; rows of one id are ordered by a digest of the row.
+    Files have no order, so the mix decided on here goes with the table, as metadata of its sources.
     """
-    return mixing.mix(docs, queries.TARGETS, queries.BLOCK).orderBy("position").select(*docs.columns)
+    mix = {"sources": list(queries.TARGETS), "shares": list(queries.TARGETS.values()), "block": queries.BLOCK}
+    source = F.col("source").alias("source", metadata={MIX: mix})
+    placed = mixing.mix(docs, queries.TARGETS, queries.BLOCK).orderBy("position")
+    return placed.select(*(source if c == "source" else c for c in docs.columns))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256, position, in_mix) of every document.
 
-    Files that are read again have no order, so the mix is worked out again,
-    from ids and sources, and its position comes beside the tokens.
+    Files that are read again have no order, so positions follow from ids and
+    sources by the mix that the stage before has put with the table; documents
+    that were not mixed have none.
     """
     small_batches(spark)
-    placed = mixing.mix(docs, queries.TARGETS, queries.BLOCK)
+    mix = docs.schema["source"].metadata.get(MIX)
+    if mix:
+        placed = mixing.mix(docs, dict(zip(mix["sources"], mix["shares"])), mix["block"])
+    else:
+        placed = docs.withColumns({"position": F.lit(None).cast("long"), "in_mix": F.lit(None).cast("boolean")})
     return bpe.encode(placed, queries.vocabulary(), keep=("position", "in_mix"))
 
 

@@ -87,3 +87,17 @@ def test_odd_documents_pass_through_the_pipeline(spark, tmp_path, rows):
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     letters = {r[0] for r in rows if r[1] and any(map(str.isalpha, r[1]))}
     assert sorted(r.doc_id for r in got) == sorted(letters)
+
+
+def test_the_tokens_follow_the_mix_that_the_stage_before_decided_on(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i}", "en", "web" if i % 2 else "books", 6) for i in range(200)], DOCS)
+    stages = dict(corpus_pipeline.STAGES)
+    plain = stages["bpe"](spark, docs, SF).select("position", "in_mix").distinct().collect()
+    assert [tuple(r) for r in plain] == [(None, None)]
+    other = {"web": 3, "books": 1}
+    monkeypatch.setattr(queries, "TARGETS", other)
+    stages["mixing"](spark, docs, SF).write.parquet(f"{tmp_path}/mixed")
+    monkeypatch.undo()
+    got = stages["bpe"](spark, spark.read.parquet(f"{tmp_path}/mixed"), SF).collect()
+    want = {r.doc_id: (r.position, r.in_mix) for r in mixing.mix(docs, other, queries.BLOCK).collect()}
+    assert {r.doc_id: (r.position, r.in_mix) for r in got} == want
