@@ -2,6 +2,7 @@
 
 import os
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -211,3 +212,51 @@ def test_payments_meet_details_of_new_orders_only(spark):
     assert "wide" not in v.landed and landed.where("type <> 'insert'").count() == 0
     assert landed.count() == facts.order_details(w.wide()).count()
     _unset(spark)
+
+
+def test_text_is_dealt_by_its_bytes(spark, tmp_path, monkeypatch):
+    """Few rows of long texts are many words: the state of a micro-batch is bounded by what is stored, not by rows alone."""
+    monkeypatch.setattr(live, "BATCH_BYTES", 1 << 18, raising=False)
+    texts = spark.range(1_000).select(F.col("id").alias("doc_id"), F.expr(RANDOM).alias("text"))
+    texts.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    v = Live(spark, str(tmp_path))
+    batches = []
+    v.keep(v.stream("documents"), lambda batch, n: batches.append([r[0] for r in rows(batch, "doc_id")]), "texts")
+    assert len(batches) > live.BATCHES and sorted(x for b in batches for x in b) == list(range(1_000))
+    assert all(a[-1] < b[0] for a, b in zip(batches, batches[1:])) and max(map(len, batches)) < 1_000 / live.BATCHES
+    _unset(spark)
+
+
+def test_a_job_keeps_little_on_disk(spark, monkeypatch):
+    """Copies that were dealt are gone, and old state is not kept."""
+    ran, start = [], live.sinks.to_table
+
+    def kept(*args):
+        ran.append({key: spark.conf.get(key) for key in live.KEPT})
+        return start(*args)
+    monkeypatch.setattr(live.sinks, "to_table", kept)
+    v = Live(spark, "/root/testdata/sf0.001")
+    assert v.newest_details().count() > 0
+    assert not [f for f in os.listdir(v.base) if f.startswith(("cut-", "trade-rows"))]
+    assert ran and all(seen == live.KEPT for seen in ran)
+    assert all(spark.conf.get(key, None) is None for key in live.KEPT)
+    _unset(spark)
+
+
+def test_shuffles_of_a_batch_go_when_it_is_written(spark):
+    """Two batches and the joins before them: the shuffles of one of them are on disk at a time."""
+    def shuffles():
+        return disk.getAllFiles().mkString("\n").count(".data")
+
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(3)
+    before, base = shuffles(), spark.conf.get("spark.checkpoint.dir")
+    known = set(os.listdir(base))
+    OPERATORS["pay_upsert"](Warehouse(spark, "/root/testdata/sf0.001"))
+    end = time.time() + 10
+    while shuffles() > before and time.time() < end:
+        time.sleep(0.5)
+    assert shuffles() <= before
+    assert not [f for f in set(os.listdir(base)) - known if f.startswith("paid-details")]
+    _unset(spark)
